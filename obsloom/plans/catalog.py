@@ -1,6 +1,6 @@
 """All named queries."""
 
-from obsloom.plans import catalog_features  # noqa: F401
+from obsloom.plans import catalog_features, catalog_mining, catalog_reports, catalog_splits  # noqa: F401
 from obsloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -11,8 +11,9 @@ EVENT_DATE = "event_date"
 LOAD = "load_id"
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
+def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{place}")
 
 
 def create_table(
