@@ -34,10 +34,8 @@ def itemsets(
     totals = baskets.groupBy(group).agg(F.sum("__n").alias("n_baskets"))
     guarded = F.when(
         F.size("__basket") > MAX_BASKET, F.raise_error(F.lit(f"a basket has over {MAX_BASKET} items; use fp_growth"))
-    ).otherwise(F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size("__basket")) - 1))
-    subset = F.filter(
-        "__basket", lambda _, i: F.shiftright(F.col("__mask"), i).bitwiseAND(F.lit(1)) == 1
-    )
+    ).otherwise(F.sequence(F.lit(1), F.power(F.lit(2), F.size("__basket")).cast("int") - 1))
+    subset = F.filter("__basket", lambda _, i: F.bit_get(F.col("__mask"), i) == 1)
     masks = baskets.select(group, "__basket", "__n", F.explode(guarded).alias("__mask"))
     if max_size is not None:
         masks = masks.where(F.bit_count("__mask") <= max_size)

@@ -111,13 +111,14 @@ def nearest_neighbours(
         )
 
         def task(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            pieces = list(_best(left, right, k))
+            pieces = list(_best(left.rename(columns=lambda c: c[2:]), right.rename(columns=lambda c: c[2:]), k))
             return pd.concat(pieces) if pieces else pd.DataFrame(columns=["g", "point", "p", "reach", "found"])
 
-        keys = ["g", "block", "part"]
-        asked = asked.select(*keys, "point", "p", "x")
-        served = served.select(*keys, "point", "copies", "x")
-        return asked.groupBy(*keys).cogroup(served.groupBy(*keys)).applyInPandas(task, FOUND)
+        # fresh names on both sides: each is made from the same points
+        asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in ("g", "block", "part", "point", "p", "x")])
+        served = served.select(*[F.col(c).alias(f"b_{c}") for c in ("g", "block", "part", "point", "copies", "x")])
+        left = asked.groupBy("q_g", "q_block", "q_part")
+        return left.cogroup(served.groupBy("b_g", "b_block", "b_part")).applyInPandas(task, FOUND)
 
     own = search(blocked, blocked).persist(StorageLevel.MEMORY_AND_DISK)
     # a hair more than the reach, for the rounding of the projection
