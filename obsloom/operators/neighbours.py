@@ -16,22 +16,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import Column, DataFrame, functions as F
 
 from obsloom.operators.ranks import in_bucket, value_edges
 from obsloom.operators.sizes import small_side
+from obsloom.session import checkpointed
 
 BLOCK_ROWS = 2000
 QUERY_ROWS = 4000
 
 
-def _direction(points: DataFrame, dims: int, seed: int) -> list[float]:
+def _direction(points: DataFrame, seed: int) -> list[float]:
     """The coordinates' spreads, slightly turned so that different points rarely coincide on the line."""
-    spread = points.agg(*[F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in range(dims)]).first()
+    places = points.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.stddev_pop("v").alias("s"))
+    spread = [r["s"] or 0.0 for r in places.orderBy("i").collect()]
     chance = random.Random(seed)
-    largest = max((spread[i] or 0.0) for i in range(dims)) or 1.0
-    raw = [(spread[i] or 0.0) + largest * 0.1 * chance.uniform(0.5, 1.0) for i in range(dims)]
+    largest = max(spread, default=1.0) or 1.0
+    raw = [s + largest * 0.1 * chance.uniform(0.5, 1.0) for s in spread]
     length = sum(v * v for v in raw) ** 0.5
     return [v / length for v in raw]
 
@@ -40,23 +41,30 @@ def _best(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> Iterator[pd.Dat
     """For each query point its k nearest points of the block, copies counted, nearest first."""
     if queries.empty or block.empty:
         return
-    block = block.sort_values("point").reset_index(drop=True)
-    coordinates = np.stack(block["x"].to_numpy())
+    points = np.stack(block["x"].to_numpy())
     names, copies = block["point"].to_numpy(), block["copies"].to_numpy()
+    centre = points.mean(axis=0)
+    moved = points - centre
+    norms = (moved**2).sum(axis=1)
+    kth = min(k, len(points) - 1)
     for start in range(0, len(queries), 512):
         part = queries.iloc[start : start + 512]
         wanted = np.stack(part["x"].to_numpy())
-        distance = np.sqrt(((wanted[:, None, :] - coordinates[None, :, :]) ** 2).sum(axis=2))
+        asked = wanted - centre
+        lengths = (asked**2).sum(axis=1)
+        # squared distances by products, good to within ``error``; the few nearest are measured again
+        rough = lengths[:, None] + norms[None, :] - 2 * asked @ moved.T
+        error = 1e-12 * (lengths + norms.max() + 1e-300)
+        bound = np.partition(rough, kth, axis=1)[:, kth] + 2 * error
         rows = []
         for i, (group, point, p) in enumerate(zip(part["g"], part["point"], part["p"])):
-            nearest = np.argsort(distance[i], kind="stable")
-            left = k
-            found = []
-            for j in nearest:
-                if names[j] == point:
-                    continue
-                found.append((float(distance[i, j]), int(names[j]), int(copies[j])))
-                left -= int(copies[j])
+            near = np.flatnonzero(rough[i] <= bound[i])
+            near = near[names[near] != point]
+            distance = np.sqrt(((points[near] - wanted[i]) ** 2).sum(axis=1))
+            left, found = k, []
+            for j in np.lexsort((names[near], distance)):
+                found.append((float(distance[j]), int(names[near[j]]), int(copies[near[j]])))
+                left -= int(copies[near[j]])
                 if left <= 0:
                     break
             reach = found[-1][0] if left <= 0 else float("inf")
@@ -72,32 +80,36 @@ def _edges(points: DataFrame, block_rows: int) -> list[float]:
     return [] if blocks < 2 else value_edges(points, ["p"], blocks)["p"]
 
 
+def as_vector(features: Sequence[str]) -> Column:
+    """The features as one array. Wide frames are planned much faster when they travel as one column."""
+    return F.array(*[F.col(c).cast("double") for c in features])
+
+
 def nearest_neighbours(
     df: DataFrame,
     group: str,
-    features: Sequence[str],
+    features: Sequence[str] | str,
     k: int = 3,
     seed: int = 42,
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
-    """``group, x, copies, neighbours`` for each distinct point ``x`` (an array of the features).
+    """``group, x, copies, neighbours`` for each distinct point ``x``.
 
-    ``neighbours`` lists the features of the k nearest other rows of the group, nearest first; further
-    copies of the point itself come first, at distance 0. Ties go by the point's hash.
+    ``features`` are the columns that make the array ``x``, or the name of an array column. Points with
+    a NULL are left out. ``neighbours`` lists the points of the k nearest other rows of the group, nearest
+    first; further copies of the point itself come first, at distance 0. Ties go by the point's hash.
     """
-    dims = len(features)
-    rows = df.select(
-        F.col(group).cast("string").alias("g"), F.array(*[F.col(c).cast("double") for c in features]).alias("x")
-    ).where(F.forall("x", lambda v: v.isNotNull()))
+    vector = F.col(features) if isinstance(features, str) else as_vector(features)
+    rows = df.select(F.col(group).cast("string").alias("g"), vector.alias("x"))
+    rows = rows.where(F.forall("x", lambda v: v.isNotNull()))
     points = rows.groupBy("g", "x").agg(F.count("*").alias("copies"))
     points = points.withColumn("point", F.xxhash64("g", "x"))
-    direction = F.array(*[F.lit(v) for v in _direction(points, dims, seed)])
+    direction = F.array(*[F.lit(v) for v in _direction(points, seed)])
     p = F.aggregate(F.zip_with("x", direction, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    points = points.withColumn("p", p).persist(StorageLevel.MEMORY_AND_DISK)
-
+    points = checkpointed(points.withColumn("p", p))
     edges = _edges(points, block_rows)
-    blocked = in_bucket(points, "p", edges, "block").persist(StorageLevel.MEMORY_AND_DISK)
+    blocked = in_bucket(points, "p", edges, "block")
 
     def search(queries: DataFrame, known: DataFrame) -> DataFrame:
         """Split each block's queries over as many tasks as their number asks for."""
@@ -120,7 +132,7 @@ def nearest_neighbours(
         left = asked.groupBy("q_g", "q_block", "q_part")
         return left.cogroup(served.groupBy("b_g", "b_block", "b_part")).applyInPandas(task, FOUND)
 
-    own = search(blocked, blocked).persist(StorageLevel.MEMORY_AND_DISK)
+    own = checkpointed(search(blocked, blocked))
     # a hair more than the reach, for the rounding of the projection
     slack = F.col("reach") * 1e-9 + F.abs("p") * 1e-12 + 1e-12
     reaching = own.select("g", "point", "p", (F.col("p") - F.col("reach") - slack).alias("from"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from obsloom.operators.neighbours import nearest_neighbours
+from obsloom.operators.neighbours import as_vector, nearest_neighbours
 from obsloom.operators.ranks import cuts_passed, seeded_hash
 from obsloom.operators.sizes import small_side
 
@@ -48,11 +48,12 @@ def oversample(
     seeded order. A class with one row repeats it. Rows that lack a feature or the label are left out.
     """
     columns = list(features)
-    complete = df.select(label, *dict.fromkeys([*key, *columns])).dropna(subset=[label, *columns])
-    complete = complete.withColumns({c: F.col(c).cast("double") for c in columns})
+    spread_out = [F.col("x")[i].alias(c) for i, c in enumerate(columns)]
+    complete = df.select(label, *[c for c in key if c != label], as_vector(columns).alias("x"))
+    complete = complete.where(F.col(label).isNotNull() & F.forall("x", lambda v: v.isNotNull()))
     counts = {r[label]: r["n"] for r in complete.groupBy(label).agg(F.count("*").alias("n")).collect()}
     target = max(counts.values())
-    real = complete.select(label, *columns, F.lit(False).alias("synthetic"))
+    real = complete.select(label, *spread_out, F.lit(False).alias("synthetic"))
     short = {c: target - n for c, n in counts.items() if n < target}
     if not short:
         return real
@@ -67,24 +68,21 @@ def oversample(
     first = (F.col("__passed") == 0) & (extra > 0)
     marked = marked.withColumn("__times", every + F.when(first, 1).otherwise(0)).where(F.col("__times") > 0)
 
+    near = nearest_neighbours(minority, label, "x", k, seed, **search)
+    near = near.select(F.col(label).alias("__label"), "x", "neighbours")
+    parents = marked.withColumn("__label", F.col(label).cast("string")).join(near, ["__label", "x"])
+
     # one row of a tiny class may have very many children: spread them before they are made
-    spread = marked.withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("__times") - 1) / CHUNK))))
+    chunks = F.sequence(F.lit(0), F.floor((F.col("__times") - 1) / CHUNK))
+    parents = parents.withColumn("__chunk", F.explode(chunks))
     if max(missing // counts[c] for c, missing in short.items()) >= CHUNK:
-        spread = spread.repartition(F.xxhash64(*key), F.col("__chunk"))
+        parents = parents.repartition(F.xxhash64(*key), F.col("__chunk"))
     last = F.least(F.col("__times"), (F.col("__chunk") + 1) * CHUNK) - 1
-    children = spread.withColumn("__child", F.explode(F.sequence(F.col("__chunk") * CHUNK, last)))
-
-    near = nearest_neighbours(minority, label, columns, k, seed, **search)
-    near = near.select(F.col(label).alias("__label"), F.col("x").alias("__x"), "neighbours")
-    point = F.array(*[F.col(c) for c in columns])
-    base = children.withColumn("__x", point).withColumn("__label", F.col(label).cast("string"))
-    joined = base.join(near, ["__label", "__x"])
+    children = parents.withColumn("__child", F.explode(F.sequence(F.col("__chunk") * CHUNK, last)))
     hashed = [seeded_hash(key, seed), F.col("__child").cast("string")]
     choice = F.floor(_fraction(*hashed, F.lit("neighbour")) * F.size("neighbours")).cast("int")
-    step = _fraction(*hashed, F.lit("step"))
-    chosen = F.when(F.size("neighbours") > 0, F.col("neighbours")[choice]).otherwise(F.col("__x"))
-    made = joined.withColumn("__near", chosen).withColumn("__step", step)
-    values = [
-        (F.col(c) + F.col("__step") * (F.col("__near")[i] - F.col(c))).alias(c) for i, c in enumerate(columns)
-    ]
-    return real.unionByName(made.select(label, *values, F.lit(True).alias("synthetic")))
+    chosen = F.when(F.size("neighbours") > 0, F.get("neighbours", choice)).otherwise(F.col("x"))
+    made = children.select(label, "x", chosen.alias("__near"), _fraction(*hashed, F.lit("step")).alias("__step"))
+    between = F.zip_with("x", "__near", lambda a, b: a + F.col("__step") * (b - a))
+    made = made.select(label, between.alias("x"))
+    return real.unionByName(made.select(label, *spread_out, F.lit(True).alias("synthetic")))

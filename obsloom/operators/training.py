@@ -92,6 +92,16 @@ def cross_validate(
     row is trained on. It gets the training rows with gaps filled.
     """
     evaluator = evaluator or MacroF1(labelCol=label)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sums = _fold_scores(df, candidates, features, fold, folds, label, evaluator, missing, resample)
+    finally:
+        df.unpersist()
+    rows = [(name, point, *scores) for (name, point), scores in sums.items()]
+    return df.sparkSession.createDataFrame(rows, LEADERBOARD)
+
+
+def _fold_scores(df, candidates, features, fold, folds, label, evaluator, missing, resample):
     sums: dict[tuple[str, str], list[float]] = {}
     for i in range(folds):
         prepared = Pipeline(stages=preparation(features, missing)).fit(df.where(F.col(fold) != i))
@@ -116,8 +126,7 @@ def cross_validate(
         finally:
             fitted.unpersist()
             test.unpersist()
-    rows = [(name, point, *scores) for (name, point), scores in sums.items()]
-    return df.sparkSession.createDataFrame(rows, LEADERBOARD)
+    return sums
 
 
 def rank_candidates(board: DataFrame, digits: int = 6) -> DataFrame:
