@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from obsloom.operators.aggregate import group_mean
+from obsloom.operators.sizes import kept
 from obsloom.operators.splitting import hash_sample
 
 SCALED = "__scaled"
@@ -74,7 +75,7 @@ def kmeans_sweep(
         if not key:
             raise ValueError("a sample needs the row key")
         chosen = hash_sample(chosen, key, sample, seed)
-    vectors = scaled_vectors(chosen, features).select(SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = kept(scaled_vectors(chosen, features).select(SCALED))
     evaluator = ClusteringEvaluator(
         featuresCol=SCALED, predictionCol="cluster", metricName="silhouette", distanceMeasure="squaredEuclidean"
     )
@@ -99,7 +100,7 @@ def cluster_rows(
 ) -> tuple[PipelineModel, DataFrame]:
     """The fitted pipeline, and the complete rows with their ``cluster``."""
     scaling = Pipeline(stages=scaling_stages(features)).fit(df)
-    vectors = scaling.transform(df.select(*features)).select(SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = kept(scaling.transform(df.select(*features)).select(SCALED))
     try:
         model = kmeans_fit(vectors, k, SCALED, seed, max_iter, restarts)
     finally:

@@ -31,6 +31,8 @@ def itemsets(
     """
     kept = df.where(F.col(group).isin(list(min_support)) & (F.size(items) > 0))
     baskets = kept.groupBy(F.col(group), F.array_sort(items).alias("__basket")).agg(F.count("*").alias("__n"))
+    # the distinct baskets are few but unfold into many subsets: give every core its share of them
+    baskets = baskets.repartition(df.sparkSession.sparkContext.defaultParallelism)
     totals = baskets.groupBy(group).agg(F.sum("__n").alias("n_baskets"))
     guarded = F.when(
         F.size("__basket") > MAX_BASKET, F.raise_error(F.lit(f"a basket has over {MAX_BASKET} items; use fp_growth"))

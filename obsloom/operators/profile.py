@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obsloom.functions.rounding import half_up
 from obsloom.operators.conform import family
@@ -52,26 +52,47 @@ def duplicate_audit(df: DataFrame) -> DataFrame:
     return totals.withColumn("duplicate_rows", extra).withColumn("duplicate_pct", half_up(share, 2))
 
 
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, value, n``: every column's values as text, counted across the cluster."""
+    entries = []
+    for name in columns:
+        kind = df.schema[name].dataType
+        value = F.col(name)
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0)  # minus zero is zero
+        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            value = F.when(value.isNotNull(), F.to_json(F.struct(value)))
+        entries.append(F.struct(F.lit(name).alias("column"), value.cast("string").alias("value")))
+    return df.select(F.inline(F.array(*entries))).groupBy("column", "value").agg(F.count("value").alias("n"))
+
+
+def _per_column(df: DataFrame, columns: Sequence[str], found: DataFrame, counts: Sequence[str]) -> DataFrame:
+    """One row per column even when there are no rows."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(found, "column", "left").fillna(0, list(counts))
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str], rsd: float | None = None) -> DataFrame:
-    """``column, distinct_n``; approximate with relative error ``rsd`` when given."""
-    counts = [
-        _named(F.countDistinct(c) if rsd is None else F.approx_count_distinct(c, rsd), "distinct_n", c)
-        for c in columns
-    ]
-    return _long(df.agg(*counts), columns, ["distinct_n"])
+    """``column, distinct_n``; approximate with relative error ``rsd`` when given.
+
+    Exact counts go by (column, value): narrow keys, where Spark's several distinct aggregates at once
+    would repeat every row as wide as it is.
+    """
+    if rsd is not None:
+        counts = [_named(F.approx_count_distinct(c, rsd), "distinct_n", c) for c in columns]
+        return _long(df.agg(*counts), columns, ["distinct_n"])
+    found = _value_counts(df, columns).groupBy("column").agg(F.count("value").alias("distinct_n"))
+    return _per_column(df, columns, found, ["distinct_n"])
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """``column, family, non_null, distinct_n`` for every column."""
-    counts = []
-    for name in df.columns:
-        counts.append(_named(F.count(name), "non_null", name))
-        counts.append(_named(F.countDistinct(name), "distinct_n", name))
-    long = _long(df.agg(*counts), df.columns, ["non_null", "distinct_n"])
+    counts = _value_counts(df, df.columns).groupBy("column")
+    found = counts.agg(F.sum("n").alias("non_null"), F.count("value").alias("distinct_n"))
     kind = F.lit(None).cast("string")
     for field in df.schema.fields:
         kind = F.when(F.col("column") == field.name, F.lit(family(field.dataType))).otherwise(kind)
-    return long.withColumn("family", kind)
+    return _per_column(df, df.columns, found, ["non_null", "distinct_n"]).withColumn("family", kind)
 
 
 def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:

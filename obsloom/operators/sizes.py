@@ -1,8 +1,9 @@
-"""Proof of size before a broadcast."""
+"""Proof of size before a broadcast, and frames kept for repeated passes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 MAX_BROADCAST_ROWS = 200_000
 
@@ -25,3 +26,18 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """
     local = bounded(df, max_rows)
     return df if local is None else F.broadcast(local)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` persisted for an iterative fit, over at least as many partitions as there are cores.
+
+    The caller unpersists it. Large inputs have more partitions anyway and are not moved.
+    """
+    first = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows, cores = first.count(), df.sparkSession.sparkContext.defaultParallelism
+    if rows < 1000 * cores or first.rdd.getNumPartitions() >= cores:
+        return first
+    wide = first.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    wide.count()
+    first.unpersist()
+    return wide

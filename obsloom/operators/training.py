@@ -14,6 +14,7 @@ from pyspark.storagelevel import StorageLevel
 
 from obsloom.operators.evaluate import MacroF1, macro_metrics
 from obsloom.operators.oversample import with_class_weights
+from obsloom.operators.sizes import kept
 
 WEIGHT = "weight"
 
@@ -111,7 +112,7 @@ def _fold_scores(df, candidates, features, fold, folds, label, evaluator, missin
             filled = prepared.transform(train)
             train = resample(filled.select(*[c for c in df.columns if c not in features], *[F.col(f"__{c}").alias(c) for c in features]))
         weighted = with_class_weights(train, label, WEIGHT)
-        fitted = prepared.transform(weighted).select(label, WEIGHT, "features").persist(StorageLevel.MEMORY_AND_DISK)
+        fitted = kept(prepared.transform(weighted).select(label, WEIGHT, "features"))
         try:
             for candidate in candidates:
                 for point in candidate.grid:
@@ -161,7 +162,7 @@ def fit_classifier(
         filled = prepared.transform(known)
         train = resample(filled.select(*[c for c in known.columns if c not in features], *[F.col(f"__{c}").alias(c) for c in features]))
     weighted = with_class_weights(train, "label", WEIGHT)
-    vectors = prepared.transform(weighted).select("label", WEIGHT, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = kept(prepared.transform(weighted).select("label", WEIGHT, "features"))
     try:
         model = estimator.setLabelCol("label").fit(vectors)
     finally:

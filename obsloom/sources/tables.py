@@ -39,10 +39,18 @@ def with_event_date(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn(EVENT_DATE, F.to_date(F.col(time)))
 
 
+def by_day(df: DataFrame) -> DataFrame:
+    """Bring the rows of a day together before a write, so that a task writes few files.
+
+    Adaptive execution sizes the pieces: days that are small share a task, a large day is split.
+    """
+    return df.hint("rebalance", F.col(EVENT_DATE))
+
+
 def append_table(df: DataFrame, name: str, time: str) -> None:
-    """Append by column order of the table. Rows meet their day's files without a global sort."""
+    """Append by column order of the table."""
     target = df.sparkSession.read.table(name).columns
-    with_event_date(df, time).select(*target).write.mode("append").insertInto(name)
+    by_day(with_event_date(df, time).select(*target)).write.mode("append").insertInto(name)
 
 
 def newest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -62,13 +70,14 @@ def load_once(df: DataFrame, path: str, key: Sequence[str], time: str, order: Se
     for the same keys is looked up in the days at hand only.
     """
     spark = df.sparkSession
-    new = newest_by_key(with_event_date(df, time), key, order)
+    dated = with_event_date(df, time)
+    new = newest_by_key(dated, key, order)
     try:
         known = spark.read.parquet(path).where(F.col(LOAD) != F.lit(load_id))
     except AnalysisException:
         known = None
     if known is not None:
-        ends = new.agg(F.min(EVENT_DATE).alias("first"), F.max(EVENT_DATE).alias("last")).first()
+        ends = dated.agg(F.min(EVENT_DATE).alias("first"), F.max(EVENT_DATE).alias("last")).first()
         if ends["first"] is not None:
             at_hand = F.col(EVENT_DATE).between(F.lit(ends["first"]), F.lit(ends["last"]))
             known = known.where(at_hand | F.col(EVENT_DATE).isNull())
@@ -78,7 +87,7 @@ def load_once(df: DataFrame, path: str, key: Sequence[str], time: str, order: Se
             same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
         new = new.join(known, same, "left_anti")
     (
-        new.withColumn(LOAD, F.lit(load_id))
+        by_day(new.withColumn(LOAD, F.lit(load_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(EVENT_DATE, LOAD)
