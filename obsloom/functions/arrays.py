@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 
 def basket(items: Sequence[Column]) -> Column:
     """A sorted array of the distinct items that are not NULL."""
-    return F.array_sort(F.array_compact(F.array_distinct(F.array(*items))))
+    return F.sort_array(F.array_compact(F.array_distinct(F.array(*items))))
 
 
 def prefixed(prefix: str, value: Column) -> Column:
@@ -23,7 +23,7 @@ def any_in(items: Column, wanted: Sequence[str]) -> Column:
 
 def short_label(items: Column, keep: int = 3, sep: str = "+") -> Column:
     """The first ``keep`` items in order, and how many more there are."""
-    ordered = F.array_sort(items)
+    ordered = F.sort_array(items)
     more = F.size(items) - F.lit(keep)
     head = F.array_join(F.slice(ordered, 1, keep), sep)
     return F.when(more > 0, F.concat(head, F.lit(sep), more.cast("string"), F.lit("more"))).otherwise(head)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from obsloom.functions.arrays import any_in, short_label
 from obsloom.operators.sizes import small_side
+from obsloom.session import checkpointed
 
 MAX_BASKET = 12
 
@@ -29,10 +30,13 @@ def itemsets(
     however many rows stand behind them, unfold their subsets; all groups are mined in one job. Groups
     that ``min_support`` does not name are left out. Items must be distinct and not NULL.
     """
-    kept = df.where(F.col(group).isin(list(min_support)) & (F.size(items) > 0))
-    baskets = kept.groupBy(F.col(group), F.array_sort(items).alias("__basket")).agg(F.count("*").alias("__n"))
-    # the distinct baskets are few but unfold into many subsets: give every core its share of them
-    baskets = baskets.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    listed = df.where(F.col(group).isin(list(min_support)))
+    baskets = listed.groupBy(F.col(group), F.sort_array(items).alias("__basket")).agg(F.count("*").alias("__n"))
+    # one scan for all that follows; the distinct baskets are few but unfold into many subsets, so
+    # every core gets its share of them. Empty baskets are dropped here, as a filter on the items
+    # would be moved below whatever made them and make them twice.
+    baskets = checkpointed(baskets.repartition(df.sparkSession.sparkContext.defaultParallelism))
+    baskets = baskets.where(F.size("__basket") > 0)
     totals = baskets.groupBy(group).agg(F.sum("__n").alias("n_baskets"))
     guarded = F.when(
         F.size("__basket") > MAX_BASKET, F.raise_error(F.lit(f"a basket has over {MAX_BASKET} items; use fp_growth"))
@@ -108,8 +112,8 @@ def fp_growth_rules(
         )
         found = model.associationRules.select(
             F.lit(name).alias(group),
-            F.array_sort("antecedent").alias("antecedent"),
-            F.array_sort("consequent").alias("consequent"),
+            F.sort_array("antecedent").alias("antecedent"),
+            F.sort_array("consequent").alias("consequent"),
             "support",
             "confidence",
             "lift",
