@@ -14,8 +14,9 @@ def to_double(value: Column, digits: int | None = None) -> Column:
     return number if digits is None else F.round(number, digits)
 
 
-def to_int(value: Column) -> Column:
-    return value.try_cast("int")
+def to_int(value: Column, kind: str = "int") -> Column:
+    """Whole numbers, also from text such as ``12.0``; a fraction is cut off."""
+    return F.coalesce(value.try_cast(kind), value.try_cast("double").try_cast(kind))
 
 
 def to_boolean(value: Column) -> Column:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from obsloom.functions.rounding import half_up
+from obsloom.operators.joins import with_group_count
+
+MAX_CATEGORIES = 1000
 
 
 def group_count(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
@@ -52,9 +55,15 @@ def class_balance(df: DataFrame, column: str, flag_above: float = 70.0) -> DataF
 def filled_counts(
     df: DataFrame, period: str, category: str, categories: Sequence[str] | None = None, out: str = "n"
 ) -> DataFrame:
-    """Counts per period and category in long form, 0 where a pair does not occur."""
+    """Counts per period and category in long form, 0 where a pair does not occur.
+
+    One pass when the categories are given; else they are looked up first, and too many are an error.
+    """
     if categories is None:
-        categories = [r[0] for r in distinct_values(df.where(F.col(category).isNotNull()), category).collect()]
+        present = df.where(F.col(category).isNotNull()).select(category).distinct()
+        categories = sorted(r[0] for r in present.limit(MAX_CATEGORIES + 1).collect())
+        if len(categories) > MAX_CATEGORIES:
+            raise ValueError(f"{category} has over {MAX_CATEGORIES} values")
     counted = [F.count_if(F.col(category) == c).alias(f"__{i}") for i, c in enumerate(categories)]
     entries = [
         F.struct(F.lit(c).alias(category), F.col(f"__{i}").alias(out)) for i, c in enumerate(categories)
@@ -99,9 +108,7 @@ def distinct_values(df: DataFrame, key: str) -> DataFrame:
 
 def members(df: DataFrame, group: str, member: str) -> DataFrame:
     """``group, member, n_members``, one row per member: a group's members never meet in one cell."""
-    pairs = df.select(group, member).distinct()
-    sizes = pairs.groupBy(group).agg(F.count("*").alias("n_members"))
-    return pairs.join(sizes, group)
+    return with_group_count(df.select(group, member).distinct(), [group], "n_members")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -54,10 +54,19 @@ def numeric_and(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     return df.select(*numeric, *[t for t in targets if t in df.columns and t not in numeric])
 
 
+def convert(value: Column, current: T.DataType, data_type: T.DataType) -> Column:
+    """Tolerant cast to ``data_type``; only text needs to be read."""
+    if isinstance(current, T.StringType) or isinstance(data_type, T.BooleanType):
+        return typed(value, data_type)
+    return value.try_cast(data_type)
+
+
 def typed(value: Column, data_type: T.DataType) -> Column:
-    """Tolerant cast to ``data_type``."""
+    """Tolerant cast of text to ``data_type``."""
     if isinstance(data_type, T.BooleanType):
         return parsing.to_boolean(value)
+    if isinstance(data_type, T.IntegralType):
+        return parsing.to_int(value, data_type.simpleString())
     return value.try_cast(data_type)
 
 
@@ -76,7 +85,7 @@ def conform(df: DataFrame, schema: T.StructType, digits: Mapping[str, int] | Non
         elif current[field.name] == field.dataType:
             column = F.col(field.name)
         else:
-            column = typed(F.col(field.name), field.dataType)
+            column = convert(F.col(field.name), current[field.name], field.dataType)
         if field.name in digits:
             column = F.round(column, digits[field.name])
         out.append(column.alias(field.name))
@@ -88,7 +97,8 @@ def cast_columns(df: DataFrame, columns: Sequence[str], data_type: str = "double
     changed = {}
     for name in columns:
         if name in df.columns:
-            column = F.col(name).try_cast(data_type)
+            whole = data_type in ("int", "bigint")
+            column = parsing.to_int(F.col(name), data_type) if whole else F.col(name).try_cast(data_type)
             changed[name] = column if digits is None else F.round(column, digits)
     return df.withColumns(changed) if changed else df
 
