@@ -36,14 +36,15 @@ def work_folder(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder: on a cluster other machines
     could not read it, so there a missing setting is an error.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    context = spark.sparkContext
+    folder = context.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None)
+    folder = folder or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="obsloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="obsloom-"))
+    return context.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
