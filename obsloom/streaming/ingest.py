@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from obsloom.plans.medallion import KEY, to_silver
 from obsloom.sources.tables import load_once
@@ -41,8 +42,19 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, available_now:
 def each_batch(
     stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Run ``work`` per micro-batch; it must be repeatable, as a batch may come again after a failure."""
-    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+    """Run ``work`` per micro-batch; it must be repeatable, as a batch may come again after a failure.
+
+    The batch is kept while ``work`` runs, so that several passes read the source once.
+    """
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            work(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    writer = stream.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
