@@ -16,7 +16,7 @@ from obsloom.operators.aggregate import group_count
 from obsloom.operators.impute import apply_fills, learn_fills
 from obsloom.operators.joins import latest_per_key, lookup, one_latest_per_key, with_daily_range, with_group_count
 from obsloom.operators.scoring import is_normal
-from obsloom.operators.windows import add_lags
+from obsloom.operators.windows import HOT_ROWS, add_lags
 from obsloom.plans import weather
 from obsloom.plans.observations import observations, over_observations
 from obsloom.plans.registry import query, table
@@ -407,9 +407,10 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def lag_features_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions are large entities: the rows are cut into slices whatever the scale."""
+    """Regions are large entities: each is cut into slices, whatever the scale."""
     df = observations(spark, sf_dir).select("obs_id", "region", "time", "temp_max")
-    lagged = add_lags(df, {"temp_lag_3": "temp_max"}, "region", ["time", "obs_id"], offset=3, hot_rows=500)
+    hot_rows = min(HOT_ROWS, 1 + df.count() // 40)
+    lagged = add_lags(df, {"temp_lag_3": "temp_max"}, "region", ["time", "obs_id"], offset=3, hot_rows=hot_rows)
     return lagged.select("obs_id", "temp_lag_3")
 
 

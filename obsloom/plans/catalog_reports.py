@@ -288,7 +288,7 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("box_stats_by_rank", _box_oracle(LINE_NUMBERS))
 def box_stats_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way for columns too large for one task, taken whatever the scale."""
-    return _rounded_box(P.box_stats(table(spark, sf_dir, "lineitem"), LINE_NUMBERS, small_rows=0, resolution=100))
+    return _rounded_box(P.box_stats(table(spark, sf_dir, "lineitem"), LINE_NUMBERS, small_rows=0))
 
 
 @query("box_stats_approx")
@@ -391,7 +391,7 @@ def seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def seasonality_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem").select(F.month("l_shipdate").cast("bigint").alias("month"), "l_extendedprice")
-    spread = quantiles(df, ["l_extendedprice"], [0.25, 0.75], by=["month"], small_rows=0, resolution=50)
+    spread = quantiles(df, ["l_extendedprice"], [0.25, 0.75], by=["month"], small_rows=0)
     return spread.select("month", half_up(F.col("q")[0], 2).alias("q1"), half_up(F.col("q")[1], 2).alias("q3"))
 
 
