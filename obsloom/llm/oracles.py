@@ -11,3 +11,47 @@ select doc_id,
   sha256(norm) as text_sha256
 from n
 """
+
+QUALITY = r"""
+with d as (
+  select doc_id, source, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+win as (
+  select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)
+),
+twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, g) as n from win) where n > 1),
+covered as (select doc_id, count(distinct i + k) as n from twice, (select unnest([0, 1, 2]) as k) group by doc_id),
+raw as (
+  select doc_id, source, text, generate_subscripts(l, 1) as place, unnest(l) as line
+  from (select *, string_split(text, chr(10)) as l from d)
+),
+dup as (
+  select doc_id, count(*) - count(distinct line) as n from raw where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+),
+tidy as (
+  select doc_id, source, text, place, trim(lower(regexp_replace(line, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), ' ') as line from raw
+),
+spoken as (select *, len(string_split(line, ' ')) as words from tidy where line <> ''),
+texts as (select source, line, count(distinct text) as n from spoken group by source, line),
+hosts as (select source, count(distinct text) as n from spoken group by source),
+frequent as (
+  select t.source, t.line from texts t join hosts h on t.source is not distinct from h.source where t.n > 10 and t.n > 0.001 * h.n
+),
+removed as (
+  select s.doc_id, count(*) as n_lines, sum(s.words) as words
+  from spoken s join frequent f on s.source is not distinct from f.source and s.line = f.line group by s.doc_id
+),
+counts as (
+  select d.doc_id, len(w) as n_words, length(regexp_replace(d.text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+    length(d.text) - length(translate(d.text, '#*$%&|<>', '')) as n_symbols,
+    coalesce(dup.n, 0) as n_dup_lines, coalesce(covered.n, 0) as n_repeat_words,
+    coalesce(removed.words, 0)::bigint as removed_words, coalesce(removed.n_lines, 0) as n_removed_lines
+  from d left join dup using (doc_id) left join covered using (doc_id) left join removed using (doc_id)
+)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 2 * removed_words <= n_words as kept
+from counts
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from obsloom.llm import oracles
 from obsloom.llm.exact_dedup import exact_duplicates
+from obsloom.llm.quality import quality_report
 from obsloom.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -14,3 +15,8 @@ __all__ = ["ORACLES", "QUERIES"]
 @query("op6_exact_dedup", oracles.EXACT_DEDUP)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
+
+
+@query("op10_quality_rules", oracles.QUALITY)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(documents(spark, sf_dir))
