@@ -1,5 +1,7 @@
 """DuckDB texts that say the same as the queries."""
 
+from obsloom.llm.secrets import BASE_RULES, RULES
+
 EXACT_DEDUP = r"""
 with n as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents
@@ -55,3 +57,42 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
   not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 2 * removed_words <= n_words as kept
 from counts
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secret_spans() -> str:
+    """Spans of each rule from the lengths of the pieces between matches."""
+    parts = []
+    for rank, rule in enumerate(RULES):
+        pattern = _quoted(rule.pattern)
+        parts.append(f"""
+  select doc_id, {rank} as rank, '{rule.kind}' as kind, k,
+    (list_sum(list_transform(gaps[1:k], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: len(x))), 0))::bigint as a,
+    len(m[k]) as n
+  from (
+    select *, unnest(range(1, len(m) + 1)) as k from (
+      select doc_id, string_split_regex(text, {pattern}) as gaps, regexp_extract_all(text, {pattern}, 0) as m,
+        regexp_extract_all(text, {pattern}, {rule.group}) as held
+      from d where regexp_matches(text, {pattern})
+    )
+  ) where len(held[k]) >= {rule.least}""")
+    return " union all ".join(parts)
+
+
+SECRETS = f"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+spans as ({_secret_spans()}),
+text_of as (
+  select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+    count(*) filter (kind = 'hex') as n_hex,
+    string_agg(kind || ':' || a || ':' || (a + n), ',' order by a, rank) filter (rank < {len(BASE_RULES)}) as base,
+    string_agg(kind || ':' || a || ':' || (a + n), ',' order by a, rank) as spans
+  from spans group by doc_id
+)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, sha256(d.text) as blob
+from d left join text_of using (doc_id)
+"""

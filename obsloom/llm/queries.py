@@ -8,6 +8,8 @@ from obsloom.llm import oracles
 from obsloom.llm.exact_dedup import exact_duplicates
 from obsloom.llm.quality import quality_report
 from obsloom.llm.registry import ORACLES, QUERIES, documents, query
+from obsloom.llm.secrets import secret_report
+from obsloom.session import work_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -20,3 +22,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules", oracles.QUALITY)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(documents(spark, sf_dir))
+
+
+@query("op3_secret_scans", oracles.SECRETS)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir), work_path(spark, "ledger"))
