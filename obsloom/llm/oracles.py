@@ -96,3 +96,42 @@ select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_a
   sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, sha256(d.text) as blob
 from d left join text_of using (doc_id)
 """
+
+MIXING = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    substr(md5('9:' || coalesce(doc_id::varchar, '')), 1, 15) as key
+  from documents
+),
+sources as (select source, sum(size)::bigint as source_size from d group by source),
+weighed as (
+  select *, [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w, (sum(source_size) over () * 150)::bigint as mix
+  from sources
+),
+turns as (
+  select *, coalesce(sum(source_size * 200) over o, 0)::bigint as cap_before,
+    (sum(w) over () - coalesce(sum(w) over o, 0))::bigint as w_left
+  from weighed window o as (order by source_size / w, source nulls last rows between unbounded preceding and 1 preceding)
+),
+capped as (select *, (mix - cap_before) * w > source_size * 200 * w_left as capped from turns),
+shared as (
+  select *, (mix - coalesce(sum(case when capped then source_size * 200 end) over (), 0))::bigint as rest,
+    (coalesce(sum(case when not capped then w end) over (), 0) * 100)::bigint as sharing
+  from capped
+),
+goals as (
+  select source, source_size,
+    case when capped then source_size * 2.0::double else (rest * w)::double / sharing::double end as target,
+    case when capped then source_size * 2 else (rest * w) // sharing end as budget
+  from shared
+),
+sums as (
+  select d.doc_id, d.size, g.source_size, g.target, g.budget,
+    (sum(d.size) over (partition by d.source order by d.key, d.doc_id, d.size rows unbounded preceding) - d.size)::bigint as before,
+    case when g.source_size > 0 then g.budget // g.source_size else 0 end as passes
+  from d join goals g on d.source is not distinct from g.source
+)
+select doc_id, size, source_size, target, budget,
+  (passes * size + greatest(least(budget - passes * source_size - before, size), 0))::bigint as taken
+from sums
+"""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from obsloom.llm import oracles
+from obsloom.llm.byte_bpe import round_trip
 from obsloom.llm.exact_dedup import exact_duplicates
+from obsloom.llm.mixing import mix_plan
+from obsloom.llm.pii import pii_report
 from obsloom.llm.quality import quality_report
 from obsloom.llm.registry import ORACLES, QUERIES, documents, query
 from obsloom.llm.secrets import secret_report
@@ -27,3 +31,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_secret_scans", oracles.SECRETS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(documents(spark, sf_dir), work_path(spark, "ledger"))
+
+
+@query("op9_source_mixing", oracles.MIXING)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "budget")
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(documents(spark, sf_dir))
