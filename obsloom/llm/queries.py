@@ -13,6 +13,7 @@ from obsloom.llm.pii import pii_report
 from obsloom.llm.quality import quality_report
 from obsloom.llm.registry import ORACLES, QUERIES, documents, query
 from obsloom.llm.secrets import secret_report
+from obsloom.llm.token_files import read_token_files, write_token_files
 from obsloom.session import work_path
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -46,3 +47,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(documents(spark, sf_dir))
+
+
+@query("op2_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path)
