@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from obsloom.llm import oracles
 from obsloom.llm.byte_bpe import round_trip
 from obsloom.llm.exact_dedup import exact_duplicates
+from obsloom.llm.language import train_and_predict
 from obsloom.llm.mixing import mix_plan
 from obsloom.llm.pii import pii_report
 from obsloom.llm.quality import quality_report
@@ -54,3 +55,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "token-files")
     write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(spark, path)
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return train_and_predict(documents(spark, sf_dir))
