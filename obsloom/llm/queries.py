@@ -10,6 +10,7 @@ from obsloom.llm.byte_bpe import round_trip
 from obsloom.llm.exact_dedup import exact_duplicates
 from obsloom.llm.language import train_and_predict
 from obsloom.llm.mixing import mix_plan
+from obsloom.llm.ngram_join import similar_components
 from obsloom.llm.pii import pii_report
 from obsloom.llm.quality import quality_report
 from obsloom.llm.registry import ORACLES, QUERIES, documents, query
@@ -60,3 +61,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_language_id")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_and_predict(documents(spark, sf_dir))
+
+
+@query("op8_ngram_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(documents(spark, sf_dir)).drop("mark")
