@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsloom.llm.texts import SPACE, pick, shuffle_partitions, whole_text
+from obsloom.llm.texts import SPACE, Sealed, pick, shuffle_partitions, whole_text
 from obsloom.session import checkpointed
 
 #: Code points of a text that a splitter holds.
@@ -125,7 +125,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows that repeat an identifier and text all stay or all go, as nothing tells them apart.
     """
-    stays = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256")
-    marked = docs.withColumn("norm sha256", F.sha2(normalised(whole_text()), 256))
-    same = marked["doc_id"].eqNullSafe(stays["kept_id"]) & (marked["norm sha256"] == stays["text_sha256"])
-    return marked.join(stays, same, "left_semi").drop("norm sha256")
+    sealed, stays = Sealed(docs), exact_duplicates(docs).filter("kept").select("doc_id", "text_sha256")
+    digest = F.sha2(normalised(F.coalesce(sealed["text"], F.lit(""))), 256)
+    same = sealed["doc_id"].eqNullSafe(stays["doc_id"]) & (digest == stays["text_sha256"])
+    return sealed.opened(sealed.frame.join(stays, same, "left_semi"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from obsloom.llm.quality import words_of
-from obsloom.llm.texts import pick, text_mark, whole_text
+from obsloom.llm.texts import Sealed, pick, text_mark, whole_text
 from obsloom.session import checkpointed
 
 WEIGHTS = (5, 2, 1)
@@ -111,13 +111,12 @@ def mix_documents(docs: DataFrame, source: str = "source", weights: tuple[int, .
     plan = mix_plan(docs, source, weights, seed).filter("taken > 0")
     copies = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
     often = plan.groupBy("doc_id", "mark", *SOURCE).agg(F.max(copies).alias("copies")).filter("copies > 0")
-    often = often.toDF("plan id", "plan mark", "plan src", "plan no_src", "plan copies")
-    rows = docs.withColumn("own mark", text_mark(whole_text()))
+    sealed = Sealed(docs)
     same = (
-        rows["doc_id"].eqNullSafe(often["plan id"])
-        & (rows["own mark"] == often["plan mark"])
-        & (F.coalesce(rows[source].cast("string"), F.lit("")) == often["plan src"])
-        & (rows[source].isNull() == often["plan no_src"])
+        sealed["doc_id"].eqNullSafe(often["doc_id"])
+        & (text_mark(F.coalesce(sealed["text"], F.lit(""))) == often["mark"])
+        & (F.coalesce(sealed[source].cast("string"), F.lit("")) == often["src"])
+        & (sealed[source].isNull() == often["no_src"])
     )
-    taken = rows.join(often, same).withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("plan copies"))))
-    return taken.select(*[rows[c] for c in docs.columns])
+    taken = sealed.frame.join(often, same).withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return sealed.opened(taken)

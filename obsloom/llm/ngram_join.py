@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from obsloom.llm.byte_bpe import slices
 from obsloom.llm.components import components
 from obsloom.llm.shingles import identity, mix, shingle_set
-from obsloom.llm.texts import pick, shuffle_partitions, text_mark, whole_text
+from obsloom.llm.texts import Sealed, pick, shuffle_partitions, text_mark, whole_text
 from obsloom.session import work_path
 
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -353,3 +353,17 @@ def similar_components(docs: DataFrame) -> DataFrame:
     return found.documents.join(classes, ["low", "high", "n"], "left").select(
         "doc_id", "mark", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def drop_similar(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose component has a row with a smaller identifier; same columns.
+
+    Texts without words stay, as they are linked with nothing. Of rows without an identifier all stay unless
+    their component has one; rows that repeat an identifier and text stay or go together.
+    """
+    found = similar_components(docs)
+    stays = found.filter("component_id <=> doc_id").select("doc_id", "mark").distinct()
+    sealed = Sealed(docs)
+    mark = text_mark(F.coalesce(sealed["text"], F.lit("")))
+    same = sealed["doc_id"].eqNullSafe(stays["doc_id"]) & (mark == stays["mark"])
+    return sealed.opened(sealed.frame.join(stays, same, "left_semi"))

@@ -135,3 +135,36 @@ select doc_id, size, source_size, target, budget,
   (passes * size + greatest(least(budget - passes * source_size - before, size), 0))::bigint as taken
 from sums
 """
+
+LINES = r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+hashed as (select *, list_transform(l, lambda x: md5(x)) as h from d),
+rolled as (select *, list_transform(range(1, len(l) + 1), lambda i: md5(coalesce(h[i - 1], '') || h[i])) as r from hashed),
+ended as (
+  select *, list_filter(range(1, len(l) + 1), lambda i: i = len(l) or length(l[i]) >= 200
+    or coalesce(length(l[i + 1]) >= 200, false)
+    or (i > 1 and i < len(l) and r[i] < r[i - 1] and r[i] <= r[i + 1])) as e
+  from rolled
+),
+spans as (select *, unnest(range(1, len(e) + 1)) as k from ended),
+pieces as (
+  select doc_id, case when k = 1 then 1 else e[k - 1] + 1 end as a, e[k] as b, array_to_string(l[(case when k = 1 then 1 else e[k - 1] + 1 end):e[k]], chr(10)) as chunk
+  from spans
+),
+ranked as (
+  select *, count(*) over (partition by chunk) as n, row_number() over (partition by chunk order by doc_id nulls last, a) as nth,
+    len(regexp_extract_all(chunk, '[^\x20\x09-\x0D]+')) as words
+  from pieces
+),
+gone as (select doc_id, a, b from ranked where n > 1 and nth > 1 and (words >= 50 or (b - a + 1 >= 2 and words >= 10))),
+per_doc as (select doc_id, sum(b - a + 1)::bigint as n_lines, count(*) as n_chunks from gone group by doc_id),
+places as (select doc_id, unnest(range(a, b + 1)) as i from gone),
+kept as (
+  select x.doc_id, string_agg(x.line, chr(10) order by x.i) as t
+  from (select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i from d) x
+  left join places p on x.doc_id = p.doc_id and x.i = p.i where p.i is null group by x.doc_id
+)
+select d.doc_id, len(d.l) as n_lines, coalesce(g.n_lines, 0) as n_removed_lines, coalesce(g.n_chunks, 0) as n_removed_chunks,
+  coalesce(k.t, '') as clean_text
+from d left join per_doc g using (doc_id) left join kept k using (doc_id)
+"""

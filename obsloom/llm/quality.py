@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsloom.llm.texts import SPACE, pick, same_row, text_mark, whole_text
+from obsloom.llm.texts import SPACE, Sealed, pick, same_row, text_mark, whole_text
 
 #: Different texts of a host in which a line may stand: this many, or this share of the host's if that is more.
 MIN_TEXTS = 10
@@ -134,6 +134,10 @@ def removed_lines(docs: DataFrame, host: str, min_texts: int = MIN_TEXTS, share:
     return hits.groupBy(*DOC).agg(F.collect_list("place").alias("places"), F.sum("words").alias("removed_words"))
 
 
+def _failed() -> Column:
+    return (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
 def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text and the host column): the counts and the verdict.
 
@@ -148,7 +152,7 @@ def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_T
         F.coalesce("removed_words", F.lit(0).cast("long")).alias("removed_words"),
         F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_removed_lines"),
     )
-    failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    failed = _failed()
     depleted = F.col("removed_words") > MOST_REMOVED * F.col("n_words")
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
@@ -158,21 +162,14 @@ def apply_quality(docs: DataFrame, host: str = "source", min_texts: int = MIN_TE
 
     Columns stay as they are, ``n_chars`` (if there is one) follows the new text.
     """
-    rows = docs.withColumn("own mark", text_mark(whole_text()))
-    report = base_counts(docs, host)
-    failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    verdict = report.select(*DOC, "n_words", failed.alias("failed")).distinct()
+    sealed, report = Sealed(docs), base_counts(docs, host)
     removed = removed_lines(docs, host, min_texts, share)
+    verdict = report.select(*DOC, "n_words", _failed().alias("failed")).distinct()
     judged = verdict.join(removed, same_row(verdict, removed, *DOC), "left").filter(
         ~F.col("failed") & (F.coalesce("removed_words", F.lit(0)) <= MOST_REMOVED * F.col("n_words"))
-    ).select(verdict["doc_id"].alias("own id"), verdict["mark"].alias("kept mark"), verdict["host"].alias("own host"), "places")
-    kept = rows.join(
-        judged,
-        rows["doc_id"].eqNullSafe(judged["own id"]) & (rows["own mark"] == judged["kept mark"]) & rows[host].eqNullSafe(judged["own host"]),
-    )
-    clean = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("places", i)), "\n")
-    text = F.when(F.col("places").isNull(), F.col("text")).otherwise(clean)
-    out = kept.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    ).select(*[verdict[c] for c in DOC], "places")
+    mark = text_mark(F.coalesce(sealed["text"], F.lit("")))
+    same = sealed["doc_id"].eqNullSafe(judged["doc_id"]) & (mark == judged["mark"]) & sealed[host].eqNullSafe(judged["host"])
+    clean = F.array_join(F.filter(F.split(sealed["text"], "\n", -1), lambda _, i: ~F.array_contains("places", i)), "\n")
+    text = F.when(F.col("places").isNull(), sealed["text"]).otherwise(clean)
+    return sealed.opened(sealed.frame.join(judged, same), text)

@@ -9,6 +9,7 @@ from obsloom.llm import oracles
 from obsloom.llm.byte_bpe import round_trip
 from obsloom.llm.exact_dedup import exact_duplicates
 from obsloom.llm.language import train_and_predict
+from obsloom.llm.line_dedup import line_report
 from obsloom.llm.mixing import mix_plan
 from obsloom.llm.ngram_join import similar_components
 from obsloom.llm.pii import pii_report
@@ -66,3 +67,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(documents(spark, sf_dir)).drop("mark")
+
+
+@query("op1_line_dedup", oracles.LINES)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(documents(spark, sf_dir))

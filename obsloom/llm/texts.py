@@ -42,3 +42,30 @@ def same_row(left: DataFrame, right: DataFrame, *names: str) -> Column:
 def shuffle_partitions(df: DataFrame) -> int:
     """The number of partitions that the session gives to a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+class Sealed:
+    """A table whose columns go by place while operators work, so that no name can clash.
+
+    ``frame`` has the columns under private names and ``name`` gives the private name of one; ``opened``
+    takes the columns back out of a frame derived from it, under their own names and in their order.
+    """
+
+    def __init__(self, docs: DataFrame):
+        self.columns = docs.columns
+        self.frame = docs.toDF(*[f"sealed {i}" for i in range(len(docs.columns))])
+
+    def name(self, column: str) -> str:
+        return f"sealed {self.columns.index(column)}"
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(f"`{self.name(column)}`")
+
+    def opened(self, frame: DataFrame, text: Column | None = None) -> DataFrame:
+        """With ``text`` in place of the column text; ``n_chars``, if there is one, then follows it."""
+        values = [F.col(f"`sealed {i}`") for i in range(len(self.columns))]
+        if text is not None:
+            values[self.columns.index("text")] = text
+            if "n_chars" in self.columns:
+                values[self.columns.index("n_chars")] = F.length(text).cast("long")
+        return frame.select(*values).toDF(*self.columns)
