@@ -1,6 +1,6 @@
 """Links between documents with nearly the same set of word shingles, and their components.
 
-Jaccard similarity of 0.9 or more, exact. Equal sets are one class, and only classes are compared.
+Jaccard similarity, exact. Equal sets are one class, and only classes are compared.
 
 1.  A set's shingles are dealt by hash into a few parts, one more than two linked sets can differ in; so two
     linked sets agree in one part at least. Classes that share no part with another class are done.
@@ -19,6 +19,7 @@ Sets are named by 128 bits, shingles by 64; pairs are compared by the whole sets
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,6 @@ from obsloom.llm.shingles import identity, mix, shingle_set
 from obsloom.llm.texts import Sealed, pick, shuffle_partitions, text_mark, whole_text
 from obsloom.session import work_path
 
-#: Linked when 100 * intersection >= PERCENT * union.
-PERCENT = 90
 #: Blocks of positions in an index list.
 BLOCKS = 4
 #: Bits of the filter that spares texts of settled classes a shuffle; the join after it is exact.
@@ -43,43 +42,69 @@ HELD = 1 << 21
 _U = np.uint64
 
 
-def class_bounds(most: int) -> list[int]:
-    """First sizes of the size classes up to ``most``: linked sets are in the same class or in adjacent ones."""
-    bounds = [1]
-    while bounds[-1] <= most:
-        bounds.append(max(bounds[-1] + 1, (bounds[-1] - 1) * 100 // PERCENT + 1))
-    return bounds
+@dataclass(frozen=True)
+class Measure:
+    """Sets of shingles of ``words`` words, linked when 100 * intersection >= ``percent`` * union."""
 
+    words: int = 3
+    percent: int = 90
 
-def most_different(first_of_next: int) -> int:
-    """Elements that two linked sets of sizes below ``first_of_next`` can differ in."""
-    return 2 * (first_of_next - 1) * (100 - PERCENT) // (100 + PERCENT)
+    def set_of(self, text: str) -> np.ndarray:
+        return shingle_set(text, self.words)
 
+    def class_bounds(self, most: int) -> list[int]:
+        """First sizes of the size classes up to ``most``: linked sets are in the same class or in adjacent ones."""
+        bounds = [1]
+        while bounds[-1] <= most:
+            bounds.append(max(bounds[-1] + 1, (bounds[-1] - 1) * 100 // self.percent + 1))
+        return bounds
 
-def signatures(tokens: np.ndarray, bounds: list[int]) -> np.ndarray:
-    """Hashes of the parts of a set, for its own size class and for the next one, where it meets larger sets.
+    def most_different(self, first_of_next: int) -> int:
+        """Elements that two linked sets of sizes below ``first_of_next`` can differ in."""
+        return 2 * (first_of_next - 1) * (100 - self.percent) // (100 + self.percent)
 
-    A class in which linked sets cannot differ has no parts, as equal sets are one class already.
-    """
-    own = int(np.searchsorted(bounds, len(tokens), side="right")) - 1
-    found = []
-    spread = mix(tokens * _U(0x9E3779B97F4A7C15) + _U(77))
-    for scheme in (own, own + 1):
-        parts = most_different(bounds[scheme + 1]) + 1
-        if parts == 1:
-            continue
-        part = ((spread >> _U(33)) * _U(parts) >> _U(31)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        sums = np.zeros(parts, dtype=np.uint64)
-        here, first = np.unique(part[order], return_index=True)
-        sums[here] = np.add.reduceat(mix(tokens[order] + _U(5)), first)
-        found.append(mix(sums * _U(0xC2B2AE3D27D4EB4F) + np.arange(parts, dtype=np.uint64) * _U(1 << 32) + _U(scheme + 1)))
-    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signatures(self, tokens: np.ndarray, bounds: list[int]) -> np.ndarray:
+        """Hashes of the parts of a set, for its own size class and for the next one, where it meets larger sets.
+
+        A class in which linked sets cannot differ has no parts, as equal sets are one class already.
+        """
+        own = int(np.searchsorted(bounds, len(tokens), side="right")) - 1
+        found = []
+        spread = mix(tokens * _U(0x9E3779B97F4A7C15) + _U(77))
+        values = mix(tokens + _U(5))
+        for scheme in (own, own + 1):
+            parts = self.most_different(bounds[scheme + 1]) + 1
+            if parts == 1:
+                continue
+            part = ((spread >> _U(33)) * _U(parts) >> _U(31)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            sums = np.zeros(parts, dtype=np.uint64)
+            here, first = np.unique(part[order], return_index=True)
+            sums[here] = np.add.reduceat(values[order], first)
+            found.append(mix(sums * _U(0xC2B2AE3D27D4EB4F) + np.arange(parts, dtype=np.uint64) * _U(1 << 32) + _U(scheme + 1)))
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+
+    def first_places(self, n: Column) -> Column:
+        """Length of the prefix in which a linked set must share a shingle."""
+        return n - F.ceil(n * self.percent / F.lit(100)) + 1
+
+    def may_link(self, n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
+        """Size and position bounds of two entries of one list, if the list's shingle is their first common one."""
+        needed = F.ceil((n + other_n) * self.percent / F.lit(100 + self.percent))
+        return (F.least(n - pos, other_n - other_pos) >= needed) & (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * self.percent)
+
+    def linked(self, one: np.ndarray, other: np.ndarray) -> bool:
+        both = len(np.intersect1d(one, other, assume_unique=True))
+        return 100 * both >= self.percent * (len(one) + len(other) - both)
+
+
+#: For near duplicates where nothing else is asked for.
+NEAR = Measure(words=5, percent=80)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        rows = [(len(s), *identity(s)) for s in (shingle_set(t) for t in batch.column("text").to_pylist())]
+        rows = [(len(s), *identity(s)) for s in map(measure.set_of, batch.column("text").to_pylist())]
         n, low, high = zip(*rows)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())],
@@ -91,12 +116,12 @@ def _longs(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names=names)
 
 
-def _part_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _part_rows(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[pa.RecordBatch]:
     """(key, low, sure): the parts of each set. Sets that share a part inside the task are sure already.
 
     Of these only the first goes on with its part; each has one more row, by which it is known as sure.
     """
-    bounds = class_bounds(1 << 20)
+    bounds = measure.class_bounds(1 << 20)
     parts: list[np.ndarray] = []
     owners: list[np.ndarray] = []
     seen: set[int] = set()
@@ -115,7 +140,7 @@ def _part_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in slices(batches):
         for text in batch.column("text").to_pylist():
-            tokens = shingle_set(text)
+            tokens = measure.set_of(text)
             if not len(tokens):
                 continue
             low = identity(tokens)[0]
@@ -123,8 +148,8 @@ def _part_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             seen.add(low)
             if len(tokens) >= bounds[-2]:
-                bounds = class_bounds(2 * len(tokens))
-            found = signatures(tokens, bounds)
+                bounds = measure.class_bounds(2 * len(tokens))
+            found = measure.signatures(tokens, bounds)
             parts.append(found)
             owners.append(np.full(len(found), low, dtype=np.int64))
             size += len(found)
@@ -158,9 +183,9 @@ def _open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _longs(found, names=["low"])
 
 
-def open_classes(texts: DataFrame) -> DataFrame:
+def open_classes(texts: DataFrame, measure: Measure) -> DataFrame:
     """(low): names of the sets that may be linked with a different one."""
-    rows = texts.select("text").mapInArrow(_part_rows, "key long, low long, sure long")
+    rows = texts.select("text").mapInArrow(lambda batches: _part_rows(batches, measure), "key long, low long, sure long")
     sorted_rows = rows.repartition(shuffle_partitions(texts), "key").sortWithinPartitions("key", "low")
     return sorted_rows.mapInArrow(_open_sets, "low long").distinct()
 
@@ -187,64 +212,51 @@ def _with_bits(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return rows.mapInArrow(keep, rows.schema)
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokens(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 128):
-        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        sets = [measure.set_of(t) for t in batch.column("text").to_pylist()]
         ids = np.repeat(batch.column("id").to_numpy(), [len(s) for s in sets])
         yield _longs(np.concatenate(sets), ids, names=["token", "id"])
 
 
-def first_places(n: Column) -> Column:
-    """Length of the prefix in which a linked set must share a shingle."""
-    return n - F.ceil(n * PERCENT / F.lit(100)) + 1
-
-
-def index_lists(sets: DataFrame) -> DataFrame:
+def index_lists(sets: DataFrame, measure: Measure) -> DataFrame:
     """Entries (token, id, n, pos) of the first shingles, rarest first, of the open sets (id, n, text).
 
     Shingles of one set alone come first of all; they count as positions but need no list.
     """
-    tokens = sets.mapInArrow(_tokens, "token long, id long")
+    tokens = sets.mapInArrow(lambda batches: _tokens(batches, measure), "token long, id long")
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     common = tokens.join(counts, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
     room = common.join(sets.select("id", "n"), "id").withColumn("alone", F.col("n") - F.size("common"))
-    room = room.withColumn("left", (first_places(F.col("n")) - F.col("alone")).cast("int")).filter("left > 0")
+    room = room.withColumn("left", (measure.first_places(F.col("n")) - F.col("alone")).cast("int")).filter("left > 0")
     entries = room.select("id", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("left"))).alias("at", "entry"))
     return entries.select("entry.token", "id", "n", (F.col("alone") + F.col("at")).alias("pos"))
 
 
-def may_link(n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
-    """Size and position bounds of two entries of one list, if the list's shingle is their first common one."""
-    both = n + other_n
-    needed = F.ceil(both * PERCENT / F.lit(100 + PERCENT))
-    return (F.least(n - pos, other_n - other_pos) >= needed) & (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * PERCENT)
-
-
-def leader_pairs(entries: DataFrame) -> DataFrame:
+def leader_pairs(entries: DataFrame, measure: Measure) -> DataFrame:
     """(a, b): each entry with the leader of its list."""
     leaders = entries.groupBy("token").agg(F.min(F.struct("pos", "id", "n")).alias("lead"))
     met = entries.join(leaders, "token").filter(F.col("id") != F.col("lead.id"))
-    met = met.filter(may_link(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos")))
+    met = met.filter(measure.may_link(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos")))
     return met.select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b")).distinct()
 
 
-def _size_class() -> Column:
-    """Number of a set's size class, as ``class_bounds`` counts them."""
-    bounds = class_bounds(1 << 40)
+def _size_class(bounds: list[int]) -> Column:
+    """Number of a set's size class."""
     table = F.array(*map(F.lit, bounds))
     return F.size(F.filter(table, lambda b: b <= F.col("n"))) - 1
 
 
-def list_pairs(entries: DataFrame) -> DataFrame:
+def list_pairs(entries: DataFrame, measure: Measure) -> DataFrame:
     """(a, b): pairs of entries of one list with different ``label``, by blocks of positions.
 
     A block is joined only with blocks whose smallest positions add up to no more than linked sets of their
     size classes can differ in.
     """
-    bounds = class_bounds(1 << 40)
-    differ = F.array(*[F.lit(most_different(b)) for b in bounds[1:]], F.lit(most_different(2 * bounds[-1])))
+    bounds = measure.class_bounds(1 << 40)
+    differ = F.array(*[F.lit(measure.most_different(b)) for b in [*bounds[1:], 2 * bounds[-1]]])
     placed = (
-        entries.withColumn("own", _size_class())
+        entries.withColumn("own", _size_class(bounds))
         .withColumn("scheme", F.explode(F.array("own", F.col("own") + 1)))
         .withColumn("most", F.get(differ, F.col("scheme")))
         .withColumn("width", F.floor(F.col("most") / BLOCKS) + 1)
@@ -256,29 +268,27 @@ def list_pairs(entries: DataFrame) -> DataFrame:
     left = left.select(F.col("token"), F.col("scheme"), F.col("wanted").alias("block"), *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "pos", "label")])
     right = placed.select("token", "scheme", "block", *[F.col(c).alias(f"r_{c}") for c in ("id", "n", "pos", "label")])
     met = left.join(right, ["token", "scheme", "block"]).filter((F.col("l_id") < F.col("r_id")) & (F.col("l_label") != F.col("r_label")))
-    met = met.filter(may_link(F.col("l_n"), F.col("l_pos"), F.col("r_n"), F.col("r_pos")))
+    met = met.filter(measure.may_link(F.col("l_n"), F.col("l_pos"), F.col("r_n"), F.col("r_pos")))
     return met.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).distinct()
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[pa.RecordBatch]:
     last_text, last_set = None, None
     for batch in slices(batches, 256):
         keep = []
         for one, other in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
             if one != last_text:
-                last_text, last_set = one, shingle_set(one)
-            tokens = shingle_set(other)
-            both = len(np.intersect1d(last_set, tokens, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(last_set) + len(tokens) - both))
-        found = batch.filter(pa.array(keep))
+                last_text, last_set = one, measure.set_of(one)
+            keep.append(measure.linked(last_set, measure.set_of(other)))
+        found = batch.filter(pa.array(keep, pa.bool_()))
         yield pa.RecordBatch.from_arrays([found.column("a"), found.column("b")], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
     """The pairs (a, b) that are links, by their whole sets."""
     one = sets.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     other = sets.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(other, "b").mapInArrow(_linked, "a long, b long")
+    return pairs.join(one, "a").join(other, "b").mapInArrow(lambda batches: _linked(batches, measure), "a long, b long")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -291,44 +301,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 class Classes:
     """Documents, the classes of their sets, and the open classes with their texts."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, measure: Measure):
+        self.measure = measure
         rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text")).withColumn("mark", text_mark(F.col("text")))
         self.documents = stored(
-            rows.select("doc_id", "mark", "text").mapInArrow(_sets, "doc_id long, mark long, n long, low long, high long"), "sets"
+            rows.select("doc_id", "mark", "text").mapInArrow(
+                lambda batches: _sets(batches, measure), "doc_id long, mark long, n long, low long, high long"), "sets"
         )
         rep = F.min(F.struct("doc_id", "mark")).alias("rep")
         classes = self.documents.filter("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("least"), rep)
         self.classes = stored(classes, "classes")
-        may = open_classes(rows)
+        may = open_classes(rows, measure)
         self.open = stored(self.classes.join(may, "low", "left_semi").withColumn("id", F.monotonically_increasing_id()), "open")
         reps = self.open.select("id", "n", F.col("rep.doc_id").alias("rep_id"), F.col("rep.mark").alias("mark"))
         near = _with_bits(rows.select("doc_id", "mark", "text"), reps)
         same = (near["mark"] == reps["mark"]) & near["doc_id"].eqNullSafe(reps["rep_id"])
         texts = near.join(reps, same).select("id", "n", "text").dropDuplicates(["id"])
         self.texts = stored(texts, "open-texts")
-        self.entries = stored(index_lists(self.texts), "lists")
+        self.entries = stored(index_lists(self.texts, measure), "lists")
 
     def all_links(self) -> DataFrame:
         """Every link (a, b) between different open classes, by their ids."""
-        return verified(list_pairs(self.entries.withColumn("label", F.col("id"))), self.texts)
+        return verified(list_pairs(self.entries.withColumn("label", F.col("id")), self.measure), self.texts, self.measure)
 
     def spanning_links(self) -> DataFrame:
         """Links enough to connect all that is linked."""
-        first = stored(leader_pairs(self.entries), "first-pairs")
-        links = stored(verified(first, self.texts), "first-links")
+        first = stored(leader_pairs(self.entries, self.measure), "first-pairs")
+        links = stored(verified(first, self.texts, self.measure), "first-links")
         labels = components(links)
         labelled = self.entries.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         mixed = labelled.groupBy("token").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter("one <> other")
-        rest = list_pairs(labelled.join(mixed.select("token"), "token", "left_semi")).join(first, ["a", "b"], "left_anti")
-        return links.unionByName(verified(rest, self.texts))
+        rest = list_pairs(labelled.join(mixed.select("token"), "token", "left_semi"), self.measure).join(first, ["a", "b"], "left_anti")
+        return links.unionByName(verified(rest, self.texts, self.measure))
 
 
-def similar_pairs(docs: DataFrame) -> DataFrame:
+def similar_pairs(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """All links between different sets, (a, b) as the smallest identifiers of the documents that have them.
 
     Documents with equal sets are found by ``similar_components``.
     """
-    found = Classes(docs)
+    found = Classes(docs, measure)
     least = found.open.select("id", "least")
     one, other = least.toDF("a", "least_a"), least.toDF("b", "least_b")
     return found.all_links().join(one, "a").join(other, "b").select(
@@ -336,14 +348,14 @@ def similar_pairs(docs: DataFrame) -> DataFrame:
     )
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
+def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, mark of the text, n_shingles, component_id.
 
     ``component_id`` is the smallest doc_id that links reach, its own included. Null and empty texts have no
     shingles and are linked with nothing. Repeated rows get the same component; null identifiers count only
     where a component has no other. An empty table gives no rows; other columns are not looked at.
     """
-    found = Classes(docs)
+    found = Classes(docs, measure)
     labels = components(found.spanning_links())
     names = found.open.join(labels, "id").select("low", "high", "n", "label", "least")
     least = names.groupBy("label").agg(F.min("least").alias("component"))
@@ -355,13 +367,13 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_similar(docs: DataFrame) -> DataFrame:
+def drop_similar(docs: DataFrame, measure: Measure = NEAR) -> DataFrame:
     """``docs`` without the rows whose component has a row with a smaller identifier; same columns.
 
     Texts without words stay, as they are linked with nothing. Of rows without an identifier all stay unless
     their component has one; rows that repeat an identifier and text stay or go together.
     """
-    found = similar_components(docs)
+    found = similar_components(docs, measure)
     stays = found.filter("component_id <=> doc_id").select("doc_id", "mark").distinct()
     sealed = Sealed(docs)
     mark = text_mark(F.coalesce(sealed["text"], F.lit("")))

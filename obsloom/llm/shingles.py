@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import numpy as np
 
-SIZE = 3
 #: Bytes of a text that are worked on at once.
 PART = 1 << 20
 
@@ -61,10 +60,10 @@ def word_hashes(text: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; fewer words than ``SIZE`` make one shingle of them all."""
+def shingle_set(text: str, size: int = 3) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of ``size`` words; a text of fewer words is one shingle."""
     words = word_hashes(text)
-    n = min(SIZE, len(words))
+    n = min(size, len(words))
     if not n:
         return words
     total = np.full(len(words) - n + 1, n, dtype=np.uint64)
