@@ -46,8 +46,9 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code = np.where(letters()[np.minimum(codes, 0x10FFFF)], codes, 0).astype(np.uint64)
     # One space between runs of letters: a place stays if it is a letter or follows one, or begins a text.
     spoken = code != 0
-    stays = spoken | np.concatenate([[True], spoken[:-1]]) | (np.concatenate([[1], np.diff(owner)]) > 0)
-    code, owner = code[stays], owner[stays]
+    begins = np.concatenate([[True], np.diff(owner) > 0])
+    stays = spoken | np.concatenate([[True], spoken[:-1]]) | begins
+    code, owner, begins = code[stays], owner[stays], begins[stays]
     if len(code) < 3:
         return (np.zeros(0, dtype=np.int64),) * 3
     a, b, c = code[:-2], code[1:-1], code[2:]
@@ -55,7 +56,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bucket = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(48)).astype(np.int64)
     holds = (b != 0) | (a != 0) & (c != 0)
     own = owner[1:-1]
-    inside = holds & (own < len(texts)) & (own >= 0)
+    inside = holds & ~begins[1:-1] & (own < len(texts))
     pair, count = np.unique(own[inside] * BUCKETS + bucket[inside], return_counts=True)
     return pair // BUCKETS, pair % BUCKETS, count
 
