@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from obsloom.functions.rounding import half_up
 from obsloom.operators.joins import with_group_count
 
-MAX_CATEGORIES = 1000
-
 
 def group_count(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
     """Rows per group, largest first, ties by key."""
@@ -29,10 +27,16 @@ def group_mean(
 
 
 def agg_topn(
-    df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], order: Sequence[Column | str], n: int = 500
+    df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], order: Sequence[Column | str], n: int, place: str | None = None
 ) -> DataFrame:
-    """Rollup, order, first ``n``: a top-k per partition, then of those. Ties go by key."""
-    return df.groupBy(*keys).agg(*aggregates).orderBy(*order, *keys).limit(n)
+    """Rollup, order, first ``n``: a top-k per partition, then of those. Ties go by key.
+
+    With ``place`` the rows are numbered in their order, so that it outlives a later shuffle.
+    """
+    top = df.groupBy(*keys).agg(*aggregates).orderBy(*order, *keys).limit(n)
+    if place is None:
+        return top
+    return top.withColumn(place, F.row_number().over(W.orderBy(*order, *keys)).cast("bigint")).orderBy(place)
 
 
 def with_share(
@@ -45,11 +49,11 @@ def with_share(
 
 def class_balance(df: DataFrame, column: str, flag_above: float = 70.0) -> DataFrame:
     """``column, n, pct, majority_pct, imbalanced``."""
-    balance = with_share(df.groupBy(column).agg(F.count("*").alias("n")), "n")
-    everything = W.partitionBy()
-    return balance.withColumn("majority_pct", F.max("pct").over(everything)).withColumn(
-        "imbalanced", F.col("majority_pct") > F.lit(flag_above)
-    )
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    totals = counts.agg(F.sum("n").alias("__all"), F.max("n").alias("__most"))
+    share = lambda n: half_up(F.col(n) / F.col("__all") * 100, 2)
+    rows = counts.join(totals, how="cross").withColumn("pct", share("n")).withColumn("majority_pct", share("__most"))
+    return rows.drop("__all", "__most").withColumn("imbalanced", F.col("majority_pct") > F.lit(flag_above))
 
 
 def filled_counts(
@@ -57,13 +61,17 @@ def filled_counts(
 ) -> DataFrame:
     """Counts per period and category in long form, 0 where a pair does not occur.
 
-    One pass when the categories are given; else they are looked up first, and too many are an error.
+    One pass when the categories are given; else all pairs come from the distinct periods and categories.
     """
     if categories is None:
-        present = df.where(F.col(category).isNotNull()).select(category).distinct()
-        categories = sorted(r[0] for r in present.limit(MAX_CATEGORIES + 1).collect())
-        if len(categories) > MAX_CATEGORIES:
-            raise ValueError(f"{category} has over {MAX_CATEGORIES} values")
+        counts = df.groupBy(period, category).agg(F.count("*").alias(out))
+        domain = counts.agg(F.array_compact(F.collect_set(category)).alias("__domain"))
+        pairs = counts.select(period).distinct().join(domain, how="cross")
+        pairs = pairs.select(F.col(period).alias("__period"), F.explode("__domain").alias("__category"))
+        met = F.col(period).eqNullSafe(F.col("__period")) & (F.col(category) == F.col("__category"))
+        return pairs.join(counts, met, "left").select(
+            F.col("__period").alias(period), F.col("__category").alias(category), F.coalesce(out, F.lit(0).cast("bigint")).alias(out)
+        )
     counted = [F.count_if(F.col(category) == c).alias(f"__{i}") for i, c in enumerate(categories)]
     entries = [
         F.struct(F.lit(c).alias(category), F.col(f"__{i}").alias(out)) for i, c in enumerate(categories)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from obsloom.operators.aggregate import group_mean
-from obsloom.operators.sizes import kept
+from obsloom.operators.sizes import FIT_PARTITIONS, kept
 from obsloom.operators.splitting import hash_sample
 
 SCALED = "__scaled"
@@ -68,6 +68,7 @@ def kmeans_sweep(
     seed: int = 42,
     max_iter: int = 20,
     restarts: int = 1,
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """``k, cost, silhouette`` for each k, over a sample by ``key`` when ``sample`` is below 1."""
     chosen = df.select(*dict.fromkeys([*(key or []), *features])).dropna(subset=list(features))
@@ -75,7 +76,7 @@ def kmeans_sweep(
         if not key:
             raise ValueError("a sample needs the row key")
         chosen = hash_sample(chosen, key, sample, seed)
-    vectors = kept(scaled_vectors(chosen, features).select(SCALED))
+    vectors = kept(scaled_vectors(chosen, features).select(SCALED), partitions)
     evaluator = ClusteringEvaluator(
         featuresCol=SCALED, predictionCol="cluster", metricName="silhouette", distanceMeasure="squaredEuclidean"
     )
@@ -96,21 +97,35 @@ def best_k(sweep: DataFrame) -> int:
 
 
 def cluster_rows(
-    df: DataFrame, features: Sequence[str], k: int, seed: int = 42, max_iter: int = 30, restarts: int = 1
+    df: DataFrame,
+    features: Sequence[str],
+    k: int,
+    seed: int = 42,
+    max_iter: int = 30,
+    restarts: int = 1,
+    partitions: int = FIT_PARTITIONS,
 ) -> tuple[PipelineModel, DataFrame]:
-    """The fitted pipeline, and the complete rows with their ``cluster``."""
+    """The fitted pipeline, and all rows with their ``cluster``, NULL where a feature lacks."""
     scaling = Pipeline(stages=scaling_stages(features)).fit(df)
-    vectors = kept(scaling.transform(df.select(*features)).select(SCALED))
+    vectors = kept(scaling.transform(df.select(*features)).select(SCALED), partitions)
     try:
         model = kmeans_fit(vectors, k, SCALED, seed, max_iter, restarts)
     finally:
         vectors.unpersist()
     pipeline = PipelineModel(stages=[*scaling.stages, model])
-    return pipeline, pipeline.transform(df).drop("__raw", SCALED)
+    return pipeline, with_incomplete(pipeline.transform(df).drop("__raw", SCALED), df, features)
+
+
+def with_incomplete(found: DataFrame, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``found``, made from the complete rows of ``df``, and the other rows, whose new columns are NULL."""
+    lacks = F.lit(False)
+    for name in features:
+        lacks = lacks | F.col(name).isNull() | F.isnan(F.col(name).cast("double"))
+    return found.unionByName(df.where(lacks), allowMissingColumns=True)
 
 
 def cluster_means(clustered: DataFrame, features: Sequence[str], digits: int = 3) -> DataFrame:
-    return group_mean(clustered, ["cluster"], features, digits)
+    return group_mean(clustered.where(F.col("cluster").isNotNull()), ["cluster"], features, digits)
 
 
 def cluster_entities(
@@ -118,26 +133,26 @@ def cluster_entities(
 ) -> tuple[DataFrame, DataFrame]:
     """Cluster entities by their mean readings: (k sweep, entity means with ``cluster``)."""
     means = group_mean(df.where(F.col(entity).isNotNull()), [entity], features, None, "").dropna()
-    means = means.persist(StorageLevel.MEMORY_AND_DISK)
+    means = means.coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         top = min(max_k, means.count() - 1)
         if top < 2:
             raise ValueError("at least 3 entities are needed")
-        sweep = kmeans_sweep(means, features, range(2, top + 1), seed=seed, restarts=restarts)
-        _, clustered = cluster_rows(means, features, best_k(sweep), seed, restarts=restarts)
+        sweep = kmeans_sweep(means, features, range(2, top + 1), seed=seed, restarts=restarts, partitions=1)
+        _, clustered = cluster_rows(means, features, best_k(sweep), seed, restarts=restarts, partitions=1)
     finally:
         means.unpersist()
     return sweep, clustered
 
 
 def project(df: DataFrame, features: Sequence[str], k: int = 2) -> tuple[list[float], DataFrame]:
-    """Principal components: (explained variance shares, rows with ``pc1`` .. ``pck``)."""
+    """Principal components: (explained variance shares, all rows with ``pc1`` .. ``pck``, NULL where a feature lacks)."""
     stages = [*scaling_stages(features), PCA(k=k, inputCol=SCALED, outputCol="__pc")]
     model = Pipeline(stages=stages).fit(df)
     shares = [float(v) for v in model.stages[-1].explainedVariance]
     points = model.transform(df).withColumn("__pc", vector_to_array("__pc"))
     out = points.withColumns({f"pc{i + 1}": F.col("__pc")[i] for i in range(k)})
-    return shares, out.drop("__raw", SCALED, "__pc")
+    return shares, with_incomplete(out.drop("__raw", SCALED, "__pc"), df, features)
 
 
 def silhouette(df: DataFrame, features: Sequence[str], cluster: str, max_clusters: int = 1000) -> DataFrame:

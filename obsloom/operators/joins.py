@@ -2,28 +2,24 @@
 
 Group values reach the rows by aggregate-then-join, not by a window: the aggregate combines before
 its shuffle, and a hot key in the join is split by adaptive execution, where a window would put
-all rows of the key into one task.
+all rows of the key into one task. Only groups with a natural bound, such as an entity's day, use one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from obsloom.operators.sizes import MAX_BROADCAST_ROWS, small_side
 
-
-def with_group_values(
-    df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def with_group_values(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
     """Every row with the aggregates of its group. NULL keys form a group of their own."""
     marks = [f"__key_{i}" for i in range(len(keys))]
     groups = df.groupBy(*[F.col(k).alias(m) for k, m in zip(keys, marks)]).agg(*aggregates)
     condition = F.lit(True)
     for key, mark in zip(keys, marks):
         condition = condition & F.col(key).eqNullSafe(F.col(mark))
-    return df.join(small_side(groups, max_rows), condition, "left").drop(*marks)
+    return df.join(groups, condition, "left").drop(*marks)
 
 
 def with_group_count(df: DataFrame, keys: Sequence[str], out: str = "group_count") -> DataFrame:
@@ -33,16 +29,18 @@ def with_group_count(df: DataFrame, keys: Sequence[str], out: str = "group_count
 def with_daily_range(
     df: DataFrame, entity: str, time: str, high: str, low: str, out: str = "daily_range"
 ) -> DataFrame:
-    """Highest ``high`` minus lowest ``low`` of the entity's day, on every row of that day."""
-    dated = df.withColumn("__day", F.to_date(F.col(time)))
-    spread = (F.max(high) - F.min(low)).alias(out)
-    return with_group_values(dated, [entity, "__day"], [spread]).drop("__day")
+    """Highest ``high`` minus lowest ``low`` of the entity's day, on every row of that day.
+
+    A day bounds the readings of an entity, so one window does it with one shuffle.
+    """
+    day = W.partitionBy(F.col(entity), F.to_date(F.col(time)))
+    return df.withColumn(out, F.max(high).over(day) - F.min(low).over(day))
 
 
 def latest_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
     """The rows at each key's latest time; ties all stay."""
     latest = df.where(F.col(time).isNotNull()).groupBy(key).agg(F.max(time).alias(time))
-    return df.join(small_side(latest), [key, time], "left_semi")
+    return df.join(latest, [key, time], "left_semi")
 
 
 def one_latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -62,12 +60,11 @@ def lookup(
 ) -> DataFrame:
     """Add ``out`` from a dimension: a dict, or a frame with ``key`` and ``value`` columns.
 
-    Keys that are not in the dimension get ``default``. A frame must have one row per key; it is
-    broadcast only when its size is proven.
+    Keys that are not in the dimension get ``default``. A frame must have one row per key; Spark chooses
+    the join by its size.
     """
     if isinstance(mapping, DataFrame):
-        dim = mapping.select(F.col(key).alias("__key"), F.col(value or out).alias("__value"))
-        side = small_side(dim)
+        side = mapping.select(F.col(key).alias("__key"), F.col(value or out).alias("__value"))
     else:
         side = F.broadcast(
             df.sparkSession.createDataFrame(list(mapping.items()), "__key string, __value string")

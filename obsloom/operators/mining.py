@@ -8,53 +8,59 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from obsloom.functions.arrays import any_in, short_label
-from obsloom.operators.sizes import small_side
 from obsloom.session import checkpointed
 
-MAX_BASKET = 12
 
-
-def _by_group(group: str, values: Mapping[str, float]) -> Column:
-    chosen = F.lit(None).cast("double")
+def _by_group(group: str, values: Mapping[str, float], default: float) -> Column:
+    """The group's value; groups that are not named, and NULL, have the default."""
+    chosen = F.lit(float(default))
     for name, value in values.items():
         chosen = F.when(F.col(group) == name, F.lit(float(value))).otherwise(chosen)
     return chosen
 
 
 def itemsets(
-    df: DataFrame, items: str, group: str, min_support: Mapping[str, float], max_size: int | None = None
+    df: DataFrame, items: str, group: str, min_support: Mapping[str, float], default: float, max_size: int | None = None
 ) -> DataFrame:
     """``group, items, freq, n_baskets`` for every itemset that reaches its group's support.
 
-    For short baskets over few items. Equal baskets are counted first, so that only the distinct ones,
-    however many rows stand behind them, unfold their subsets; all groups are mined in one job. Groups
-    that ``min_support`` does not name are left out. Items must be distinct and not NULL.
+    Equal baskets are counted first, so the work depends on the distinct ones; all groups are mined at
+    once. Size by size, a basket's frequent sets grow by its later items that are frequent themselves, and
+    only sets that are frequent grow further, so baskets may have any length. Items must be distinct
+    and not NULL.
     """
-    listed = df.where(F.col(group).isin(list(min_support)))
-    baskets = listed.groupBy(F.col(group), F.sort_array(items).alias("__basket")).agg(F.count("*").alias("__n"))
-    # one scan for all that follows; the distinct baskets are few but unfold into many subsets, so
-    # every core gets its share of them. Empty baskets are dropped here, as a filter on the items
-    # would be moved below whatever made them and make them twice.
-    baskets = checkpointed(baskets.repartition(df.sparkSession.sparkContext.defaultParallelism))
-    baskets = baskets.where(F.size("__basket") > 0)
+    baskets = df.groupBy(F.col(group), F.sort_array(items).alias("__basket")).agg(F.count("*").alias("__n"))
+    baskets = checkpointed(baskets.where(F.size("__basket") > 0).withColumn("__id", F.monotonically_increasing_id()))
     totals = baskets.groupBy(group).agg(F.sum("__n").alias("n_baskets"))
-    guarded = F.when(
-        F.size("__basket") > MAX_BASKET, F.raise_error(F.lit(f"a basket has over {MAX_BASKET} items; use fp_growth"))
-    ).otherwise(F.sequence(F.lit(1), F.power(F.lit(2), F.size("__basket")).cast("int") - 1))
-    subset = F.filter("__basket", lambda _, i: F.bit_get(F.col("__mask"), i) == 1)
-    masks = baskets.select(group, "__basket", "__n", F.explode(guarded).alias("__mask"))
-    if max_size is not None:
-        masks = masks.where(F.bit_count("__mask") <= max_size)
-    counted = masks.groupBy(F.col(group), subset.alias("items")).agg(F.sum("__n").alias("freq"))
-    needed = F.ceil(_by_group(group, min_support) * F.col("n_baskets"))
-    return (
-        counted.join(small_side(totals), group)
-        .where(F.col("freq") >= needed)
-        .select(group, "items", "freq", "n_baskets")
+    needed = totals.select(
+        F.struct(group).alias("__g"), "n_baskets", F.ceil(_by_group(group, min_support, default) * F.col("n_baskets")).alias("__needed")
     )
 
-
-def rules(found: DataFrame, group: str, min_confidence: Mapping[str, float]) -> DataFrame:
+    def frequent(sets: DataFrame) -> DataFrame:
+        counted = sets.groupBy("__g", "items").agg(F.sum("__n").alias("freq"))
+        return checkpointed(counted.join(needed, "__g").where(F.col("freq") >= F.col("__needed")).drop("__needed"))
+
+    single = baskets.select(F.struct(group).alias("__g"), "__id", "__n", F.explode("__basket").alias("item"))
+    found = frequent(single.withColumn("items", F.array("item")))
+    listed = single.join(found.select("__g", F.col("items")[0].alias("item")), ["__g", "item"])
+    # what is left of a basket: its frequent items in order
+    left = listed.groupBy("__g", "__id", "__n").agg(F.sort_array(F.collect_list("item")).alias("rest"))
+    sets = checkpointed(left.select("__g", "__id", "__n", "rest", F.posexplode("rest").alias("last", "item")).select(
+        "__g", "__id", "__n", "rest", "last", F.array("item").alias("items")
+    ))
+    every, size = found, 1
+    while not found.isEmpty() and (max_size is None or size < max_size):
+        size += 1
+        later = F.sequence(F.col("last") + 1, F.size("rest") - 1)
+        grown = sets.where(F.col("last") + 1 < F.size("rest")).select("__g", "__id", "__n", "rest", "items", F.explode(later).alias("last"))
+        grown = grown.withColumn("items", F.array_append("items", F.get("rest", F.col("last"))))
+        found = frequent(grown)
+        sets = checkpointed(grown.join(found.select("__g", "items"), ["__g", "items"], "left_semi"))
+        every = every.unionByName(found)
+    return every.select(F.col(f"__g.{group}").alias(group), "items", "freq", "n_baskets")
+
+
+def rules(found: DataFrame, group: str, min_confidence: Mapping[str, float], default: float) -> DataFrame:
     """``group, antecedent, consequent, support, confidence, lift`` with one item on the right."""
     whole = found.where(F.size("items") > 1).select(
         group, "freq", "n_baskets", "items", F.explode("items").alias("__right")
@@ -82,7 +88,7 @@ def rules(found: DataFrame, group: str, min_confidence: Mapping[str, float]) ->
             confidence.alias("confidence"),
             (confidence / (F.col("__right_freq") / F.col("n_baskets"))).alias("lift"),
         )
-        .where(F.col("confidence") >= _by_group(group, min_confidence))
+        .where(F.col("confidence") >= _by_group(group, min_confidence, default))
     )
 
 
@@ -102,14 +108,15 @@ def fp_growth_rules(
     group: str,
     min_support: Mapping[str, float],
     min_confidence: Mapping[str, float],
+    default_support: float,
+    default_confidence: float,
     partitions: int | None = None,
 ) -> DataFrame:
-    """One FP-growth fit per named group, the rules in the layout of :func:`rules`."""
+    """One FP-growth fit per group, the rules in the layout of :func:`rules`; for a handful of groups."""
     united = None
-    for name in min_support:
-        model = fp_growth(
-            df.where(F.col(group) == name), items, min_support[name], min_confidence[name], partitions
-        )
+    for name in sorted(r[0] for r in df.select(group).where(F.col(group).isNotNull()).distinct().collect()):
+        support, confidence = min_support.get(name, default_support), min_confidence.get(name, default_confidence)
+        model = fp_growth(df.where(F.col(group) == name), items, support, confidence, partitions)
         found = model.associationRules.select(
             F.lit(name).alias(group),
             F.sort_array("antecedent").alias("antecedent"),

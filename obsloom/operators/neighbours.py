@@ -19,7 +19,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from obsloom.operators.ranks import in_bucket, value_edges
-from obsloom.operators.sizes import small_side
 from obsloom.session import checkpointed
 
 BLOCK_ROWS = 2000
@@ -114,7 +113,7 @@ def nearest_neighbours(
     def search(queries: DataFrame, known: DataFrame) -> DataFrame:
         """Split each block's queries over as many tasks as their number asks for."""
         parts = queries.groupBy("g", "block").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("parts"))
-        side = small_side(parts)
+        side = parts
         asked = queries.join(side, ["g", "block"]).withColumn(
             "part", F.pmod(F.col("point"), F.col("parts")).cast("int")
         )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from obsloom.operators.neighbours import as_vector, nearest_neighbours
 from obsloom.operators.ranks import cuts_passed, seeded_hash
-from obsloom.operators.sizes import small_side
+from obsloom.operators.sizes import measured
 
 CHUNK = 1000
 
@@ -23,7 +23,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(small_side(weights), label)
+    return df.join(measured(weights), label)
 
 
 def _fraction(*parts) -> object:

@@ -60,6 +60,8 @@ def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         value = F.col(name)
         if isinstance(kind, (T.DoubleType, T.FloatType)):
             value = value + F.lit(0.0)  # minus zero is zero
+        elif isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)  # as text, the two instants of a repeated hour would be one
         elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
             value = F.when(value.isNotNull(), F.to_json(F.struct(value)))
         entries.append(F.struct(F.lit(name).alias("column"), value.cast("string").alias("value")))

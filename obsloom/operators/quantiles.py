@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window as W
 
-from obsloom.operators.ranks import in_bucket, rank_cuts, value_edges
-
-SMALL_ROWS = 2_000_000
+#: Rank accuracy of the pass that narrows a quantile down; about 4 rows in so many are then looked at.
+ACCURACY = 1000
 
 
 def quantiles(
@@ -17,60 +17,82 @@ def quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
-    small_rows: int = SMALL_ROWS,
-    resolution: int = 1000,
+    narrow: int = ACCURACY,
 ) -> DataFrame:
     """Long table ``by, column, q`` with ``q`` the values at ``probabilities``.
 
-    With ``accuracy`` one pass of ``percentile_approx``. Otherwise exact with linear interpolation
-    between neighbours: Spark's own ``percentile`` while the frame has at most ``small_rows`` rows (it
-    keeps every distinct value of a group in one task), beyond that order statistics by rank.
+    With ``accuracy`` one pass of ``percentile_approx``. Otherwise exact, with linear interpolation between
+    neighbours: approximate quantiles a little below and above each wanted rank enclose it for certain, so it
+    is enough to count what lies below and to order the few values between.
     """
     probabilities = [float(p) for p in probabilities]
-    if accuracy is None and df.count() > small_rows:
-        return _by_rank(df, columns, probabilities, by, resolution)
     if accuracy is None:
-        found = [F.percentile(F.col(c).cast("double"), probabilities).alias(f"__{i}") for i, c in enumerate(columns)]
-    else:
-        found = [
-            F.percentile_approx(F.col(c).cast("double"), probabilities, accuracy).alias(f"__{i}")
-            for i, c in enumerate(columns)
-        ]
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("q")) for i, c in enumerate(columns)
+        return _exact(df, columns, probabilities, by, narrow)
+    found = [
+        F.percentile_approx(F.col(c).cast("double"), probabilities, accuracy).alias(f"__{i}") for i, c in enumerate(columns)
     ]
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("q")) for i, c in enumerate(columns)]
     return df.groupBy(*by).agg(*found).select(*by, F.inline(F.array(*entries)))
 
 
-def _by_rank(
-    df: DataFrame, columns: Sequence[str], probabilities: list[float], by: Sequence[str], resolution: int
-) -> DataFrame:
-    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    edges = value_edges(numbers, columns, resolution)
-    marks = {c: f"__bucket_{i}" for i, c in enumerate(columns)}
-    for name in columns:
-        numbers = in_bucket(numbers, name, edges[name], marks[name])
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(marks[c]).alias("bucket")) for c in columns
-    ]
+def _exact(df: DataFrame, columns: Sequence[str], probabilities: list[float], by: Sequence[str], narrow: int) -> DataFrame:
     keys = [f"__by_{i}" for i in range(len(by))]
-    group_columns = [F.struct(F.col(b)).alias(k) for b, k in zip(by, keys)]
-    long = numbers.select(*group_columns, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    values = [f"__v_{i}" for i in range(len(columns))]
+    rows = df.select(
+        F.struct(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.lit(0).alias("__all")).alias("__group"),
+        *[F.col(c).cast("double").alias(v) for c, v in zip(columns, values)],
+    )
+    margin = 2.0 / narrow
+    ends = [max(0.0, p - margin) for p in probabilities] + [min(1.0, p + margin) for p in probabilities] + [0.0, 1.0]
+    guesses = rows.groupBy("__group").agg(
+        *[F.percentile_approx(v, ends, narrow).alias(f"{v}_ends") for v in values],
+        *[F.count(v).alias(f"{v}_n") for v in values],
+    )
+    # NaN is the largest number for Spark; it stays where an order puts it.
+    met = rows.join(guesses, "__group")
+    wanted = range(len(probabilities))
+
+    def span(v: str, j: int) -> tuple[Column, Column]:
+        # with few values a neighbour's rank may lie outside the margin, so they are all looked at
+        few, at = F.col(f"{v}_n") <= 2 * narrow, F.col(f"{v}_ends")
+        return F.when(few, at[len(ends) - 2]).otherwise(at[j]), F.when(few, at[len(ends) - 1]).otherwise(at[j + len(probabilities)])
+
+    below = [F.count_if(F.col(v) < span(v, j)[0]).alias(f"{v}_{j}") for v in values for j in wanted]
+    sizes = [F.first(f"{v}_n").alias(f"{v}_n") for v in values]
+    counts = met.groupBy("__group").agg(*below, *sizes).select(
+        "__group",
+        F.inline(F.array(*[
+            F.struct(F.lit(i).alias("c"), F.lit(j).alias("j"), F.col(f"{v}_{j}").alias("below"), F.col(f"{v}_n").alias("n"))
+            for i, v in enumerate(values) for j in wanted
+        ])),
+    )
+    near = F.array(*[
+        F.when(
+            (F.col(v) >= span(v, j)[0]) & (F.col(v) <= span(v, j)[1]),
+            F.struct(F.lit(i).alias("c"), F.lit(j).alias("j"), F.col(v).alias("v")),
+        )
+        for i, v in enumerate(values) for j in wanted
+    ])
+    between = (
+        met.select("__group", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x"))
+        .groupBy("__group", "x.c", "x.j", "x.v").agg(F.count("*").alias("copies"))
+    )
+    running = W.partitionBy("__group", "c", "j").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    placed = between.withColumn("upto", F.sum("copies").over(running)).join(counts.filter("n > 0"), ["__group", "c", "j"])
+    p = F.array(*map(F.lit, probabilities))[F.col("j")]
+    place = p * (F.col("n") - 1)
+    low, high = F.floor(place) + 1, F.ceil(place) + 1
+    last, first = F.col("below") + F.col("upto"), F.col("below") + F.col("upto") - F.col("copies")
 
-    def position(p: float):
-        return F.lit(p) * (F.col("group_n") - 1)
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank > first) & (rank <= last), F.col("v")))
 
-    ranks = [F.floor(position(p)).cast("bigint") + 1 for p in probabilities]
-    ranks += [F.ceil(position(p)).cast("bigint") + 1 for p in probabilities]
-    cuts = rank_cuts(long, [*keys, "column"], ["value"], "bucket", F.array(*ranks))
-    found = cuts.groupBy(*keys, "column").agg(
-        F.first("group_n").alias("group_n"),
-        F.map_from_entries(F.collect_list(F.struct("rank", F.col("cut.value")))).alias("at"),
+    found = placed.groupBy("__group", "c", "j").agg(at(low).alias("low"), at(high).alias("high"), F.first(place).alias("place"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
+    gathered = found.groupBy("__group", "c").agg(F.sort_array(F.collect_list(F.struct("j", value.alias("q")))).alias("found"))
+    names = F.array(*map(F.lit, columns))
+    return gathered.select(
+        *[F.col(f"__group.{k}").alias(b) for b, k in zip(by, keys)],
+        F.get(names, F.col("c")).alias("column"),
+        F.transform("found", lambda x: x["q"]).alias("q"),
     )
-    values = []
-    for p in probabilities:
-        low = F.element_at("at", F.floor(position(p)).cast("bigint") + 1)
-        high = F.element_at("at", F.ceil(position(p)).cast("bigint") + 1)
-        values.append(low + (high - low) * (position(p) - F.floor(position(p))))
-    flat = [F.col(f"{k}.{b}").alias(b) for b, k in zip(by, keys)]
-    return found.select(*flat, "column", F.array(*values).alias("q"))

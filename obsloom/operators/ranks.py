@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from obsloom.operators.sizes import small_side
+from obsloom.operators.sizes import measured
 
 HASH_DIGITS = 4  # 65,536 buckets
 
@@ -56,7 +56,7 @@ def rank_cuts(
     )
     running = W.partitionBy(*by, bucket).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
-        rows.join(small_side(targets), [*by, bucket])
+        rows.join(measured(targets), [*by, bucket])
         .groupBy(*by, bucket, *order)
         .agg(
             F.count("*").alias("copies"),
@@ -88,7 +88,7 @@ def cuts_passed(
 ) -> DataFrame:
     """How many of the group's cuts lie before a row: 0 up to the first cut, and so on.
 
-    The rows are not shuffled: each group's cuts, a short array, are broadcast when few.
+    Each group has one short array of cuts; as long as Spark broadcasts them the rows are not shuffled.
     """
     cuts = (
         seeded_cuts(df, by, key, seed, wanted)
@@ -98,7 +98,7 @@ def cuts_passed(
     position = F.struct(seeded_hash(key, seed).alias("__hash"), *[F.col(c) for c in key])
     passed = F.size(F.filter("__cuts", lambda cut: cut < position))
     return (
-        df.join(small_side(cuts), list(by), "left")
+        df.join(measured(cuts), list(by), "left")
         .withColumn(out, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(passed))
         .drop("__cuts")
     )
@@ -141,7 +141,7 @@ def running_totals(
         *[F.sum(v).over(whole).alias(f"{v}_total") for v in values],
     )
     inside = W.partitionBy(*by, "__bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    joined = bucketed.join(small_side(offsets), [*by, "__bucket"])
+    joined = bucketed.join(offsets, [*by, "__bucket"])
     for v in values:
         joined = joined.withColumn(
             f"{v}_before", F.col(f"__{v}_offset") + F.coalesce(F.sum(v).over(inside), F.lit(0))

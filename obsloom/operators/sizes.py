@@ -1,43 +1,32 @@
-"""Proof of size before a broadcast, and frames kept for repeated passes."""
+"""Frames whose bytes Spark knows, and frames kept for repeated passes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
-MAX_BROADCAST_ROWS = 200_000
+from obsloom.session import work_path
 
+#: Partitions of a frame that is fitted repeatedly, at least; a fixed number, so that a fit comes out the
+#: same on any cluster.
+FIT_PARTITIONS = 8
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a local table when it has at most ``max_rows`` rows, else None.
 
-    Meant for frames that an aggregate has already made small. At most ``max_rows + 1`` rows are read.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The side of a join: marked for broadcast when its size is proven, else left to Spark.
+def measured(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared work folder and read again.
 
-    The unmarked side is joined by shuffle, where adaptive execution splits skewed partitions.
+    Spark then plans a join by the bytes of the files: below its broadcast threshold the side is sent to
+    every executor, beyond it both sides are shuffled. For sides that an aggregate has made small.
     """
-    local = bounded(df, max_rows)
-    return df if local is None else F.broadcast(local)
+    path = work_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` persisted for an iterative fit, over at least as many partitions as there are cores.
+def kept(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """``df`` persisted for an iterative fit, in at least so many partitions.
 
     The caller unpersists it. Large inputs have more partitions anyway and are not moved.
     """
-    first = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows, cores = first.count(), df.sparkSession.sparkContext.defaultParallelism
-    if rows < 1000 * cores or first.rdd.getNumPartitions() >= cores:
-        return first
-    wide = first.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    wide.count()
-    first.unpersist()
-    return wide
+    wide = df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions)
+    return wide.persist(StorageLevel.MEMORY_AND_DISK)

@@ -12,21 +12,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from obsloom.operators.ranks import cuts_passed, seeded_hash
 
-NULL_NAME = "__NULL__"
 STRATUM = "__stratum"
 
 
 def stratum(columns: Sequence[str]) -> Column:
-    """One text per combination; NULL counts as a value."""
-    if not columns:
-        return F.lit("__all__")
-    return F.concat_ws("||", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_NAME)) for c in columns])
+    """The columns' values side by side: a struct groups and joins with NULL as a value like any other."""
+    return F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate(columns)]) if columns else F.struct(F.lit(0).alias("s0"))
 
 
-def train_size(n: Column, train_ratio: float) -> Column:
-    """Rows of a stratum that train: at least one, and one left for the test, if there are two."""
-    share = F.floor(n * F.lit(float(train_ratio))).cast("bigint")
-    return F.when(n <= 1, n).otherwise(F.greatest(F.lit(1).cast("bigint"), F.least(n - 1, share)))
+def tested_rows(group_n: Column, train_ratio: float) -> Column:
+    """Rows of a stratum that the training leaves over; of two rows or more each side gets one."""
+    left_over = group_n - F.floor(group_n * F.lit(float(train_ratio)))
+    clamped = F.least(F.greatest(left_over, F.lit(1)), group_n - 1)
+    return F.greatest(clamped, F.lit(0)).cast("bigint")
 
 
 def mark_split(
@@ -43,7 +41,7 @@ def mark_split(
         [STRATUM],
         key,
         seed,
-        F.array(train_size(F.col("group_n"), train_ratio)),
+        F.array(F.col("group_n") - tested_rows(F.col("group_n"), train_ratio)),
         "__passed",
     )
     return marked.withColumn(out, F.when(F.col("__passed") == 0, "train").otherwise("test")).drop(
@@ -81,14 +79,11 @@ def hash_sample(df: DataFrame, key: Sequence[str], fraction: float, seed: int =
 
 
 def cap_rows(df: DataFrame, key: Sequence[str], max_rows: int, seed: int = 42) -> DataFrame:
-    """Exactly ``max_rows`` rows by seeded order when there are more, else all."""
-    whole = df.withColumn(STRATUM, F.lit("__all__"))
+    """Exactly ``max_rows`` rows by seeded order when there are more, else all.
+
+    Meant for one use, a bound on the rows that a classifier is fitted on; evaluation takes all rows.
+    """
+    whole = df.withColumn(STRATUM, stratum([]))
     wanted = F.array(F.least(F.col("group_n"), F.lit(max_rows).cast("bigint")))
     marked = cuts_passed(whole, [STRATUM], key, seed, wanted, "__passed")
     return marked.where(F.col("__passed") == 0).drop(STRATUM, "__passed")
-
-
-def cap_rows_roughly(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
-    """About ``max_rows`` rows: a Bernoulli sample, only when there are more."""
-    total = df.count()
-    return df if total <= max_rows else bernoulli_sample(df, max_rows / total, seed)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from obsloom.operators.evaluate import MacroF1, macro_metrics
@@ -17,6 +18,8 @@ from obsloom.operators.oversample import with_class_weights
 from obsloom.operators.sizes import kept
 
 WEIGHT = "weight"
+#: Fits that run side by side.
+PARALLEL = 4
 
 
 def label_index(df: DataFrame, label: str, out: str = "label") -> StringIndexerModel:
@@ -55,7 +58,7 @@ def random_forest(trees: int = 100, depth: int = 8, seed: int = 42) -> RandomFor
 def boosted_trees(rounds: int = 100, rate: float = 0.1, depth: int = 3, seed: int = 42, classes: int = 2) -> Estimator:
     """Gradient boosting; one model per class against the rest when there are more than two."""
     single = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed)
-    return single.setWeightCol(WEIGHT) if classes == 2 else OneVsRest(classifier=single, weightCol=WEIGHT)
+    return single.setWeightCol(WEIGHT) if classes == 2 else OneVsRest(classifier=single, weightCol=WEIGHT, parallelism=PARALLEL)
 
 
 # The grids searched by default.
@@ -114,13 +117,19 @@ def _fold_scores(df, candidates, features, fold, folds, label, evaluator, missin
         weighted = with_class_weights(train, label, WEIGHT)
         fitted = kept(prepared.transform(weighted).select(label, WEIGHT, "features"))
         try:
-            for candidate in candidates:
-                for point in candidate.grid:
-                    model = candidate.make(**point).setLabelCol(label).fit(fitted)
-                    predicted = model.transform(test).select(label, "prediction").persist(StorageLevel.MEMORY_AND_DISK)
-                    plain = macro_metrics(predicted, label, "prediction").first()
-                    found = (evaluator.evaluate(predicted), plain["accuracy"], plain["recall"])
-                    predicted.unpersist()
+
+            def scores(candidate: Candidate, point: Mapping[str, object]) -> tuple[float, float, float]:
+                model = candidate.make(**point).setLabelCol(label).fit(fitted)
+                predicted = model.transform(test).select(label, "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+                plain = macro_metrics(predicted, label, "prediction").first()
+                found = (evaluator.evaluate(predicted), plain["accuracy"], plain["recall"])
+                predicted.unpersist()
+                return found
+
+            asked = [(candidate, point) for candidate in candidates for point in candidate.grid]
+            with ThreadPoolExecutor(PARALLEL) as pool:
+                results = pool.map(lambda one: scores(*one), asked)
+                for (candidate, point), found in zip(asked, results):
                     total = sums.setdefault((candidate.name, str(dict(point))), [0.0, 0.0, 0.0])
                     for j, value in enumerate(found):
                         total[j] += value / folds
@@ -131,9 +140,10 @@ def _fold_scores(df, candidates, features, fold, folds, label, evaluator, missin
 
 
 def rank_candidates(board: DataFrame, digits: int = 6) -> DataFrame:
-    """The leaderboard, best first: by score, then accuracy, then recall; close scores count as equal."""
+    """The leaderboard with its ``place``, best first: by score, then accuracy, then recall; close scores are equal."""
     order = [F.desc(F.round(c, digits)) for c in ("score", "accuracy", "recall")]
-    return board.orderBy(*order, "candidate", "point")
+    placed = board.withColumn("place", F.row_number().over(W.orderBy(*order, "candidate", "point")).cast("bigint"))
+    return placed.orderBy("place")
 
 
 def choose(board: DataFrame, candidates: Sequence[Candidate]) -> tuple[str, Estimator]:

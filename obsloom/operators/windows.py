@@ -1,76 +1,19 @@
 """Earlier readings of the same entity, for entities of any size.
 
-``lag`` needs the rows of an entity in order. A window gives them, but all in one task. Entities above
-``hot_rows`` are therefore cut into time slices; a row near the start of a slice takes its value from
-the last rows of the slices before, a table with a handful of rows per slice.
+``lag`` needs the rows of an entity in order. A window over the entity gives them, but all in one task. Here
+all rows are cut into ranges of the whole order, entity first; a row takes its value from its own range or,
+near the range's start, from the last rows of the ranges before, a table with a handful of rows per range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from obsloom.operators.sizes import MAX_BROADCAST_ROWS, small_side
+from obsloom.operators.ranges import cut_points, default_ranges, range_number
 
-HOT_ROWS = 5_000_000
-MAX_ROUNDS = 8
-SLICE = "__slice"
-
-
-def _as_number(df: DataFrame, name: str) -> Column | None:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    return None
-
-
-def order_slices(
-    df: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, bool]:
-    """Add ``__slice``, which splits large entities into pieces that follow ``order``.
-
-    A slice that is still too large is cut again: by the first order column while it varies, then by
-    the next. Returns the frame and whether anything was cut.
-    """
-    ends = {name: _as_number(df, name) for name in order}
-    ends = {name: value for name, value in ends.items() if value is not None}
-    sliced, cut = df.withColumn(SLICE, F.array().cast("array<bigint>")), False
-    for _ in range(MAX_ROUNDS):
-        spread = []
-        for i, value in enumerate(ends.values()):
-            spread += [F.min(value).alias(f"__lo_{i}"), F.max(value).alias(f"__hi_{i}")]
-        varies = F.lit(False)
-        for i in range(len(ends)):
-            varies = varies | (F.col(f"__lo_{i}") < F.col(f"__hi_{i}"))
-        # a group with a NULL in the order is not cut by that column, so NULLs keep their place
-        hot = (
-            sliced.groupBy(key, SLICE)
-            .agg(F.count("*").alias("__rows"), *spread, *[F.count(v).alias(f"__n_{i}") for i, v in enumerate(ends.values())])
-            .where((F.col("__rows") > hot_rows) & varies)
-        )
-        if hot.isEmpty():
-            break
-        cut = True
-        slot = None
-        for i, value in enumerate(ends.values()):
-            low, high = F.col(f"__lo_{i}"), F.col(f"__hi_{i}")
-            width = (high - low) / F.ceil(F.col("__rows") / F.lit(hot_rows / 2))
-            can = (low < high) & (F.col(f"__n_{i}") == F.col("__rows"))
-            here = F.floor((value - low) / width).cast("bigint")
-            slot = F.when(can, here) if slot is None else slot.when(can, here)
-        side = small_side(hot.withColumnsRenamed({key: "__hot_key", SLICE: "__hot_slice"}))
-        marks = [c for c in side.columns]
-        sliced = (
-            sliced.join(
-                side, F.col(key).eqNullSafe(F.col("__hot_key")) & (F.col(SLICE) == F.col("__hot_slice")), "left"
-            )
-            .withColumn(SLICE, F.concat(SLICE, F.array(F.coalesce(slot, F.lit(0).cast("bigint")))))
-            .drop(*marks)
-        )
-    return sliced, cut
+RANGE = "__range"
 
 
 def add_lags(
@@ -79,50 +22,40 @@ def add_lags(
     key: str,
     order: Sequence[str],
     offset: int = 1,
-    hot_rows: int = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """For each ``out: column`` the value ``offset`` rows earlier in the same entity.
 
-    ``order`` must be a total order within an entity: end it with a unique column.
+    ``order`` must be a total order within an entity: end it with a unique column. Its columns may have any
+    type that sorts; NULL comes first. A NULL key is an entity of its own. ``ranges`` says into how many
+    pieces the rows are cut and never changes a result.
     """
-    outs = list(values)
-    sliced, cut = order_slices(df, key, order, hot_rows)
-    if not cut:
-        ordered = W.partitionBy(key).orderBy(*order)
-        return df.withColumns({out: F.lag(column, offset).over(ordered) for out, column in values.items()})
+    whole = [key, *order]
+    cuts = cut_points(df, whole, ranges or default_ranges(df))
+    placed = df.withColumn(RANGE, range_number(df, whole, cuts))
+
+    inside = W.partitionBy(RANGE).orderBy(*whole)
+    backwards = W.partitionBy(RANGE).orderBy(*[F.desc(c) for c in whole])
+    entity = F.struct(F.col(key).alias("key"))
+    carried = F.struct(entity.alias("entity"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(values.values())])
 
-    inside = W.partitionBy(key, SLICE).orderBy(*order)
-    backwards = W.partitionBy(key, SLICE).orderBy(*[F.desc(c) for c in order])
-    carried = F.struct(*order, *[F.col(c).alias(f"__v_{i}") for i, c in enumerate(values.values())])
     tails = (
-        sliced.select(key, SLICE, *dict.fromkeys([*order, *values.values()]))
-        .withColumn("__back", F.row_number().over(backwards))
+        placed.select(RANGE, carried.alias("__carried"), F.row_number().over(backwards).alias("__back"))
         .where(F.col("__back") <= offset)
-        .groupBy(key, SLICE)
-        .agg(F.sort_array(F.collect_list(carried)).alias("__tail"))
+        .groupBy(RANGE)
+        .agg(F.sort_array(F.collect_list(F.struct((-F.col("__back")).alias("at"), "__carried"))).alias("__tail"))
     )
-    earlier = W.partitionBy(key).orderBy(SLICE).rowsBetween(-offset, -1)
+    earlier = W.orderBy(RANGE).rowsBetween(-offset, -1)
     tails = tails.select(
-        F.col(key).alias("__tail_key"),
-        F.col(SLICE).alias("__tail_slice"),
-        F.flatten(F.collect_list("__tail").over(earlier)).alias("__earlier"),
-    ).where(F.size("__earlier") > 0)
-    numbered = sliced.withColumns(
-        {
-            "__row": F.row_number().over(inside),
-            **{f"__lag_{i}": F.lag(c, offset).over(inside) for i, c in enumerate(values.values())},
-        }
-    )
-    joined = numbered.join(
-        small_side(tails, MAX_BROADCAST_ROWS),
-        F.col(key).eqNullSafe(F.col("__tail_key")) & (F.col(SLICE) == F.col("__tail_slice")),
-        "left",
+        F.col(RANGE).alias("__tail_range"),
+        F.transform(F.flatten(F.collect_list("__tail").over(earlier)), lambda x: x["__carried"]).alias("__earlier"),
     )
+    numbered = placed.withColumn("__row", F.row_number().over(inside)).withColumn("__own", F.lag(carried, offset).over(inside))
+    joined = numbered.join(tails, F.col(RANGE) == F.col("__tail_range"))
     back = F.lit(offset) - F.col("__row") + 1
-    reached = (F.col("__row") <= offset) & (F.size("__earlier") >= back)
-    lagged = {}
-    for i, out in enumerate(outs):
-        outside = F.element_at("__earlier", F.when(reached, -back).otherwise(F.lit(-1)))[f"__v_{i}"]
-        lagged[out] = F.when(F.col("__row") > offset, F.col(f"__lag_{i}")).otherwise(F.when(reached, outside))
+    outside = F.when(F.size("__earlier") >= back, F.get("__earlier", F.size("__earlier") - back))
+    found = joined.withColumn("__found", F.when(F.col("__row") > offset, F.col("__own")).otherwise(outside))
+    same = F.col("__found.entity") == entity
+    lagged = {out: F.when(same, F.col("__found")[f"v{i}"]) for i, out in enumerate(values)}
     kept = [c for c in df.columns if c not in lagged]
-    return joined.select(*kept, *[value.alias(out) for out, value in lagged.items()])
+    return found.select(*kept, *[value.alias(out) for out, value in lagged.items()])

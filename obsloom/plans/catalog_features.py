@@ -16,7 +16,7 @@ from obsloom.operators.aggregate import group_count
 from obsloom.operators.impute import apply_fills, learn_fills
 from obsloom.operators.joins import latest_per_key, lookup, one_latest_per_key, with_daily_range, with_group_count
 from obsloom.operators.scoring import is_normal
-from obsloom.operators.windows import HOT_ROWS, add_lags
+from obsloom.operators.windows import add_lags
 from obsloom.plans import weather
 from obsloom.plans.observations import observations, over_observations
 from obsloom.plans.registry import query, table
@@ -407,13 +407,48 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def lag_features_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions are large entities: each is cut into slices, whatever the scale."""
+    """Regions are large entities and lie in many ranges."""
     df = observations(spark, sf_dir).select("obs_id", "region", "time", "temp_max")
-    hot_rows = min(HOT_ROWS, 1 + df.count() // 40)
-    lagged = add_lags(df, {"temp_lag_3": "temp_max"}, "region", ["time", "obs_id"], offset=3, hot_rows=hot_rows)
+    lagged = add_lags(df, {"temp_lag_3": "temp_max"}, "region", ["time", "obs_id"], offset=3, ranges=40)
     return lagged.select("obs_id", "temp_lag_3")
 
 
+@query(
+    "lag_with_gaps",
+    over_observations(
+        "select obs_id, lag(temp_max, 2) over (partition by region order by t nulls first, obs_id) as temp_lag_2 from "
+        "(select *, case when obs_id % 50 <> 0 then strftime(time, '%Y-%m-%d %H:%M:%S') end as t from obs)"
+    ),
+)
+def lag_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text, some of them missing, and regions as entities."""
+    text = F.when(F.col("obs_id") % 50 != 0, F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    df = observations(spark, sf_dir).select("obs_id", "region", "temp_max", text.alias("t"))
+    return add_lags(df, {"temp_lag_2": "temp_max"}, "region", ["t", "obs_id"], offset=2).select("obs_id", "temp_lag_2")
+
+
+@query(
+    "city_region",
+    "select s_suppkey, city, case city when 'Ha Noi' then 'north' when 'Vinh' then 'central' when 'Can Tho' then 'south' "
+    "else 'unknown' end as region from (select s_suppkey, case s_suppkey % 5 when 0 then 'Ha Noi' when 1 then 'Vinh' "
+    "when 2 then 'Can Tho' when 3 then 'Atlantis' end as city from supplier)",
+)
+def city_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of cities by the dictionary of cities."""
+    names = F.array(*map(F.lit, ["Ha Noi", "Vinh", "Can Tho", "Atlantis", None]))
+    cities = table(spark, sf_dir, "supplier").select("s_suppkey", F.get(names, (F.col("s_suppkey") % 5).cast("int")).alias("city"))
+    return lookup(cities, "city", weather.CITY_REGION, "region", weather.UNKNOWN_REGION)
+
+
+@query(
+    "infer_numeric_cast",
+    over_observations("select obs_id, city, is_day_raw, try_cast(reading_raw as double) as reading_raw from obs"),
+)
+def infer_numeric_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns that mostly hold numbers become numbers; what cannot be read becomes NULL."""
+    return C.infer_numeric(observations(spark, sf_dir).select("obs_id", "city", "is_day_raw", "reading_raw"))
+
+
 @query(
     "daily_range",
     over_observations(

@@ -36,14 +36,15 @@ def _transactions_sql(scope: str = "full") -> str:
         f"tx as (select obs_id, region, list_sort(list_distinct(list_filter([{listed}], lambda x: x is not null))) "
         f"as items from (select *, {levels_sql('v1')}, {label_v1_sql()} as extreme, "
         "case when precipitation > 0 then 'rain_yes' else 'rain_no' end as rain_label, "
-        "'main_' || weather_main as main_item from obs) where region in ('north', 'central', 'south'))"
+        "'main_' || weather_main as main_item from obs))"
     )
 
 
 # The mining limits, written once more for the checks.
 LIMITS_SQL = (
     "lim as (select * from (values ('north', 0.005::double, 0.1::double), ('central', 0.005::double, 0.1::double), "
-    "('south', 0.001::double, 0.05::double)) t(region, min_support, min_confidence))"
+    "('south', 0.001::double, 0.05::double), ('unknown', 0.005::double, 0.1::double)) "
+    "t(region, min_support, min_confidence))"
 )
 SIZES_SQL = "nb as (select region, count(*) as n_baskets from tx group by region)"
 SUBSETS_SQL = (
@@ -83,11 +84,11 @@ def _flat(found: DataFrame) -> DataFrame:
 
 
 def mined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.itemsets(transactions(spark, sf_dir), "items", "region", weather.MIN_SUPPORT)
+    return M.itemsets(transactions(spark, sf_dir), "items", "region", weather.MIN_SUPPORT, weather.DEFAULT_SUPPORT)
 
 
 def mined_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.rules(mined(spark, sf_dir), "region", weather.MIN_CONFIDENCE)
+    return M.rules(mined(spark, sf_dir), "region", weather.MIN_CONFIDENCE, weather.DEFAULT_CONFIDENCE)
 
 
 def top_target_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +122,7 @@ PAIRS_SQL = (
     ),
 )
 def freq_itemsets_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = M.itemsets(transactions(spark, sf_dir), "items", "region", weather.MIN_SUPPORT, max_size=2)
+    found = M.itemsets(transactions(spark, sf_dir), "items", "region", weather.MIN_SUPPORT, weather.DEFAULT_SUPPORT, max_size=2)
     return found.withColumn("items", F.array_join("items", "+"))
 
 
@@ -134,7 +135,9 @@ def freq_itemsets_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def freq_itemsets_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = M.itemsets(transactions(spark, sf_dir, "context"), "items", "region", weather.MIN_SUPPORT)
+    found = M.itemsets(
+        transactions(spark, sf_dir, "context"), "items", "region", weather.MIN_SUPPORT, weather.DEFAULT_SUPPORT
+    )
     return found.withColumn("items", F.array_join("items", "+"))
 
 
@@ -169,7 +172,8 @@ def rules_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rules_fp_growth", over_observations(f"select {RULE_COLUMNS_SQL} from ru", *MINED))
 def rules_fp_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = M.fp_growth_rules(
-        transactions(spark, sf_dir), "items", "region", weather.MIN_SUPPORT, weather.MIN_CONFIDENCE
+        transactions(spark, sf_dir), "items", "region", weather.MIN_SUPPORT, weather.MIN_CONFIDENCE,
+        weather.DEFAULT_SUPPORT, weather.DEFAULT_CONFIDENCE,
     )
     return _flat(found)
 
@@ -189,12 +193,12 @@ def rules_top_per_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         "(select distinct item from x) i cross join (select distinct region from lim) g "
         "left join x on x.item = i.item and x.region = g.region group by all",
         *MINED,
-        TOP_SQL,
-        "x as (select region, confidence, unnest(antecedent) as item from top)",
+        f"x as (select region, confidence, unnest(antecedent) as item from ru where {TARGETS_SQL})",
     ),
 )
 def item_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = M.item_confidence(top_target_rules(spark, sf_dir), "region", list(weather.MIN_SUPPORT))
+    found = M.rules_for(mined_rules(spark, sf_dir), weather.RULE_TARGETS)
+    found = M.item_confidence(found, "region", [*weather.MIN_SUPPORT, weather.UNKNOWN_REGION])
     return found.withColumn("confidence", F.round(F.round("confidence", 12), 6))
 
 
@@ -206,9 +210,8 @@ def item_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{half_up_sql('lift', 6)} as weight, {half_up_sql('confidence', 6)} as confidence, "
         "case when consequent[1] in ('heatwave', 'heavy_rain', 'storm') then 'extreme' "
         "when contains(consequent[1], 'rain') then 'rain' else 'other' end as category "
-        f"from (select *, {PLACE_SQL} as p2 from top where lift >= 1.5) where p2 <= 15",
+        f"from (select *, {PLACE_SQL} as p2 from ru where {TARGETS_SQL} and lift >= 1.5) where p2 <= 15",
         *MINED,
-        TOP_SQL,
     ),
 )
 def rule_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 @query("kmeans_sweep")
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = observations(spark, sf_dir)
-    return K.kmeans_sweep(df, READINGS, range(2, 9), key=["obs_id"], sample=0.2)
+    return K.kmeans_sweep(df, READINGS, range(2, 9))
 
 
 @query("kmeans_assign")
@@ -222,8 +222,8 @@ def cv_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = mark_folds(model_rows(spark, sf_dir), ["extreme"], ["obs_id"], 3)
     indexed = TR.label_index(df, "extreme").transform(df)
     candidates = [
-        TR.Candidate("forest", TR.random_forest, [{"trees": 5, "depth": 4}]),
-        TR.Candidate("small_forest", TR.random_forest, [{"trees": 3, "depth": 3}]),
+        TR.Candidate("forest", TR.random_forest, [{"trees": 5, "depth": 4}, {"trees": 10, "depth": 6}]),
+        TR.Candidate("boosted", TR.boosted_trees, [{"rounds": 2, "rate": 0.1, "depth": 3, "classes": 5}]),
     ]
 
     def balanced(train: DataFrame) -> DataFrame:
@@ -238,8 +238,8 @@ def rain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rain or not, by F1 of the rainy class."""
     df = mark_folds(model_rows(spark, sf_dir), ["rain"], ["obs_id"], 3).withColumn("label", F.col("rain").cast("double"))
     candidates = [
-        TR.Candidate("forest", TR.random_forest, [{"trees": 5, "depth": 4}]),
-        TR.Candidate("boosted", TR.boosted_trees, [{"rounds": 3, "rate": 0.1, "depth": 3}]),
+        TR.Candidate("forest", TR.random_forest, [{"trees": 5, "depth": 4}, {"trees": 10, "depth": 6}]),
+        TR.Candidate("boosted", TR.boosted_trees, [{"rounds": 3, "rate": 0.1, "depth": d} for d in (3, 5)]),
     ]
     return TR.rank_candidates(
         TR.cross_validate(df, candidates, weather.FEATURES, "fold", 3, evaluator=ClassF1(), missing="zero")

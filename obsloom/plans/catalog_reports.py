@@ -94,13 +94,14 @@ def city_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "top_cities",
     over_observations(
-        f"select city, {half_up_sql('avg(temp_max)', 2)} as avg_temp from obs group by city "
-        "order by avg_temp desc, city limit 20"
+        "select *, row_number() over (order by avg_temp desc, city) as place from "
+        f"(select city, {half_up_sql('avg(temp_max)', 2)} as avg_temp from obs group by city) "
+        "order by place limit 20"
     ),
 )
 def top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = half_up(F.avg("temp_max"), 2).alias("avg_temp")
-    return A.agg_topn(observations(spark, sf_dir), ["city"], [means], [F.desc("avg_temp")], 20)
+    return A.agg_topn(observations(spark, sf_dir), ["city"], [means], [F.desc("avg_temp")], 20, place="place")
 
 
 @query(
@@ -116,7 +117,7 @@ def rollup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         half_up(F.avg("l_extendedprice"), 4).alias("avg_price"),
     ]
     return A.agg_topn(
-        table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], parts, [F.desc("quantity")]
+        table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], parts, [F.desc("quantity")], 500
     )
 
 
@@ -287,8 +288,8 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("box_stats_by_rank", _box_oracle(LINE_NUMBERS))
 def box_stats_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way for columns too large for one task, taken whatever the scale."""
-    return _rounded_box(P.box_stats(table(spark, sf_dir, "lineitem"), LINE_NUMBERS, small_rows=0))
+    """The same numbers from a coarse first pass."""
+    return _rounded_box(P.box_stats(table(spark, sf_dir, "lineitem"), LINE_NUMBERS, narrow=100))
 
 
 @query("box_stats_approx")
@@ -391,7 +392,7 @@ def seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def seasonality_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem").select(F.month("l_shipdate").cast("bigint").alias("month"), "l_extendedprice")
-    spread = quantiles(df, ["l_extendedprice"], [0.25, 0.75], by=["month"], small_rows=0)
+    spread = quantiles(df, ["l_extendedprice"], [0.25, 0.75], by=["month"], narrow=100)
     return spread.select("month", half_up(F.col("q")[0], 2).alias("q1"), half_up(F.col("q")[1], 2).alias("q3"))
 
 

@@ -48,6 +48,25 @@ def stratified_split_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.mark_split(stratified(spark, sf_dir), ["weather_main"], ["obs_id"]).select("obs_id", "split")
 
 
+AWKWARD_SQL = (
+    "s as (select obs_id, case when obs_id % 3 = 0 then 'a||b' when obs_id % 3 = 1 then 'a' end as one, "
+    "case when obs_id % 4 = 0 then 'c' when obs_id % 4 = 1 then 'b||c' when obs_id % 4 = 2 then '__NULL__' end as other, "
+    "md5(concat(obs_id, '|42')) as h from obs)"
+)
+
+
+@query("split_awkward_strata", over_observations(_split_sql("one, other"), AWKWARD_SQL))
+def split_awkward_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strata whose values hold separators, NULL, and text that looks like it."""
+    third, fourth = F.col("obs_id") % 3, F.col("obs_id") % 4
+    df = observations(spark, sf_dir).select(
+        "obs_id",
+        F.when(third == 0, "a||b").when(third == 1, "a").alias("one"),
+        F.when(fourth == 0, "c").when(fourth == 1, "b||c").when(fourth == 2, "__NULL__").alias("other"),
+    )
+    return S.mark_split(df, ["one", "other"], ["obs_id"]).select("obs_id", "split")
+
+
 @query("plain_split", over_observations(_split_sql("1"), STRATA))
 def plain_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = S.split(stratified(spark, sf_dir), [], ["obs_id"])
@@ -89,11 +108,6 @@ def capped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.cap_rows(stratified(spark, sf_dir).select("obs_id", "extreme"), ["obs_id"], 2000)
 
 
-@query("capped_rows_roughly")
-def capped_rows_roughly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.cap_rows_roughly(stratified(spark, sf_dir).select("obs_id", "extreme"), 2000)
-
-
 @query(
     "class_weights",
     over_observations(
@@ -248,8 +262,9 @@ def auc_many_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "candidate_ranking",
+    "select *, row_number() over (order by score desc, accuracy desc, recall desc, candidate, point) as place from ("
     "select p_type as candidate, p_brand as point, round(avg(p_size) / 50, 3) as score, "
-    "round(avg(p_retailprice) / 2000, 6) as accuracy, cast(count(*) as double) as recall from part group by all",
+    "round(avg(p_retailprice) / 2000, 6) as accuracy, cast(count(*) as double) as recall from part group by all)",
 )
 def candidate_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order of a leaderboard, with part groups standing in for candidates."""

@@ -173,14 +173,31 @@ def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files to bronze to silver; the raw files come twice and silver is loaded three times."""
     raw, bronze, silver = (work_path(spark, n) for n in ("raw", "bronze", "silver"))
     files.export_csv(raw_readings(spark, sf_dir), raw)
-    medallion.bronze_from_csv(spark, raw, bronze)
-    medallion.load_silver(spark, bronze, silver, "first")
-    medallion.load_silver(spark, bronze, silver, "first")
-    medallion.bronze_from_csv(spark, raw, bronze)
-    medallion.load_silver(spark, bronze, silver, "second")
+    for load in ("load-1", "load-1", "load-2"):
+        medallion.bronze_from_csv(spark, raw, bronze, load)
+        medallion.load_silver(spark, bronze, silver, load)
     return _checked_silver(tables.read_loads(spark, silver))
 
 
+@query(
+    "silver_correction",
+    over_observations(
+        "select time, city, case when obs_id % 7 = 0 then " + half_up_sql("temperature + 1", 2) + " else "
+        + half_up_sql("temperature", 2) + " end as temperature from obs"
+    ),
+)
+def silver_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load corrects every seventh reading; the first one is then run again without effect."""
+    first, second, bronze, silver = (work_path(spark, n) for n in ("raw", "fixes", "bronze", "silver"))
+    raw = raw_readings(spark, sf_dir)
+    files.export_csv(raw, first)
+    files.export_csv(raw.where("obs_id % 7 = 0").withColumn("temperature", F.col("temperature") + 1), second)
+    for source, load in ((first, "load-1"), (second, "load-2"), (first, "load-1")):
+        medallion.bronze_from_csv(spark, source, bronze, load)
+        medallion.load_silver(spark, bronze, silver, load)
+    return tables.read_loads(spark, silver).select(F.col("time").cast("timestamp_ntz").alias("time"), "city", "temperature")
+
+
 @query(
     "silver_to_gold",
     over_observations(
@@ -196,10 +213,10 @@ def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, bronze, silver, gold = (work_path(spark, n) for n in ("raw", "bronze", "silver", "gold"))
     files.export_csv(raw_readings(spark, sf_dir), raw)
-    medallion.bronze_from_csv(spark, raw, bronze)
-    medallion.load_silver(spark, bronze, silver, "first")
+    medallion.bronze_from_csv(spark, raw, bronze, "load-1")
+    medallion.load_silver(spark, bronze, silver, "load-1")
     for _ in range(2):
-        medallion.load_gold(spark, silver, gold, "first")
+        medallion.load_gold(spark, silver, gold, "load-1")
     df = tables.read_loads(spark, gold).select(*[f.name for f in weather.GOLD_SCHEMA.fields if f.name != "update_at"])
     return df.withColumn("time", F.col("time").cast("timestamp_ntz")).withColumn("risk_score", F.round("risk_score", 6))
 
@@ -266,11 +283,13 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten days at a time, each run picking up where the last one stopped."""
+    """A third of the readings at a time, by time; each run picks up where the last one stopped."""
     folder, out, state, checkpoint = (work_path(spark, n) for n in ("messages", "lagged", "state", "checkpoint"))
     raw = raw_readings(spark, sf_dir).select("obs_id", "time", "city", "temp_max")
-    for first, last in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2025-01-01")):
-        send_messages(raw.where((F.col("time") >= first) & (F.col("time") < last)), folder)
+    seconds = F.unix_timestamp(F.to_timestamp("time"))
+    one, two = raw.agg(F.percentile_approx(seconds, [1 / 3, 2 / 3])).first()[0]
+    for part in (seconds < one, (seconds >= one) & (seconds < two), seconds >= two):
+        send_messages(raw.where(part), folder)
         stream = ingest.read_messages(spark, folder, MESSAGE).select(
             "obs_id", "city", "temp_max", F.to_timestamp("time").alias("time")
         )

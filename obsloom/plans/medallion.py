@@ -1,7 +1,7 @@
 """Raw files to bronze, bronze to silver, silver to gold.
 
-Each transform is one narrow projection over its input, so it works on a stream as well. The batch
-loads can be repeated: a load writes its own partitions, and rows that are already there are skipped.
+Each transform is one narrow projection over its input, so it works on a stream as well. A batch load
+reads only what was ingested under its id, can be repeated, and replaces readings of earlier loads.
 """
 
 from __future__ import annotations
@@ -15,15 +15,17 @@ from obsloom.functions.labels import positive_flag
 from obsloom.functions.scaling import weighted_score
 from obsloom.operators.conform import cast_columns, conform, fill_with, mirror_column
 from obsloom.plans import weather
-from obsloom.sources.files import append_parquet, read_raw_csv, with_lineage
-from obsloom.sources.tables import load_once, read_loads
+from obsloom.sources.files import read_raw_csv, with_lineage
+from obsloom.sources.tables import LOAD, load_newest, read_loads
 
 KEY = ["city", "time"]
 
 
-def bronze_from_csv(spark: SparkSession, source: str, bronze: str) -> None:
-    """Append raw files, as text with lineage, to the bronze folder."""
-    append_parquet(with_lineage(read_raw_csv(spark, source)), bronze)
+def bronze_from_csv(spark: SparkSession, source: str, bronze: str, load_id: str) -> None:
+    """Raw files, as text with lineage, to the load's own partition of the bronze folder."""
+    rows = with_lineage(read_raw_csv(spark, source)).withColumn(LOAD, F.lit(load_id))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(LOAD).parquet(bronze)
 
 
 def to_silver(bronze: DataFrame, variant: str = "v2", null_to_top: bool = False) -> DataFrame:
@@ -68,13 +70,13 @@ def to_gold(silver: DataFrame) -> DataFrame:
 
 
 def load_silver(spark: SparkSession, bronze: str, silver: str, load_id: str, variant: str = "v2") -> None:
-    rows = to_silver(spark.read.parquet(bronze), variant)
-    load_once(rows, silver, KEY, "time", _order(rows), load_id)
+    rows = to_silver(read_loads(spark, bronze, load_id), variant)
+    load_newest(rows, silver, KEY, "time", _order(rows), load_id)
 
 
 def load_gold(spark: SparkSession, silver: str, gold: str, load_id: str) -> None:
-    rows = to_gold(read_loads(spark, silver))
-    load_once(rows, gold, KEY, "time", _order(rows), load_id)
+    rows = to_gold(read_loads(spark, silver, load_id))
+    load_newest(rows, gold, KEY, "time", _order(rows), load_id)
 
 
 def _order(df: DataFrame) -> list[str]:

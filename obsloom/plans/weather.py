@@ -87,6 +87,8 @@ LEAKING = [
 # Mining limits per region, and the items a rule should lead to.
 MIN_SUPPORT = {"north": 0.005, "central": 0.005, "south": 0.001}
 MIN_CONFIDENCE = {"north": 0.1, "central": 0.1, "south": 0.05}
+# Regions without limits of their own.
+DEFAULT_SUPPORT, DEFAULT_CONFIDENCE = 0.005, 0.1
 RULE_TARGETS = ["rain_yes", "heatwave", "heavy_rain", "storm"]
 EXTREME_TARGETS = ["heatwave", "heavy_rain", "storm"]
 MAX_RULES = 200

@@ -18,9 +18,19 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.option("header", True).option("enforceSchema", False).csv(paths)
 
 
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The files below the paths by their first line; one job for all of them, one row per file."""
+    lines = spark.read.text(list(paths)).select("_metadata.file_path", "_metadata.file_block_start", "value")
+    starts = lines.where("file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+    found: dict[str, list[str]] = {}
+    for row in starts.groupBy("file_path").agg(F.min_by("value", "at").alias("header")).orderBy("file_path").collect():
+        found.setdefault(row["header"], []).append(row["file_path"])
+    return found
+
+
 def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """CSV files whose headers differ, united by column name."""
-    return union_all([read_raw_csv(spark, path) for path in paths])
+    """CSV files whose headers differ, in whatever folders, united by column name: one scan per header."""
+    return union_all([read_raw_csv(spark, same) for same in files_by_header(spark, paths).values()])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

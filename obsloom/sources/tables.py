@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from obsloom.session import checkpointed
+
 EVENT_DATE = "event_date"
 LOAD = "load_id"
 
@@ -62,39 +64,37 @@ def newest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     return picked.select("__row.*")
 
 
-def load_once(df: DataFrame, path: str, key: Sequence[str], time: str, order: Sequence[str], load_id: str) -> None:
-    """Add rows whose key the table does not have; the same load can run again without effect.
+def load_newest(df: DataFrame, path: str, key: Sequence[str], time: str, order: Sequence[str], load_id: str) -> None:
+    """Merge rows into a folder by day; for each key the newest load's reading stays.
 
-    The table is a folder partitioned by day and load. A load writes only its own partitions and
-    replaces them when repeated, so a job that died half-way is simply run again. What other loads hold
-    for the same keys is looked up in the days at hand only.
+    Loads are as old as their ids sort, so a correction in a later load replaces the reading, and a load
+    that is run again, at once or late, changes nothing. Only the days that the load touches are read, and
+    only their partitions are written. Within a load the last row by ``order`` stays.
     """
     spark = df.sparkSession
-    dated = with_event_date(df, time)
-    new = newest_by_key(dated, key, order)
+    new = with_event_date(df, time).withColumn(LOAD, F.lit(load_id))
+    days = [r[0] for r in new.select(EVENT_DATE).distinct().collect()]
     try:
-        known = spark.read.parquet(path).where(F.col(LOAD) != F.lit(load_id))
+        held = spark.read.parquet(path)
     except AnalysisException:
-        known = None
-    if known is not None:
-        ends = dated.agg(F.min(EVENT_DATE).alias("first"), F.max(EVENT_DATE).alias("last")).first()
-        if ends["first"] is not None:
-            at_hand = F.col(EVENT_DATE).between(F.lit(ends["first"]), F.lit(ends["last"]))
-            known = known.where(at_hand | F.col(EVENT_DATE).isNull())
-        known = known.select(*[F.col(c).alias(f"__{c}") for c in (*key, EVENT_DATE)])
-        same = F.lit(True)
-        for c in (*key, EVENT_DATE):
-            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-        new = new.join(known, same, "left_anti")
+        held = None
+    if held is not None:
+        at_hand = F.col(EVENT_DATE).isin([d for d in days if d is not None])
+        held = held.where(at_hand | F.col(EVENT_DATE).isNull() if None in days else at_hand)
+        new = new.unionByName(held.select(*new.columns))
+    # the table is read and written: the merged days are cut off from it first
+    merged = checkpointed(newest_by_key(new, [*key, EVENT_DATE], [LOAD, *order]))
     (
-        by_day(new.withColumn(LOAD, F.lit(load_id)))
+        by_day(merged)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(EVENT_DATE, LOAD)
+        .partitionBy(EVENT_DATE)
         .parquet(path)
     )
 
 
-def read_loads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(LOAD)
+def read_loads(spark: SparkSession, path: str, load_id: str | None = None) -> DataFrame:
+    """The rows of a folder that loads are merged into, or what is left there of one load."""
+    rows = spark.read.parquet(path)
+    return (rows if load_id is None else rows.where(F.col(LOAD) == load_id)).drop(LOAD)
 

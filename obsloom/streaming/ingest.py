@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from obsloom.plans.medallion import KEY, to_silver
-from obsloom.sources.tables import load_once
+from obsloom.sources.tables import load_newest
 
 
 def read_messages(
@@ -61,12 +61,12 @@ def each_batch(
 
 
 def silver_stream(bronze: DataFrame, silver: str, checkpoint: str, variant: str = "v2") -> StreamingQuery:
-    """Bronze stream to the silver folder; a repeated batch replaces its own partitions."""
+    """Bronze stream to the silver folder; a repeated batch changes nothing, a later one corrects."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = to_silver(batch, variant)
         order = [c for c in rows.columns if c not in ("update_at", *KEY)]
-        load_once(rows, silver, KEY, "time", order, f"batch-{batch_id}")
+        load_newest(rows, silver, KEY, "time", order, f"batch-{batch_id:012}")
 
     return each_batch(bronze, work, checkpoint)
 

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obsloom.operators.joins import one_latest_per_key
-from obsloom.operators.sizes import small_side
-from obsloom.operators.windows import HOT_ROWS, add_lags
+from obsloom.operators.windows import add_lags
 from obsloom.streaming.ingest import each_batch
 
 BATCH = "batch"
@@ -38,7 +37,6 @@ def lag_batch(
     order: Sequence[str],
     out: str,
     state: str,
-    hot_rows: int = HOT_ROWS,
 ) -> None:
     """One micro-batch: rows with lags and a ``late`` flag to ``out``, last readings to ``state``.
 
@@ -51,7 +49,7 @@ def lag_batch(
     if before is None:
         marked = batch.withColumn("late", F.lit(False))
     else:
-        last = small_side(before.select(F.col(key).alias("__key"), F.struct(*order).alias("__last")))
+        last = before.select(F.col(key).alias("__key"), F.struct(*order).alias("__last"))
         marked = (
             batch.join(last, F.col(key).eqNullSafe(F.col("__key")), "left")
             .withColumn("late", F.coalesce(F.struct(*order) <= F.col("__last"), F.lit(False)))
@@ -62,7 +60,7 @@ def lag_batch(
     if before is not None:
         old = before.withColumn("__old", F.lit(True))
         known = known.unionByName(old, allowMissingColumns=True)
-    lagged = add_lags(known, values, key, order, 1, hot_rows).where(~F.col("__old")).drop("__old")
+    lagged = add_lags(known, values, key, order).where(~F.col("__old")).drop("__old")
     gaps = {name: F.lit(None).cast(batch.schema[column].dataType) for name, column in values.items()}
     late = marked.where("late").withColumns(gaps)
     lagged.unionByName(late).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
@@ -81,11 +79,10 @@ def lag_stream(
     out: str,
     state: str,
     checkpoint: str,
-    hot_rows: int = HOT_ROWS,
 ) -> StreamingQuery:
     """:func:`add_lags` with offset 1 over a stream; ``order`` must be a total order within an entity."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        lag_batch(batch, batch_id, values, key, order, out, state, hot_rows)
+        lag_batch(batch, batch_id, values, key, order, out, state)
 
     return each_batch(stream, work, checkpoint)

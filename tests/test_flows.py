@@ -119,7 +119,7 @@ def test_stream_lag_marks_late_rows_and_survives_a_repeat(spark):
         [("b", "2024-01-01 13:00:00", 7, 7.0), ("a", "2024-01-01 13:00:00", 8, 8.0)],
     ]
     for number in (0, 1, 1, 2, 2):
-        lag_batch(readings(spark, batches[number]), number, {"before": "v"}, "city", ["t", "id"], out, state, hot_rows=1)
+        lag_batch(readings(spark, batches[number]), number, {"before": "v"}, "city", ["t", "id"], out, state)
     found = {r["id"]: (r["before"], r["late"]) for r in spark.read.parquet(out).collect()}
     assert found == {
         1: (None, False), 2: (1.0, False), 3: (None, False), 4: (2.0, False), 5: (None, True), 6: (None, False),

@@ -5,7 +5,7 @@ import pytest
 from compare import differences, open_duckdb
 from __spark_entry__ import entry, oracle_sql, queries
 
-QUICK_ROWS = ["distinct_counts_approx", "box_stats_approx", "bernoulli_sample", "capped_rows_roughly", "pca2"]
+QUICK_ROWS = ["distinct_counts_approx", "box_stats_approx", "bernoulli_sample", "pca2"]
 
 
 @pytest.fixture(scope="module")

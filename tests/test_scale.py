@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsloom.operators.evaluate import roc_auc
@@ -11,11 +12,13 @@ from obsloom.operators.joins import latest_per_key, with_group_count
 from obsloom.operators.mining import itemsets, rules
 from obsloom.operators.neighbours import nearest_neighbours
 from obsloom.operators.oversample import oversample
-from obsloom.operators.profile import histogram, null_audit
+from obsloom.operators.profile import distinct_counts, histogram, null_audit
 from obsloom.operators.quantiles import quantiles
 from obsloom.operators.splitting import cap_rows, mark_folds, mark_split
-from obsloom.operators.windows import add_lags, order_slices
-from obsloom.sources.tables import load_once, read_loads
+from obsloom.operators.ranges import cut_points, range_number
+from obsloom.operators.windows import add_lags
+from obsloom.sources.files import read_mixed_csv
+from obsloom.sources.tables import load_newest, read_loads
 from obsloom.session import work_path
 
 
@@ -32,27 +35,41 @@ def hot(spark):
 
 
 @pytest.mark.parametrize("offset", [1, 3, 40])
-@pytest.mark.parametrize("hot_rows", [10, 100, 10_000])
-def test_lag_over_slices(hot, offset, hot_rows):
+@pytest.mark.parametrize("ranges", [1, 4, 60])
+def test_lag_over_ranges(hot, offset, ranges):
     groups, want = {}, {}
     for r in sorted(hot.collect(), key=lambda r: (r["t"], r["id"])):
         past = groups.setdefault(r["key"], [])
         want[r["id"]] = past[-offset] if len(past) >= offset else None
         past.append(r["v"])
-    lagged = add_lags(hot, {"before": "v"}, "key", ["t", "id"], offset, hot_rows)
+    lagged = add_lags(hot, {"before": "v"}, "key", ["t", "id"], offset, ranges)
     assert lagged.columns == ["id", "key", "t", "v", "before"]
     assert {r["id"]: r["before"] for r in lagged.collect()} == want
 
 
-def test_slices_stay_small(hot):
-    sliced, cut = order_slices(hot, "key", ["t", "id"], 40)
-    assert cut and sliced.groupBy("key", "__slice").count().agg(F.max("count")).first()[0] <= 40
+@pytest.mark.parametrize("kind", ["string", "timestamp", "date", "decimal(20,3)", "boolean"])
+def test_lag_with_missing_times_of_any_type(hot, kind):
+    gaps = hot.withColumn("t", F.when(F.col("id") % 7 > 0, F.col("t").cast("long").cast("timestamp")))
+    gaps = gaps.withColumn("t", F.col("t").cast("long").cast(kind) if kind in ("string", "decimal(20,3)", "boolean") else F.col("t").cast(kind))
+    ordered = W.partitionBy("key").orderBy("t", "id")
+    want = gaps.select("id", F.lag("v", 2).over(ordered).alias("before")).collect()
+    got = add_lags(gaps, {"before": "v"}, "key", ["t", "id"], 2, 30).select("id", "before").collect()
+    assert sorted(got) == sorted(want)
 
 
+def test_ranges_follow_the_order_and_stay_small(hot):
+    order = ["key", "t", "id"]
+    cuts = cut_points(hot, order, 20)
+    numbered = hot.withColumn("r", range_number(hot, order, cuts))
+    in_order = [r["r"] for r in numbered.orderBy(*order).collect()]
+    assert in_order == sorted(in_order) and len(set(in_order)) >= 15 and max(in_order.count(r) for r in set(in_order)) <= 120
+
+
+@pytest.mark.parametrize("narrow", [4, 1000])
 @pytest.mark.parametrize("by", [[], ["key"]])
-def test_quantiles_by_rank(hot, by):
+def test_exact_quantiles(hot, by, narrow):
     wanted = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    found = quantiles(hot, ["t", "v"], wanted, by=by, small_rows=0, resolution=7).collect()
+    found = quantiles(hot, ["t", "v"], wanted, by=by, narrow=narrow).collect()
     groups = {}
     for r in hot.collect():
         for c in ("t", "v"):
@@ -154,27 +171,59 @@ def test_group_values_and_latest_with_null_keys(hot):
     assert latest.count() == 200
 
 
-def test_itemsets_limits(spark):
-    df = spark.createDataFrame([("g", [f"i{j}" for j in range(13)])], "g string, items array<string>")
-    with pytest.raises(Exception, match="13|over 12"):
-        itemsets(df, "items", "g", {"g": 0.1}).collect()
+def test_itemsets(spark):
+    long = [("g", [f"i{j:02}" for j in range(40)])] + [("g", ["i01", "i07", "i30"])] * 9
+    wide = spark.createDataFrame(long, "g string, items array<string>")
+    assert itemsets(wide, "items", "g", {}, 0.5).count() == 7
     small = spark.createDataFrame([("g", ["a", "b"]), ("g", ["a"]), ("g", []), ("h", ["a"])], "g string, items array<string>")
-    found = itemsets(small, "items", "g", {"g": 0.5})
+    found = itemsets(small.where("g = 'g'"), "items", "g", {"g": 0.5}, 1.0)
     assert {(tuple(r["items"]), r["freq"], r["n_baskets"]) for r in found.collect()} == {
         (("a",), 2, 2), (("b",), 1, 2), (("a", "b"), 1, 2),
     }
-    assert rules(found, "g", {"g": 0.9}).collect()[0][:] == ("g", ["b"], ["a"], 0.5, 1.0, 1.0)
+    others = itemsets(small.unionByName(small.selectExpr("cast(null as string) as g", "items")), "items", "g", {"g": 0.5}, 1.0)
+    assert {(r["g"], tuple(r["items"])) for r in others.collect()} == {
+        ("g", ("a",)), ("g", ("b",)), ("g", ("a", "b")), ("h", ("a",)), (None, ("a",)),
+    }
+    assert rules(found, "g", {}, 0.9).collect()[0][:] == ("g", ["b"], ["a"], 0.5, 1.0, 1.0)
 
 
-def test_loads_can_be_repeated(spark):
+def test_loads_are_merged_and_the_newest_reading_stays(spark):
     path = work_path(spark, "loads")
-    df = spark.createDataFrame([(1, "2024-01-01 10:00:00"), (1, "2024-01-01 10:00:00"), (2, None)], "k int, t string")
-    df = df.withColumn("t", F.col("t").cast("timestamp"))
-    for load in ("a", "a", "b"):
-        load_once(df, path, ["k", "t"], "t", ["k"], load)
-    more = df.unionByName(spark.sql("select 3 as k, timestamp '2024-01-01 11:00:00' as t"))
-    load_once(more, path, ["k", "t"], "t", ["k"], "c")
-    assert sorted(r["k"] for r in read_loads(spark, path).collect()) == [1, 2, 3]
+
+    def load(name, *rows):
+        df = spark.createDataFrame(rows, "k int, t string, v double").withColumn("t", F.col("t").cast("timestamp"))
+        load_newest(df, path, ["k", "t"], "t", ["v"], name)
+
+    def held():
+        return sorted((r["k"], r["v"]) for r in read_loads(spark, path).collect())
+
+    first = [(1, "2024-01-01 10:00:00", 1.0), (1, "2024-01-01 10:00:00", 1.0), (2, None, 5.0), (3, "2024-02-01 10:00:00", 7.0)]
+    load("a", *first)
+    load("a", *first)
+    assert held() == [(1, 1.0), (2, 5.0), (3, 7.0)]
+    load("b", (1, "2024-01-01 10:00:00", 0.5), (4, "2024-01-01 11:00:00", 9.0), (2, None, 6.0))
+    load("a", *first)
+    assert held() == [(1, 0.5), (2, 6.0), (3, 7.0), (4, 9.0)]
+    assert [r["k"] for r in read_loads(spark, path, "b").orderBy("k").collect()] == [1, 2, 4]
+
+
+def test_mixed_headers_in_one_folder(spark):
+    folder = work_path(spark, "mixed")
+    for i, names in enumerate((["a", "b"], ["b", "a"], ["a", "c"], ["a", "b"])):
+        spark.createDataFrame([tuple(f"{n}{i}" for n in names)], names).write.mode("append").option("header", True).csv(folder)
+    rows = {tuple(r) for r in read_mixed_csv(spark, [folder]).select("a", "b", "c").collect()}
+    assert rows == {("a0", "b0", None), ("a1", "b1", None), ("a2", None, "c2"), ("a3", "b3", None)}
+
+
+def test_two_instants_of_a_repeated_hour_are_two_values(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.sql("select timestamp_seconds(1729988000) as t union all select timestamp_seconds(1729991600)")
+        assert df.select(F.col("t").cast("string")).distinct().count() == 1
+        assert distinct_counts(df, ["t"]).first()["distinct_n"] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def jobs_of(spark, group, work):
