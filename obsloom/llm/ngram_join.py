@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 from obsloom.llm.byte_bpe import slices
 from obsloom.llm.components import components
 from obsloom.llm.shingles import identity, mix, shingle_set
-from obsloom.llm.texts import Sealed, pick, shuffle_partitions, text_mark, whole_text
-from obsloom.session import work_path
+from obsloom.llm.texts import Sealed, pick, shuffle_partitions, stored, text_mark, whole_text
 
 #: Blocks of positions in an index list.
 BLOCKS = 4
@@ -291,13 +290,6 @@ def verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").mapInArrow(lambda batches: _linked(batches, measure), "a long, b long")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a table in the shared work folder, where lost executors do not matter, and read again."""
-    path = work_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 class Classes:
     """Documents, the classes of their sets, and the open classes with their texts."""
 
@@ -361,7 +353,7 @@ def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     least = names.groupBy("label").agg(F.min("least").alias("component"))
     moved = names.join(least, "label").select("low", "high", "n", "component")
     classes = found.classes.drop("rep").join(moved, ["low", "high", "n"], "left")
-    classes = classes.select("low", "high", "n", F.coalesce("component", "least").alias("component"))
+    classes = stored(classes.select("low", "high", "n", F.coalesce("component", "least").alias("component")), "components")
     return found.documents.join(classes, ["low", "high", "n"], "left").select(
         "doc_id", "mark", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsloom.session import work_path
+
 #: White space of all contracts: space, and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,6 +41,16 @@ def same_row(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return condition
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a table in the shared work folder, where lost executors do not matter, and read again.
+
+    A join with it starts from files on that side, so that adaptive execution may split its hot keys.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     """The number of partitions that the session gives to a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
