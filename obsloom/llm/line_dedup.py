@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsloom.llm.quality import words_of
-from obsloom.llm.texts import Sealed, pick, same_row, text_mark, whole_text
+from obsloom.llm.texts import Sealed, pick, same_row, stored, text_mark, whole_text
 
 #: Characters from which on a line is a chunk of its own.
 LONG_LINE = 200
@@ -74,7 +74,7 @@ def repeated_chunks(found: DataFrame) -> DataFrame:
 def removed_places(docs: DataFrame) -> DataFrame:
     """Per document that loses chunks: its key, the numbers of the lines that go, and how many chunks they are."""
     found = chunks(docs)
-    repeated = repeated_chunks(found)
+    repeated = stored(repeated_chunks(found), "repeated-chunks")
     places = found.select(*DOC, "first", "last", chunk_hash(F.col("chunk")).alias("hash"))
     gone = places.join(repeated, "hash").filter(~place().eqNullSafe(F.col("stays")))
     span = F.struct("first", "last")
