@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,9 @@ from obsloom.llm.texts import pick
 
 #: Characters that are encoded at once; what the library keeps for them bounds a task's memory.
 CHUNK = 1 << 19
+#: Words whose ids a process remembers, and what is cut off behind a word.
+REMEMBERED = 500_000
+TAIL = ".,;:!?"
 
 
 def byte_characters() -> list[str]:
@@ -79,8 +82,18 @@ def pieces(text: str, limit: int = CHUNK) -> list[str]:
     return [*found, text[start:]]
 
 
+def split_tail(word: str) -> tuple[str, str]:
+    """A word and the full stops and commas after it; no match of either tokenizer's pattern spans the two."""
+    core = word.rstrip(TAIL)
+    return (core, word[len(core) :]) if core and core[-1].lower().isalpha() else (word, "")
+
+
 class ByteBpe:
-    """Encoder and decoder of one process."""
+    """Encoder and decoder of one process.
+
+    A text is cut before single spaces between two other characters, where no match of the pattern can
+    cross. The ids of these pieces are remembered, and new ones go to the library in one text.
+    """
 
     def __init__(self, json: str, tokens: list[bytes]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
@@ -88,22 +101,63 @@ class ByteBpe:
 
         self.library, self.tokens = Tokenizer.from_str(json), tokens
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.known: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text as the library gives them, a bounded number of characters at a time."""
+        parts = [self.library.encode_batch_fast([p], add_special_tokens=False)[0].ids for p in pieces(text)]
+        return b"".join(np.array(p, dtype="<u4").tobytes() for p in parts)
+
+    def _together(self, words: list[str]) -> None:
+        """Learn words, each with a space before it; the bytes of the ids tell where one ends."""
+        if not words:
+            return
+        joined = " " + " ".join(words)
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.cumsum([len(word.encode()) + 1 for word in words])
+        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+        raw, start = ids.tobytes(), 0
+        for word, cut in zip(words, (4 * cuts).tolist()):
+            self.known[word] = raw[start:cut]
+            start = cut
+
+    def learn(self, words: Iterable[str]) -> None:
+        split = [(word, *split_tail(word)) for word in words]
+        batch, size = [], 0
+        for core in {core for _, core, _ in split} - self.known.keys():
+            batch.append(core)
+            size += len(core)
+            if size > CHUNK // 8:
+                self._together(batch)
+                batch, size = [], 0
+        self._together(batch)
+        for word, core, tail in split:
+            if tail:
+                self.known[word] = self.known[core] + self.tail(tail)
+
+    def tail(self, text: str) -> bytes:
+        """Ids of what follows a word without a space."""
+        key = "\0" + text
+        if key not in self.known:
+            self.known[key] = self.plain(text)
+        return self.known[key]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, a bounded number of characters at a time."""
-        parts = [(i, piece) for i, text in enumerate(texts) for piece in pieces(text)]
-        ids: list[list[np.ndarray]] = [[] for _ in texts]
-        at = 0
-        while at < len(parts):
-            end, size = at, 0
-            while end < len(parts) and (end == at or size + len(parts[end][1]) <= CHUNK):
-                size += len(parts[end][1])
-                end += 1
-            found = self.library.encode_batch_fast([p for _, p in parts[at:end]], add_special_tokens=False)
-            for (i, _), one in zip(parts[at:end], found):
-                ids[i].append(np.array(one.ids, dtype="<u4"))
-            at = end
-        return [x[0] if len(x) == 1 else np.concatenate(x) for x in ids]
+        """Ids of each text."""
+        split = [text.split(" ") for text in texts]
+        # the first word has no space before it; a word that begins or ends with white space, or is empty
+        # (two spaces), may share a match with its neighbours, and its text is encoded as a whole
+        whole = [any(not w or w[0].isspace() or w[-1].isspace() or "\0" in w for w in words) for words in split]
+        new = {w for words, plain in zip(split, whole) if not plain for w in words[1:]} - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {}
+            new = {w for words, plain in zip(split, whole) if not plain for w in words[1:]}
+        self.learn(new)
+        found = []
+        for text, words, plain in zip(texts, split, whole):
+            raw = self.plain(text) if plain else self.tail(words[0]) + b"".join(map(self.known.__getitem__, words[1:]))
+            found.append(np.frombuffer(raw, dtype="<u4"))
+        return found
 
     def offsets(self, text: str, ids: np.ndarray) -> np.ndarray:
         """Character where each id begins, and at last the number of characters.
@@ -124,6 +178,24 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
+_MODELS: dict[str, object] = {}
+
+
+def of_process(json: str, make: Callable[[], object]) -> object:
+    """The one encoder that a Python process has for a tokenizer; later tasks find its words learned."""
+    name = f"{make.__qualname__} {hashlib.sha256(json.encode()).hexdigest()}"
+    if name not in _MODELS:
+        _MODELS[name] = make()
+    return _MODELS[name]
+
+
+def byte_bpe(json: str, tokens: list[bytes]) -> ByteBpe:
+    def new_byte_bpe() -> ByteBpe:
+        return ByteBpe(json, tokens)
+
+    return of_process(json, new_byte_bpe)
+
+
 def shared(spark: SparkSession, ranks_path: str, pattern: str) -> Broadcast:
     """The tokenizer for the executors, a few megabytes that the vocabulary bounds; the file is read here only."""
     tokens = read_ranks(ranks_path)
@@ -140,7 +212,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_offset
     model = shared(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(*model.value)
+        bpe = byte_bpe(*model.value)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = bpe.encode(texts)
@@ -158,7 +230,7 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     model = shared(encoded.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(*model.value)
+        bpe = byte_bpe(*model.value)
         for batch in slices(batches):
             texts = [None if i is None else bpe.decode(np.array(i, dtype=np.int64)) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -181,7 +253,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     model = shared(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(*model.value)
+        bpe = byte_bpe(*model.value)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             rows = []
