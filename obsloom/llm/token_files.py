@@ -20,6 +20,7 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsloom.llm.byte_bpe import CHUNK, pieces, slices
+from obsloom.llm.byte_bpe import CHUNK, of_process, pieces, slices, split_tail
 from obsloom.llm.texts import pick, shuffle_partitions, text_mark, whole_text
 
 MAGIC, HASH_BYTES = b"TIDZ", 32
@@ -42,54 +43,78 @@ DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 1 << 16, 2000, 1 << 14
 LEVEL = 3
 END = 2
 #: Words whose ids a process remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 SHARD_SCHEMA = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens long, blob binary"
 
 
 class WordEncoder:
-    """Ids of texts under a tokenizer that drops white space, so that words are encoded one by one.
+    """Ids of texts under a tokenizer that drops white space and lower-cases, so that words are encoded one by one.
 
-    New words of a batch go to the library together, with a separator between them; ids of words are
-    remembered. A word that holds the separator's character is encoded alone.
+    New words go to the library together. Words of letters alone end with an id that marks a word's end;
+    between others stands a separator. The ids of words are remembered.
     """
 
-    SEPARATOR = "\x01"
+    SEPARATOR, WORD_END = "\x01", "</w>"
 
     def __init__(self, json: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         from tokenizers import Tokenizer
 
-        self.library, self.kind = Tokenizer.from_str(json), f"<u{width}"
+        self.library, self.width, self.kind = Tokenizer.from_str(json), width, f"<u{width}"
         (self.separator,) = self.library.encode(self.SEPARATOR, add_special_tokens=False).ids
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
         self.known: dict[str, bytes] = {"": b""}
 
+    def _together(self, words: list[str], letters: bool) -> None:
+        if not words:
+            return
+        joined = " ".join(words) if letters else f" {self.SEPARATOR} ".join(words)
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.int64)
+        if letters:
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            starts = np.concatenate([[0], ends[:-1]])
+        else:
+            cuts = np.flatnonzero(ids == self.separator)
+            starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
+        if len(ends) != len(words):  # a character that this process takes for a letter and the library does not
+            self.known.update((word, self.plain(word)) for word in words)
+            return
+        raw = ids.astype(self.kind).tobytes()
+        for word, a, b in zip(words, (self.width * starts).tolist(), (self.width * ends).tolist()):
+            self.known[word] = raw[a:b]
+
     def learn(self, words: Iterable[str]) -> None:
-        batch: list[str] = []
-        size = 0
+        known, split, wanted = self.known, [], set()
         for word in words:
+            core, tail = split_tail(word)
+            if core.isascii() and core.isalpha():
+                core = core.lower()
+            if core is not word:
+                split.append((word, core, tail))
+            if core not in known:
+                wanted.add(core)
+            if tail not in known:
+                wanted.add(tail)
+        batches: dict[bool, list[str]] = {True: [], False: []}
+        size = dict.fromkeys(batches, 0)
+        for word in wanted:
             if self.SEPARATOR in word or len(word) > CHUNK // 8:
-                self.known[word] = self.plain(word)
+                known[word] = self.plain(word)
                 continue
-            batch.append(word)
-            size += len(word) + 3
-            if size > CHUNK // 8:
-                self._together(batch)
-                batch, size = [], 0
-        self._together(batch)
-
-    def _together(self, words: list[str]) -> None:
-        if not words:
-            return
-        joined = f" {self.SEPARATOR} ".join(words)
-        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.int64)
-        cuts = np.flatnonzero(ids == self.separator)
-        if len(cuts) != len(words) - 1:
-            raise ValueError("a separator was lost")
-        flat = ids.astype(self.kind)
-        starts, ends = np.concatenate([[0], cuts + 1]).tolist(), np.concatenate([cuts, [len(ids)]]).tolist()
-        for word, a, b in zip(words, starts, ends):
-            self.known[word] = flat[a:b].tobytes()
+            letters = word.isalpha() and (word.isascii() or word.lower().isalpha() and is_normalized("NFC", word))
+            batches[letters].append(word)
+            size[letters] += len(word) + 3
+            if size[letters] > CHUNK // 8:
+                self._together(batches[letters], letters)
+                batches[letters], size[letters] = [], 0
+        for letters, batch in batches.items():
+            self._together(batch, letters)
+        for word, core, tail in split:
+            if word != core:
+                known[word] = known[core] + known[tail]
 
     def plain(self, text: str) -> bytes:
         """Ids of a whole text from the library, a bounded number of characters at a time."""
@@ -107,6 +132,13 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
+def word_encoder(json: str, width: int) -> WordEncoder:
+    def new_word_encoder() -> WordEncoder:
+        return WordEncoder(json, width)
+
+    return of_process(f"{width} {json}", new_word_encoder)
+
+
 def pack_shard(rows: list[tuple[int | None, int, bytes]], width: int, dictionary_hash: bytes) -> bytes:
     """Bytes of a shard from (identifier, ids, frame) in order."""
     index = np.zeros(len(rows), dtype=INDEX)
@@ -179,7 +211,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end: int
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_of_library, raw = shared.value
-        encoder, mark = WordEncoder(text_of_library, width), hashlib.sha256(raw).digest()
+        encoder, mark = word_encoder(text_of_library, width), hashlib.sha256(raw).digest()
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=as_dictionary(raw))
         last = int(end).to_bytes(width, "little")
         part, seq, rows, size = TaskContext.get().partitionId(), 0, [], 0
