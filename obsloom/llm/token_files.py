@@ -294,7 +294,7 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> dict[int, list
     shards = spark.read.parquet(f"{path}/shards")
     wanted = F.lit(False)
     for doc_id in doc_ids:
-        wanted |= (F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)
+        wanted |= F.coalesce(F.col("first_id") <= doc_id, F.lit(True)) & (F.col("last_id") >= doc_id)
     for row in shards.filter(wanted).select("blob").toLocalIterator():
         shard = Shard(bytes(row["blob"]), dictionary)
         for doc_id in doc_ids:
