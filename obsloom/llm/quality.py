@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsloom.llm.texts import SPACE, Sealed, pick, same_row, text_mark, whole_text
+from obsloom.llm.texts import SPACE, Sealed, pick, same_row, stored, text_mark, whole_text
 
 #: Different texts of a host in which a line may stand: this many, or this share of the host's if that is more.
 MIN_TEXTS = 10
@@ -106,6 +106,15 @@ def base_counts(docs: DataFrame, host: str) -> DataFrame:
     ).withColumn("n_words", F.size("words").cast("long")).drop("words")
 
 
+def kept_counts(docs: DataFrame, host: str) -> DataFrame:
+    """``base_counts`` written to a table.
+
+    A filter on a count would otherwise be moved below it, with the whole computation repeated for every
+    element of its arrays.
+    """
+    return stored(base_counts(docs, host), "counts")
+
+
 def line_rows(docs: DataFrame, host: str) -> DataFrame:
     """One row per line with a word: the document's key, the line's place, hash and number of words."""
     rows = pick(docs, "doc_id", "text", host).toDF("doc_id", "text", "host").withColumn("text", whole_text())
@@ -146,7 +155,7 @@ def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_T
     own; rows that repeat an identifier, text and host get the same verdict. An empty table gives no rows;
     other columns are not looked at.
     """
-    counts, removed = base_counts(docs, host), removed_lines(docs, host, min_texts, share)
+    counts, removed = kept_counts(docs, host), removed_lines(docs, host, min_texts, share)
     judged = counts.join(removed, same_row(counts, removed, *DOC), "left").select(
         counts["doc_id"], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.coalesce("removed_words", F.lit(0).cast("long")).alias("removed_words"),
@@ -162,7 +171,7 @@ def apply_quality(docs: DataFrame, host: str = "source", min_texts: int = MIN_TE
 
     Columns stay as they are, ``n_chars`` (if there is one) follows the new text.
     """
-    sealed, report = Sealed(docs), base_counts(docs, host)
+    sealed, report = Sealed(docs), kept_counts(docs, host)
     removed = removed_lines(docs, host, min_texts, share)
     verdict = report.select(*DOC, "n_words", _failed().alias("failed")).distinct()
     judged = verdict.join(removed, same_row(verdict, removed, *DOC), "left").filter(
