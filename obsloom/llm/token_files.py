@@ -43,7 +43,7 @@ DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 1 << 16, 2000, 1 << 14
 LEVEL = 3
 END = 2
 #: Words whose ids a process remembers.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 
 SHARD_SCHEMA = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens long, blob binary"
 
@@ -181,10 +181,12 @@ def as_dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def train_dictionary(docs: DataFrame, json: str, width: int) -> bytes:
-    """A dictionary from the ids of the ``SAMPLE_DOCUMENTS`` documents with the smallest hashes; empty if they are too few."""
-    order = F.xxhash64("doc_id", F.lit(2))
-    rows = pick(docs, "doc_id", "text").select("doc_id", F.substring(whole_text(), 1, SAMPLE_CHARACTERS).alias("text"))
-    sample = [r["text"] for r in rows.orderBy(order).limit(SAMPLE_DOCUMENTS).select("text").collect()]
+    """A dictionary from the ids of about ``SAMPLE_DOCUMENTS`` documents, chosen by hash; empty if they are too few."""
+    rows = pick(docs, "doc_id", "text")
+    share = min(1.0, SAMPLE_DOCUMENTS / max(1, rows.count()))
+    chosen = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    texts = chosen.limit(2 * SAMPLE_DOCUMENTS).select(F.substring(whole_text(), 1, SAMPLE_CHARACTERS).alias("text"))
+    sample = [r["text"] for r in texts.collect()]
     encoder = WordEncoder(json, width)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, encoder.encode(sample), level=LEVEL).as_bytes()
@@ -223,7 +225,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end: int
             names = ["part", "seq", "first_id", "last_id", "n_docs", "n_tokens", "blob"]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
 
-        for batch in slices(batches):
+        for batch in slices(batches, 1024):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
                 ids += last

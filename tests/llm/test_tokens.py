@@ -105,6 +105,6 @@ def test_files_read_back(spark, monkeypatch):
     for doc_id, start, n_tokens, crc in got:
         assert start == at and any(len(i) == n_tokens and zlib.crc32(i.tobytes()) == crc for i in ids_of[doc_id])
         at += n_tokens
-    assert token_files.lookup(spark, path, [-300, 8, 99]) == {-300: ids_of[-300][0].tolist(), 8: ids_of[8][0].tolist()}
+    assert token_files.lookup(spark, path, [-300, 8, 100]) == {-300: ids_of[-300][0].tolist(), 8: ids_of[8][0].tolist()}
     with pytest.raises(ValueError):
         token_files.Shard(bytes(spark.read.parquet(f"{path}/shards").first()["blob"]), b"another dictionary")
