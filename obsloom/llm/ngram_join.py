@@ -2,7 +2,7 @@
 
 Jaccard similarity, exact. Equal sets are one class, and only classes are compared.
 
-1.  A set's shingles are dealt by hash into a few parts, one more than two linked sets can differ in; so two
+1.  A set's shingles are dealt by hash into a few parts, more than two linked sets can differ in; so two
     linked sets agree in one part at least. Classes that share no part with another class are done.
 2.  For the others the shingles are put in order of frequency, rarest first. Two linked sets share one
     of their first shingles, so an index list is kept for those alone. An entry holds the size of its set
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ from obsloom.llm.texts import Sealed, pick, shuffle_partitions, stored, text_mar
 BLOCKS = 4
 #: Bits of the filter that spares texts of settled classes a shuffle; the join after it is exact.
 FILTER_BITS = 24
-#: Signatures that a task holds before it hands them on.
-HELD = 1 << 21
+#: Signatures that a task holds before it hands them on, and sets of one shingle that are counted.
+HELD, MANY = 1 << 21, 1 << 16
 
 _U = np.uint64
 
@@ -65,22 +66,27 @@ class Measure:
     def signatures(self, tokens: np.ndarray, bounds: list[int]) -> np.ndarray:
         """Hashes of the parts of a set, for its own size class and for the next one, where it meets larger sets.
 
-        A class in which linked sets cannot differ has no parts, as equal sets are one class already.
+        A class in which linked sets cannot differ has no parts, as equal sets are one class already. There are
+        some parts to spare, more than a set usually has empty ones: linked sets then agree in a part that
+        is not empty. Only a set with more empty parts than that has hashes for those too.
         """
         own = int(np.searchsorted(bounds, len(tokens), side="right")) - 1
         found = []
         spread = mix(tokens * _U(0x9E3779B97F4A7C15) + _U(77))
         values = mix(tokens + _U(5))
         for scheme in (own, own + 1):
-            parts = self.most_different(bounds[scheme + 1]) + 1
-            if parts == 1:
+            differ = self.most_different(bounds[scheme + 1])
+            if not differ:
                 continue
+            spare = 2 + differ // 12
+            parts = differ + 1 + spare
             part = ((spread >> _U(33)) * _U(parts) >> _U(31)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             sums = np.zeros(parts, dtype=np.uint64)
             here, first = np.unique(part[order], return_index=True)
             sums[here] = np.add.reduceat(values[order], first)
-            found.append(mix(sums * _U(0xC2B2AE3D27D4EB4F) + np.arange(parts, dtype=np.uint64) * _U(1 << 32) + _U(scheme + 1)))
+            hashed = mix(sums * _U(0xC2B2AE3D27D4EB4F) + np.arange(parts, dtype=np.uint64) * _U(1 << 32) + _U(scheme + 1))
+            found.append(hashed[here] if parts - len(here) <= spare else hashed)
         return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
     def first_places(self, n: Column) -> Column:
@@ -115,12 +121,33 @@ def _longs(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names=names)
 
 
-def _part_rows(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[pa.RecordBatch]:
-    """(key, low, sure): the parts of each set. Sets that share a part inside the task are sure already.
+def packed(key: np.ndarray, low: np.ndarray) -> bytes:
+    """Sorted keys and the sets they belong to, compressed: differences of keys, and places in a list of sets."""
+    sets, place = np.unique(low, return_inverse=True)
+    columns = np.diff(key, prepend=_U(0)), place.astype(np.uint32)
+    planes = [c.view(np.uint8).reshape(len(key), -1).T.tobytes() for c in columns]
+    head = np.array([len(key), len(sets)], dtype=np.int64).tobytes()
+    return zstandard.compress(head + sets.tobytes() + planes[0] + planes[1], 1)
 
-    Of these only the first goes on with its part; each has one more row, by which it is known as sure.
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.decompress(blob)
+    n, n_sets = np.frombuffer(raw, dtype=np.int64, count=2).tolist()
+    sets = np.frombuffer(raw, dtype=np.int64, count=n_sets, offset=16)
+    start = 16 + 8 * n_sets
+    gaps = np.frombuffer(raw, dtype=np.uint8, count=8 * n, offset=start).reshape(8, n).T.copy().view(np.uint64)[:, 0]
+    place = np.frombuffer(raw, dtype=np.uint8, count=4 * n, offset=start + 8 * n).reshape(4, n).T.copy().view(np.uint32)[:, 0]
+    return np.cumsum(gaps, dtype=np.uint64), sets[place]
+
+
+def _part_rows(batches: Iterator[pa.RecordBatch], measure: Measure, ranges: int) -> Iterator[pa.RecordBatch]:
+    """(range, blob, sure): the parts of each set by ranges of their hashes, and the sets that are sure already.
+
+    Sets that share a part inside the task are sure; of these only the first goes on with that part, so
+    what a part brings to its range is one set for each task at most.
     """
     bounds = measure.class_bounds(1 << 20)
+    width = _U((1 << 64) // ranges + 1)
     parts: list[np.ndarray] = []
     owners: list[np.ndarray] = []
     seen: set[int] = set()
@@ -131,11 +158,17 @@ def _part_rows(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[
         order = np.lexsort((low, key))
         key, low = key[order], low[order]
         again = np.concatenate([[False], key[1:] == key[:-1]])
-        shared = again | np.concatenate([again[1:], [False]])
-        sure = np.unique(low[shared])
-        yield _longs(key[~again], low[~again], np.zeros(int((~again).sum()), dtype=np.int64), names=["key", "low", "sure"])
-        if len(sure):
-            yield _longs(mix(sure.view(np.uint64)), sure, np.ones(len(sure), dtype=np.int64), names=["key", "low", "sure"])
+        sure = np.unique(low[again | np.concatenate([again[1:], [False]])])
+        key, low = key[~again], low[~again]
+        here = (key // width).astype(np.int32)
+        starts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])).tolist()
+        blobs = [packed(key[a:b], low[a:b]) for a, b in zip(starts, [*starts[1:], len(key)])]
+        # what is sure travels with the first blob
+        lists = [sure.tolist() if i == 0 else [] for i in range(len(starts))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(here[starts], pa.int32()), pa.array(blobs, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+            names=["range", "blob", "sure"],
+        )
 
     for batch in slices(batches):
         for text in batch.column("text").to_pylist():
@@ -160,33 +193,33 @@ def _part_rows(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[
 
 
 def _open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key: the sets that share a key with another set, or are sure."""
-    last_key, last_low, told = None, None, False
+    """Of one or a few ranges: the sets that share a part with another set, or are sure."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
-        key, low, sure = (batch.column(c).to_numpy() for c in ("key", "low", "sure"))
-        out = [low[sure == 1]]
-        plain = sure == 0
-        key, low = key[plain], low[plain]
-        if len(key):
-            same = np.concatenate([[key[0] == last_key], key[1:] == key[:-1]])
-            other = np.concatenate([[low[0] != last_low], low[1:] != low[:-1]])
-            meets = same & other
-            if meets[0] and not told:
-                out.append(np.array([last_low], dtype=np.int64))
-            before = np.flatnonzero(meets[1:])
-            out += [low[meets], low[before]]
-            told = bool(meets[-1])
-            last_key, last_low = int(key[-1]), int(low[-1])
-        found = np.unique(np.concatenate(out))
+        for number, blob, sure in zip(*[batch.column(c) for c in ("range", "blob", "sure")]):
+            if len(sure):
+                yield _longs(np.array(sure.as_py(), dtype=np.int64), names=["low"])
+            held.setdefault(number.as_py(), []).append(unpacked(blob.as_py()))
+    for pieces in held.values():
+        key, low = (np.concatenate(c) for c in zip(*pieces))
+        order = np.lexsort((low, key))
+        key, low = key[order], low[order]
+        meets = (key[1:] == key[:-1]) & (low[1:] != low[:-1])
+        found = np.unique(np.concatenate([low[1:][meets], low[:-1][meets]]))
         if len(found):
             yield _longs(found, names=["low"])
 
 
 def open_classes(texts: DataFrame, measure: Measure) -> DataFrame:
-    """(low): names of the sets that may be linked with a different one."""
-    rows = texts.select("text").mapInArrow(lambda batches: _part_rows(batches, measure), "key long, low long, sure long")
-    sorted_rows = rows.repartition(shuffle_partitions(texts), "key").sortWithinPartitions("key", "low")
-    return sorted_rows.mapInArrow(_open_sets, "low long").distinct()
+    """(low): names of the sets that may be linked with a different one.
+
+    Parts are dealt out by ranges of their hashes, one for each shuffle partition; hashes are uniform, and
+    a part comes once from a task, so ranges are even whatever the groups of similar sets are.
+    """
+    partitions = shuffle_partitions(texts)
+    rows = texts.select("text").mapInArrow(lambda batches: _part_rows(batches, measure, partitions), "range int, blob binary, sure array<long>")
+    dealt = rows.repartition(partitions, "range")
+    return dealt.mapInArrow(_open_sets, "low long").distinct()
 
 
 def _with_bits(rows: DataFrame, marks: DataFrame) -> DataFrame:
@@ -218,14 +251,48 @@ def _tokens(batches: Iterator[pa.RecordBatch], measure: Measure) -> Iterator[pa.
         yield _longs(np.concatenate(sets), ids, names=["token", "id"])
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (token, id) sorted by token: those of tokens in several sets, with their number.
+
+    Beyond ``MANY`` the number is not told apart, so a task never holds more rows of one token than that.
+    """
+    names = ["token", "id", "df"]
+    token, ids, last = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), None
+    for batch in batches:
+        new_token, new_ids = batch.column("token").to_numpy(), batch.column("id").to_numpy()
+        if last is not None:  # the run at hand is known to be long, and its rows are not held
+            more = int(np.searchsorted(new_token, last, side="right"))
+            if more:
+                yield _longs(new_token[:more], new_ids[:more], np.full(more, MANY), names=names)
+            new_token, new_ids = new_token[more:], new_ids[more:]
+            if not len(new_token):
+                continue
+            last = None
+        token, ids = np.concatenate([token, new_token]), np.concatenate([ids, new_ids])
+        if not len(token):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(token)]]))
+        df = np.minimum(np.repeat(sizes, sizes), MANY)
+        whole = len(token) if sizes[-1] >= MANY else int(starts[-1])
+        told = df[:whole] > 1
+        yield _longs(token[:whole][told], ids[:whole][told], df[:whole][told], names=names)
+        if whole == len(token):
+            last = int(token[-1])
+        token, ids = token[whole:], ids[whole:]
+    if len(token) > 1:
+        yield _longs(token, ids, np.full(len(token), len(token)), names=names)
+
+
 def index_lists(sets: DataFrame, measure: Measure) -> DataFrame:
     """Entries (token, id, n, pos) of the first shingles, rarest first, of the open sets (id, n, text).
 
     Shingles of one set alone come first of all; they count as positions but need no list.
     """
     tokens = sets.mapInArrow(lambda batches: _tokens(batches, measure), "token long, id long")
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    common = tokens.join(counts, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
+    dealt = tokens.repartition(shuffle_partitions(sets), "token").sortWithinPartitions("token")
+    counted = dealt.mapInArrow(_frequencies, "token long, id long, df long")
+    common = counted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
     room = common.join(sets.select("id", "n"), "id").withColumn("alone", F.col("n") - F.size("common"))
     room = room.withColumn("left", (measure.first_places(F.col("n")) - F.col("alone")).cast("int")).filter("left > 0")
     entries = room.select("id", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("left"))).alias("at", "entry"))

@@ -93,3 +93,16 @@ def test_components_of_chains_and_stars(spark):
     rng.shuffle(links)
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(200, 260)} == {1} and got[300] == got[301] == 7
+
+
+def test_frequencies_over_batches(monkeypatch):
+    monkeypatch.setattr(ngram_join, "MANY", 5)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        token = np.sort(rng.integers(0, 6, size=int(rng.integers(0, 40))))
+        cuts = np.sort(rng.integers(0, len(token) + 1, size=4))
+        parts = zip(np.split(token, cuts), np.split(np.arange(len(token)), cuts))
+        found = ngram_join._frequencies(ngram_join._longs(t, i, names=["token", "id"]) for t, i in parts)
+        got = sorted(tuple(r.values()) for batch in found for r in batch.to_pylist())
+        size = {t: int((token == t).sum()) for t in set(token.tolist())}
+        assert got == sorted((t, i, min(size[t], 5)) for i, t in enumerate(token.tolist()) if size[t] > 1)
