@@ -88,7 +88,8 @@ def _exact(df: DataFrame, columns: Sequence[str], probabilities: list[float], by
         return F.max(F.when((rank > first) & (rank <= last), F.col("v")))
 
     found = placed.groupBy("__group", "c", "j").agg(at(low).alias("low"), at(high).alias("high"), F.first(place).alias("place"))
-    value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
+    over = F.col("place") - F.floor("place")
+    value = F.when(over == 0, F.col("low")).otherwise((F.ceil("place") - F.col("place")) * F.col("low") + over * F.col("high"))
     gathered = found.groupBy("__group", "c").agg(F.sort_array(F.collect_list(F.struct("j", value.alias("q")))).alias("found"))
     names = F.array(*map(F.lit, columns))
     return gathered.select(
