@@ -4,6 +4,11 @@ A rolling hash over the hashes of two neighbouring lines is taken at every line,
 has a local minimum: boundaries depend on the lines around them alone, so lines put in before do not shift
 them, and no two are adjacent. A long line is a chunk of its own. Chunks with equal hashes are compared byte
 by byte; of a chunk that stands in several places only the first stays.
+
+Passages that chunks miss are found by windows of whole lines: from every line on, the fewest lines that reach
+``LONG_PASSAGE`` words. Whatever run of lines of that length stands earlier too holds such a window at each line
+where one fits, so the lines of all repeated windows together are the repeated runs. Windows are equal by the first
+128 bits of a SHA-256. ``line_report`` goes by chunks alone, as its SQL does; ``dedup_lines`` by both.
 """
 
 from __future__ import annotations
@@ -19,6 +24,10 @@ LONG_LINE = 200
 #: A repeated chunk goes if it has two lines or more with these words together, or, whatever its lines, those.
 FEWEST_LINES, FEWEST_WORDS, LONG_PASSAGE = 2, 10, 50
 
+#: Scripts without spaces between words: this many of their characters count as one word.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+UNSPACED_WORD = 2
+
 DOC = ("doc_id", "mark")
 
 
@@ -71,16 +80,83 @@ def repeated_chunks(found: DataFrame) -> DataFrame:
     return grouped.filter((F.col("n") > 1) & (F.size("texts") == 1)).filter(big).select("hash", "stays")
 
 
+def line_weight(line: Column) -> Column:
+    """Length of a line; ``UNSPACED_WORD`` for each word, and one for each character of a script without spaces."""
+    words = lambda text: UNSPACED_WORD * F.size(words_of(text))
+    spaced = F.regexp_replace(line, UNSPACED, " ")
+    counted = words(spaced) + F.length(F.regexp_replace(line, f"[^{UNSPACED[1:]}", ""))
+    return F.when(F.octet_length(line) == F.length(line), words(line)).otherwise(counted)
+
+
+def windows(docs: DataFrame) -> DataFrame:
+    """One row per window: doc_id, mark, its first and last line, and its hash.
+
+    Lines without a word begin and end no window, so a window has no more than ``LONG_PASSAGE`` times
+    ``UNSPACED_WORD`` lines with words.
+    """
+    limit = LONG_PASSAGE * UNSPACED_WORD
+    rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
+    lined = rows.select("doc_id", text_mark(F.col("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
+    weighed = lined.withColumn(
+        "spoken",
+        F.filter(
+            F.transform("lines", lambda line, i: F.struct(i.alias("place"), line_weight(line).alias("weight"))), lambda x: x["weight"] > 0
+        ),
+    ).withColumn("hashes", F.transform("lines", lambda line: F.sha2(line.cast("binary"), 256))).drop("lines")
+
+    def reach(part: Column) -> Column:
+        """How many of the leading weights reach the limit; null if all of them do not."""
+        start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
+        step = lambda a, x: F.when(a["sum"] >= limit, a).otherwise(
+            F.struct((a["sum"] + x["weight"]).alias("sum"), (a["n"] + 1).alias("n"))
+        )
+        return F.aggregate(part, start, step, lambda a: F.when(a["sum"] >= limit, a["n"]))
+
+    spoken = F.col("spoken")
+    after = lambda x, k: F.struct(
+        x["place"].alias("first"), F.get(spoken, k + reach(F.slice(spoken, k + 1, F.lit(limit))) - 1)["place"].alias("last")
+    )
+    found = F.filter(F.transform(spoken, after), lambda w: w["last"].isNotNull())
+    each = weighed.withColumn("window", F.explode(found)).select(*DOC, "hashes", "window.first", "window.last")
+    body = F.array_join(F.slice("hashes", F.col("first") + 1, F.col("last") - F.col("first") + 1), "")
+    return each.select(*DOC, "first", "last", F.substring(F.unhex(F.sha2(body.cast("binary"), 256)), 1, 16).alias("hash"))
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """Windows that stand earlier too, as (doc_id, mark, first, last); one that its first place overlaps is none."""
+    found = windows(docs)
+    first = F.min(F.struct(place().alias("at"), "last"))
+    again = found.groupBy("hash").agg(first.alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    both = found.join(stored(again, "repeated-windows"), "hash")
+    stays = F.col("stays.at")
+    same_doc = F.struct("doc_id", "mark").eqNullSafe(F.struct(stays["doc_id"].alias("doc_id"), stays["mark"].alias("mark")))
+    return both.filter(~same_doc | (F.col("first") > F.col("stays.last"))).select(*DOC, "first", "last")
+
+
 def removed_places(docs: DataFrame) -> DataFrame:
     """Per document that loses chunks: its key, the numbers of the lines that go, and how many chunks they are."""
+    return gathered(gone_chunks(docs))
+
+
+def gone_chunks(docs: DataFrame) -> DataFrame:
+    """Chunks that stand earlier too, as (doc_id, mark, first, last)."""
     found = chunks(docs)
     repeated = stored(repeated_chunks(found), "repeated-chunks")
     places = found.select(*DOC, "first", "last", chunk_hash(F.col("chunk")).alias("hash"))
-    gone = places.join(repeated, "hash").filter(~place().eqNullSafe(F.col("stays")))
+    return places.join(repeated, "hash").filter(~place().eqNullSafe(F.col("stays"))).select(*DOC, "first", "last")
+
+
+def removed_passages(docs: DataFrame) -> DataFrame:
+    """As ``removed_places``, for the repeated chunks and the repeated runs of lines."""
+    return gathered(gone_chunks(docs).unionByName(repeated_windows(docs)))
+
+
+def gathered(gone: DataFrame) -> DataFrame:
+    """Spans of lines by document."""
     span = F.struct("first", "last")
     return gone.groupBy(*DOC).agg(F.collect_set(span).alias("spans")).select(
         *DOC,
-        F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"]))).alias("places"),
+        F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))).alias("places"),
         F.size("spans").cast("long").alias("n_chunks"),
     )
 
@@ -109,8 +185,8 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of the texts; the same rows and columns."""
-    sealed, removed = Sealed(docs), removed_places(docs)
+    """``docs`` with the repeated chunks and passages taken out of the texts; the same rows and columns."""
+    sealed, removed = Sealed(docs), removed_passages(docs)
     mark = text_mark(F.coalesce(sealed["text"], F.lit("")))
     same = sealed["doc_id"].eqNullSafe(removed["doc_id"]) & (mark == removed["mark"])
     joined = sealed.frame.join(removed, same, "left")

@@ -26,6 +26,28 @@ def test_shared_passages_go_and_clean_lines_stay(spark):
     assert got[0]["clean_text"] == texts[0]
 
 
+def cleaned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(docs).collect()}
+
+
+def test_passages_of_long_lines_go(spark):
+    rng = random.Random(16)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(n))
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    for passage in ([words(30) for _ in range(3)], [han(250)], [han(60), "", han(60)]):
+        texts = [[words(30), *passage, words(31)], [words(22), words(33), *passage], [*passage, words(40)], [passage[0][:40], words(21)]]
+        got = cleaned(spark, ["\n".join(t) for t in texts])
+        assert got[0] == texts[0] and got[1] == texts[1][:2] and got[2] == texts[2][-1:] and got[3] == texts[3]
+
+
+def test_passages_of_one_document(spark):
+    rng = random.Random(17)
+    line, passage = prose(rng, 10), [prose(rng, 30) for _ in range(2)]
+    got = cleaned(spark, ["\n".join([line] * 40), "\n".join([*passage, prose(rng, 9), *passage])])
+    assert got[0] == [line] * 5 and len(got[1]) == 3 and got[1][:2] == passage
+
+
 def test_boundaries_do_not_shift(spark):
     rng = random.Random(7)
     body = [prose(rng, 10) for _ in range(80)]
