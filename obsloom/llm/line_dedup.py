@@ -5,10 +5,10 @@ has a local minimum: boundaries depend on the lines around them alone, so lines
 them, and no two are adjacent. A long line is a chunk of its own. Chunks with equal hashes are compared byte
 by byte; of a chunk that stands in several places only the first stays.
 
-Passages that chunks miss are found by windows of whole lines: from every line on, the fewest lines that reach
-``LONG_PASSAGE`` words. Whatever run of lines of that length stands earlier too holds such a window at each line
-where one fits, so the lines of all repeated windows together are the repeated runs. Windows are equal by the first
-128 bits of a SHA-256. ``line_report`` goes by chunks alone, as its SQL does; ``dedup_lines`` by both.
+Passages that chunks miss are found by windows of whole lines: from every line on, and up to every line, the fewest
+lines that reach ``LONG_PASSAGE`` words. In a run of lines of that length that stands earlier too, every line lies in
+a window of the run, so the lines of all repeated windows together are the repeated runs. Windows are equal by the
+first 128 bits of a SHA-256. ``line_report`` goes by chunks alone, as its SQL does; ``dedup_lines`` by both.
 """
 
 from __future__ import annotations
@@ -113,11 +113,18 @@ def windows(docs: DataFrame) -> DataFrame:
         return F.aggregate(part, start, step, lambda a: F.when(a["sum"] >= limit, a["n"]))
 
     spoken = F.col("spoken")
-    after = lambda x, k: F.struct(
-        x["place"].alias("first"), F.get(spoken, k + reach(F.slice(spoken, k + 1, F.lit(limit))) - 1)["place"].alias("last")
+    packed = lambda first, last: F.shiftleft(first.cast("long"), 32).bitwiseOR(last.cast("long"))
+    after = lambda x, k: packed(
+        x["place"], F.get(spoken, k + reach(F.slice(spoken, k + 1, F.lit(limit))) - 1)["place"]
+    )
+    start = lambda k: F.greatest(k + 1 - limit, F.lit(0))
+    before = lambda x, k: packed(
+        F.get(spoken, k - reach(F.reverse(F.slice(spoken, start(k) + 1, k - start(k) + 1))) + 1)["place"], x["place"]
+    )
+    both = F.array_union(F.transform(spoken, after), F.transform(spoken, before))
+    each = weighed.withColumn("window", F.explode(F.array_compact(both))).select(
+        *DOC, "hashes", F.shiftright("window", 32).cast("int").alias("first"), F.col("window").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("last")
     )
-    found = F.filter(F.transform(spoken, after), lambda w: w["last"].isNotNull())
-    each = weighed.withColumn("window", F.explode(found)).select(*DOC, "hashes", "window.first", "window.last")
     body = F.array_join(F.slice("hashes", F.col("first") + 1, F.col("last") - F.col("first") + 1), "")
     return each.select(*DOC, "first", "last", F.substring(F.unhex(F.sha2(body.cast("binary"), 256)), 1, 16).alias("hash"))
 

@@ -41,6 +41,33 @@ def test_passages_of_long_lines_go(spark):
         assert got[0] == texts[0] and got[1] == texts[1][:2] and got[2] == texts[2][-1:] and got[3] == texts[3]
 
 
+def test_short_passages_of_ordinary_lines_go_whole(spark):
+    rng = random.Random(18)
+    passages = [[prose(rng, n) for n in sizes] for size in range(3, 9) for sizes in ([-(-50 // size)] * size, [49, 1] + [2] * (size - 2), [2] * (size - 2) + [1, 49])]
+    texts = [[prose(rng, 20), *p, prose(rng, 20)] for p in passages] + [[prose(rng, 9), prose(rng, 8), *p, prose(rng, 7)] for p in passages]
+    got, n = cleaned(spark, ["\n".join(t) for t in texts]), len(passages)
+    assert all(got[i] == texts[i] for i in range(n))
+    assert all(got[n + i] == texts[n + i][:2] + texts[n + i][-1:] for i in range(n))
+
+
+def test_repeated_runs_are_those_of_brute_force(spark):
+    rng = random.Random(19)
+    pool = [prose(rng, rng.choice([1, 4, 12, 20, 60])) for _ in range(12)] + ["", " "]
+    texts = [rng.choices(pool, k=rng.randint(1, 9)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r["doc_id"], i) for r in line_dedup.repeated_windows(docs).collect() for i in range(r["first"], r["last"] + 1)}
+    runs, want = {}, set()
+    for d, lines in enumerate(texts):
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                run = lines[a : b + 1]
+                if run[0].strip() and run[-1].strip() and len(" ".join(run).split()) >= 50:
+                    at = runs.setdefault(tuple(run), (d, b))
+                    if at[0] != d or a > at[1]:
+                        want |= {(d, i) for i in range(a, b + 1)}
+    assert got == want and want
+
+
 def test_passages_of_one_document(spark):
     rng = random.Random(17)
     line, passage = prose(rng, 10), [prose(rng, 30) for _ in range(2)]
