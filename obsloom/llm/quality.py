@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from obsloom.llm.texts import SPACE, Sealed, pick, same_row, stored, text_mark, whole_text
 
-#: Different texts of a host in which a line may stand: this many, or this share of the host's if that is more.
+#: Different texts of a host in which a line may stand, whatever the size of the host.
 MIN_TEXTS = 10
-SHARE = 0.001
+#: A limit that grows with the host, for who asks for it: also this share of the host's texts.
+SHARE = 0.0
 #: A document is depleted when more than this share of its words goes.
 MOST_REMOVED = 0.5
 FEWEST_WORDS = 50
@@ -131,8 +132,10 @@ def frequent_lines(docs: DataFrame, host: str, min_texts: int = MIN_TEXTS, share
     """(host, line hash) of the lines that stand in more different texts of their host than its limit."""
     lines = line_rows(docs, host)
     texts = lines.groupBy("host", "line", "mark").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
-    hosts = lines.groupBy("host", "mark").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
     many = texts.filter(F.col("texts") > min_texts)
+    if share <= 0:
+        return many.select("host", "line")
+    hosts = lines.groupBy("host", "mark").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
     return many.join(hosts, same_row(many, hosts, "host")).filter(F.col("texts") > share * F.col("of_host")).select(many["host"], "line")
 
 

@@ -29,7 +29,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_quality_rules", oracles.QUALITY)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(documents(spark, sf_dir))
+    """With the share of a host's texts that the SQL asks for; the pipeline's limit is the same for every host."""
+    return quality_report(documents(spark, sf_dir), share=0.001)
 
 
 @query("op3_secret_scans", oracles.SECRETS)

@@ -123,3 +123,13 @@ def test_boilerplate_of_one_host(spark):
     assert all(kept[i] for i in range(14)) and not any(kept[20 + i] for i in range(3)) and all(kept[40 + i] for i in range(9))
     out = {r["doc_id"]: r["text"] for r in quality.apply_quality(docs).collect()}
     assert all(banner.upper() not in out[i] for i in range(14)) and banner in out[40] and not {20, 21, 22} & out.keys()
+
+
+def test_the_limit_does_not_grow_with_the_host(spark):
+    rng = random.Random(20)
+    banner = prose(rng, 45)
+    rows = [(i, prose(rng, 20) + "\n" + banner, host) for host in ("hot", "cold") for i in range(11)]
+    rows += [(100 + i, f"text {i}", "hot") for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    assert quality.quality_report(docs).filter("doc_id < 100").filter("kept or n_removed_lines <> 1").count() == 0
+    assert quality.apply_quality(docs).filter("doc_id < 100").count() == 0
