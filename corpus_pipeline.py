@@ -43,9 +43,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every document of the mix."""
-    encoded = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, text_offsets=False)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Byte-level BPE ids of every document of the mix, where they begin, and the hash of what they decode to."""
+    encoded = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "offsets", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Stage]] = [

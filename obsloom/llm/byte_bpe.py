@@ -203,9 +203,11 @@ def shared(spark: SparkSession, ranks_path: str, pattern: str) -> Broadcast:
     return context.broadcast((tokenizer_json(tokens, pattern), tokens))
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_offsets: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_offsets: bool = True, decoded: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, ids, offsets (starts in characters, and the length).
 
+    With ``decoded`` also decoded_sha256, the hash of the bytes that the ids decode to.
+
     Null texts count as empty and have no ids; repeated rows give repeated rows; an empty table gives none;
     other columns are not looked at. Without ``text_offsets`` the offsets are null.
     """
@@ -217,12 +219,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_offset
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = bpe.encode(texts)
             places = [bpe.offsets(t, i) for t, i in zip(texts, ids)] if text_offsets else [None] * len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int64()))],
-                names=["doc_id", "ids", "offsets"],
-            )
+            columns = [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int64()))]
+            if decoded:
+                columns.append(pa.array([hashlib.sha256(bpe.decode_bytes(i)).hexdigest() for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "offsets", "decoded_sha256"][: len(columns)])
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>")
+    schema = "doc_id long, ids array<int>, offsets array<long>" + (", decoded_sha256 string" if decoded else "")
+    return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
 def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The pipeline's stages, each judged on its own input."""
 
 import base64
+import hashlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -73,3 +74,12 @@ def test_awkward_tables_pass_every_stage(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, sf_dir)
     assert nothing.count() == 0
+
+
+def test_the_last_stage_decodes_what_it_encodes(spark, sf_dir):
+    rows = {i: t or "" for i, t in enumerate(["plain text", "\u00e9 \u6f22\U0001f642 x", "", None])}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect():
+        text = rows[r["doc_id"]]
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert len(r["offsets"]) == r["n_tokens"] + 1 and r["offsets"][-1] == len(text)
