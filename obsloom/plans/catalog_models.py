@@ -83,13 +83,13 @@ def cluster_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("city_clusters")
 def city_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, clustered = K.cluster_entities(observations(spark, sf_dir), "city", weather.CITY_FEATURES, max_k=5, restarts=3)
+    _, clustered = K.cluster_entities(observations(spark, sf_dir), "city", weather.CITY_FEATURES)
     return members(clustered, "cluster", "city")
 
 
 @query("city_cluster_profile")
 def city_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, clustered = K.cluster_entities(observations(spark, sf_dir), "city", weather.CITY_FEATURES, max_k=4, restarts=2)
+    _, clustered = K.cluster_entities(observations(spark, sf_dir), "city", weather.CITY_FEATURES)
     return K.cluster_means(clustered, weather.CITY_FEATURES).orderBy("cluster")
 
 
