@@ -169,19 +169,19 @@ def _scored(spark: SparkSession, sf_dir: str, target: str, estimator, prefix: st
 
 @query("rf_scores")
 def rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir, "extreme", TR.random_forest(10, 5), "extreme")
+    scored = _scored(spark, sf_dir, "extreme", TR.random_forest(), "extreme")
     return scored.withColumn("is_normal", is_normal(F.col("extreme_class"))).drop(*weather.FEATURES)
 
 
 @query("gbt_scores")
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir, "extreme", TR.boosted_trees(3, 0.1, 3, classes=5), "extreme")
+    scored = _scored(spark, sf_dir, "extreme", TR.boosted_trees(classes=5), "extreme")
     return scored.drop(*weather.FEATURES)
 
 
 @query("rain_scores")
 def rain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, "rain", TR.boosted_trees(5, 0.1, 3), "rain").drop(*weather.FEATURES)
+    return _scored(spark, sf_dir, "rain", TR.boosted_trees(), "rain").drop(*weather.FEATURES)
 
 
 @query("saved_model_scores")
@@ -189,7 +189,7 @@ def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, save, find the best saved model, load it, and score rows that lack inputs."""
     train, test = train_and_test(spark, sf_dir)
     folder = work_path(spark, "models")
-    save_model(TR.fit_classifier(train, weather.FEATURES, "extreme", TR.random_forest(5, 4)), f"{folder}/best_extreme_rf")
+    save_model(TR.fit_classifier(train, weather.FEATURES, "extreme", TR.random_forest()), f"{folder}/best_extreme_rf")
     model = load_model(best_available(spark, [folder], ["best_extreme_gb", "best_extreme_*"]))
     asked = fill_defaults(
         fill_with(test.drop("visibility"), {"humidity_lag_1": F.col("humidity"), "pressure_lag_1": F.col("pressure")}),
@@ -201,7 +201,7 @@ def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_quality")
 def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = train_and_test(spark, sf_dir)
-    model = TR.fit_classifier(train, weather.FEATURES, "extreme", TR.random_forest(10, 5))
+    model = TR.fit_classifier(train, weather.FEATURES, "extreme", TR.random_forest())
     scored = score(test, model, "extreme")
     classes = class_names(model)
     quality = macro_metrics(scored, "extreme", "extreme_class")
@@ -212,7 +212,7 @@ def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_confusion")
 def model_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = train_and_test(spark, sf_dir)
-    model = TR.fit_classifier(train, weather.FEATURES, "extreme", TR.random_forest(10, 5))
+    model = TR.fit_classifier(train, weather.FEATURES, "extreme", TR.random_forest())
     return confusion(score(test, model, "extreme"), "extreme", "extreme_class", class_names(model))
 
 
@@ -222,8 +222,8 @@ def cv_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = mark_folds(model_rows(spark, sf_dir), ["extreme"], ["obs_id"], 3)
     indexed = TR.label_index(df, "extreme").transform(df)
     candidates = [
-        TR.Candidate("forest", TR.random_forest, [{"trees": 5, "depth": 4}, {"trees": 10, "depth": 6}]),
-        TR.Candidate("boosted", TR.boosted_trees, [{"rounds": 2, "rate": 0.1, "depth": 3, "classes": 5}]),
+        TR.Candidate("forest", TR.random_forest, TR.FOREST_GRID),
+        TR.Candidate("boosted", TR.boosted_trees, [{**point, "classes": 5} for point in TR.BOOST_GRID + TR.WIDE_BOOST_GRID]),
     ]
 
     def balanced(train: DataFrame) -> DataFrame:
@@ -238,8 +238,8 @@ def rain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rain or not, by F1 of the rainy class."""
     df = mark_folds(model_rows(spark, sf_dir), ["rain"], ["obs_id"], 3).withColumn("label", F.col("rain").cast("double"))
     candidates = [
-        TR.Candidate("forest", TR.random_forest, [{"trees": 5, "depth": 4}, {"trees": 10, "depth": 6}]),
-        TR.Candidate("boosted", TR.boosted_trees, [{"rounds": 3, "rate": 0.1, "depth": d} for d in (3, 5)]),
+        TR.Candidate("forest", TR.random_forest, TR.FOREST_GRID),
+        TR.Candidate("boosted", TR.boosted_trees, TR.BOOST_GRID + TR.WIDE_BOOST_GRID),
     ]
     return TR.rank_candidates(
         TR.cross_validate(df, candidates, weather.FEATURES, "fold", 3, evaluator=ClassF1(), missing="zero")

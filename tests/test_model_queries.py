@@ -18,3 +18,25 @@ def test_cities_are_swept_whole(monkeypatch, name):
     with pytest.raises(Asked) as found:
         getattr(M, name)(None, "")
     assert found.value.args == ({},)
+
+
+@pytest.mark.parametrize("name", ["cv_leaderboard", "rain_candidates"])
+def test_all_grids_are_searched(monkeypatch, name):
+    asked = []
+
+    class Rows:
+        def withColumn(self, *args):
+            return self
+
+        def transform(self, df):
+            return df
+
+    monkeypatch.setattr(M, "model_rows", lambda spark, sf_dir: Rows())
+    monkeypatch.setattr(M, "mark_folds", lambda df, *args: df)
+    monkeypatch.setattr(M.F, "col", lambda name: type("C", (), {"cast": lambda self, kind: None})())
+    monkeypatch.setattr(M.TR, "label_index", lambda df, label: Rows())
+    monkeypatch.setattr(M.TR, "cross_validate", lambda df, candidates, *args, **more: asked.extend(candidates))
+    monkeypatch.setattr(M.TR, "rank_candidates", lambda board: board)
+    getattr(M, name)(None, "")
+    grids = {c.name: [{k: v for k, v in p.items() if k != "classes"} for p in c.grid] for c in asked}
+    assert grids == {"forest": M.TR.FOREST_GRID, "boosted": M.TR.BOOST_GRID + M.TR.WIDE_BOOST_GRID}
