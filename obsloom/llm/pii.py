@@ -35,7 +35,7 @@ LOOK_ALIKES |= {chr(first + d): str(d) for first in (0x0660, 0x06F0, 0x0966) for
 DIGIT_WORDS = {
     "zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
     "null": 0, "eins": 1, "zwei": 2, "drei": 3, "vier": 4, "fünf": 5, "sechs": 6, "sieben": 7, "acht": 8, "neun": 9,
-    "zéro": 0, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "sept": 7, "huit": 8, "neuf": 9,
+    "zéro": 0, "un": 1, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "sept": 7, "huit": 8, "neuf": 9,
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 
@@ -163,7 +163,7 @@ def deobfuscate(text: str) -> Rewritten | None:
     """The text without disguises, or None where it has none."""
     plain = text if text.isascii() or not _ALIKE.search(text) else text.translate(_TABLE)
     unseen = None if text.isascii() else _UNSEEN.search(plain)
-    hint = _HINT.search(plain) if "dot" in plain.lower() or "at" in plain.lower() or "@" in plain else None
+    hint = _HINT.search(plain)
     said = DIGIT_WORDS.keys() & set(plain.lower().replace("-", " ").replace(",", " ").split(" "))
     spelled = said and _SPELLED.search(plain)
     if plain is text and not (unseen or hint or spelled):

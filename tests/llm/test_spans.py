@@ -112,3 +112,8 @@ def test_every_edit_keeps_places():
             places = [out.source(i) for i in range(len(out.text))]
             assert places == sorted(places) and all(0 <= p < len(text) for p in places)
             assert all(out.source(i) <= out.source(i + 1, end=True) <= len(text) for i in range(len(out.text)))
+
+
+def test_bracketed_points_and_french_ones():
+    assert pii.deobfuscate("192[.]168[.]1[.]1").text == "192.168.1.1"
+    assert "061234" in pii.deobfuscate("zéro six un deux trois quatre").text.replace(" ", "")
