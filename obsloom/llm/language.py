@@ -20,9 +20,9 @@ from obsloom.llm.texts import pick
 #: Trigrams are hashed to so many buckets; with the number of labels this bounds the model.
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-#: Languages that a document may mix, rounds of expectation maximisation, and the price of one more language
+#: Rounds of expectation maximisation, and the price of one more language
 #: in units of the logarithm of the document's trigrams (trigrams overlap, so more than the usual half).
-MOST_LANGUAGES, ROUNDS, PRICE = 4, 12, 2.0
+ROUNDS, PRICE = 12, 2.0
 UNKNOWN = "und"
 
 _LETTERS: np.ndarray | None = None
@@ -122,10 +122,10 @@ def infer(texts: list[str], model: np.ndarray) -> np.ndarray:
     group = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(owner)]])))
     count = count.astype(np.float64)
     logs = model[:, bucket].T.astype(np.float64)
-    # The languages that explain a text best alone are the ones that it may mix.
+    # The languages that explain a text best alone come first; all of them may be mixed.
     alone = _per_text(logs * count[:, None], starts)
-    most = min(MOST_LANGUAGES, len(model))
-    leading = np.argsort(-alone, axis=1, kind="stable")[:, :most]
+    most = len(model)
+    leading = np.argsort(-alone, axis=1, kind="stable")
     logs = np.take_along_axis(logs, leading[group], axis=1)
     likelihood = np.exp(logs - logs.max(axis=1, keepdims=True)) + 1e-300
     mix, _ = proportions(likelihood, count, group, starts, np.full((len(starts), most), 1.0 / most))

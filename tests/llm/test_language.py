@@ -48,3 +48,22 @@ def test_no_labels_at_all(spark):
     row = language.train_and_predict(docs).first()
     assert (row["lang_pred"], row["score"]) == ("und", 0.0)
     assert np.all(language.infer(["text"], language.train(docs)[1]) == 0)
+
+
+def test_any_of_six_languages_can_be_mixed():
+    def text(letters, seed, words):
+        rng = np.random.default_rng(seed)
+        return " ".join("".join(rng.choice(list(letters), 6)) for _ in range(words))
+
+    latin = "abcdefgh"
+    # One script with weights that differ little, and one script of its own.
+    weights = [text(latin, i, 4000) for i in range(5)] + [text("あいうえおかきく", 9, 4000)]
+    model = []
+    for one in weights:
+        _, bucket, count = language.trigrams([one])
+        total = np.full(65536, 0.01)
+        np.add.at(total, bucket, count)
+        model.append(np.log(total / total.sum()))
+    mixed = text(latin, 0, 120) + " " + text("あいうえおかきく", 9, 80)
+    found = language.infer([mixed], np.array(model))[0]
+    assert found[5] > 0.2 and found[:5].sum() > 0.4
