@@ -168,3 +168,83 @@ select d.doc_id, len(d.l) as n_lines, coalesce(g.n_lines, 0) as n_removed_lines,
   coalesce(k.t, '') as clean_text
 from d left join per_doc g using (doc_id) left join kept k using (doc_id)
 """
+
+COLLOCATIONS = r"""
+with t as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+),
+piece as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from t),
+said as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from piece),
+run as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+  from said, (select unnest([1, 2, 3, 4, 5]) as k)
+),
+f as (select lang, k, phrase, string_split(phrase, ' ') as w, count(*) as n from run group by lang, k, phrase having count(*) >= 100),
+total as (select lang, count(*) as n from run where k = 1 group by lang),
+cut as (
+  select p.lang, p.phrase, p.n as a, p.c, l.n as l, r.n as r, total.n,
+    ((1000::hugeint * p.n * total.n) // (l.n::hugeint * r.n))::bigint as score
+  from (select *, unnest(range(1, k)) as c from f where k > 1) p
+  join f l on l.lang = p.lang and l.phrase = array_to_string(p.w[1:p.c], ' ')
+  join f r on r.lang = p.lang and r.phrase = array_to_string(p.w[p.c + 1:p.k], ' ')
+  join total on total.lang = p.lang
+),
+lowest as (select * from cut qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+part as (
+  select lang, n, array_to_string(w[i:i + z - 1], ' ') as phrase
+  from (select *, unnest(range(1, k - z + 2)) as i from (select *, unnest(range(2, k)) as z from f where k > 2))
+),
+cover as (select lang, phrase, max(n) as n from part group by lang, phrase),
+kept as (
+  select lowest.* from lowest left join cover on cover.lang = lowest.lang and cover.phrase = lowest.phrase
+  where cover.n is null or 100 * cover.n < 100 * lowest.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept qualify rank <= 2000
+"""
+
+RESAMPLING = r"""
+with steps as (
+  select list_transform(range(256), lambda b: list_reduce(
+    list_prepend(b, range(8)), lambda c, _: xor(c >> 1, (c & 1) * 3988292384::bigint))) as steps
+),
+d as (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+),
+source as (select row, unnest(w) as w from d),
+target as (
+  select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w
+  from benchmark
+),
+word as (
+  select w, xor(4294967295::bigint, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(0, len(h) // 2), lambda i:
+      (16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)::bigint)),
+    lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]))) % 10000 as bucket
+  from (select w, hex(encode(w)) as h from (select w from source union select w from target)), steps
+),
+s as (select bucket, count(*) as n from source join word using (w) group by bucket),
+t as (select bucket, count(*) as n from target join word using (w) group by bucket),
+gain as (
+  select bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * ((select count(*) from source) + 10000)::double
+    / ((coalesce(s.n, 0) + 1)::double * ((select count(*) from target) + 10000)::double)))::bigint as gain
+  from s full join t using (bucket)
+),
+summed as (select row, count(*) as n, sum(gain) as gain from source join word using (w) join gain using (bucket) group by row),
+scored as (
+  select doc_id, len(w) as n_features, coalesce(floor(summed.gain::double / n), 0)::bigint as weight, len(w) >= 20 as fits,
+    floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::varchar, ''))[1:8])::bigint + 0.5::double) / 4294967296::double)))::bigint as luck
+  from d left join summed using (row)
+)
+select doc_id, n_features, weight, weight + luck as score,
+  case when fits and place <= (select count(*) * 10 // 100 from scored where fits) then place end as rank
+from (
+  select *, row_number() over (partition by fits order by weight + luck desc, doc_id nulls last, n_features) as place from scored
+)
+"""

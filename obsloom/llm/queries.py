@@ -1,4 +1,4 @@
-"""The queries op1 to op10 over the whole documents table."""
+"""The queries op1 to op13 over the whole documents table."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from obsloom.llm import oracles
 from obsloom.llm.byte_bpe import round_trip
+from obsloom.llm.collocations import collocations
 from obsloom.llm.exact_dedup import exact_duplicates
 from obsloom.llm.language import train_and_predict
 from obsloom.llm.line_dedup import line_report
@@ -15,7 +16,9 @@ from obsloom.llm.ngram_join import similar_components
 from obsloom.llm.pii import pii_report
 from obsloom.llm.quality import quality_report
 from obsloom.llm.registry import ORACLES, QUERIES, documents, query
+from obsloom.llm.resampling import resample
 from obsloom.llm.secrets import secret_report
+from obsloom.llm.simhash import simhash_components
 from obsloom.llm.token_files import read_token_files, write_token_files
 from obsloom.session import work_path
 
@@ -73,3 +76,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_line_dedup", oracles.LINES)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir))
+
+
+@query("op11_collocations", oracles.COLLOCATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
+@query("op12_importance_resampling", oracles.RESAMPLING)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
