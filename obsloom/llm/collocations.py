@@ -1,26 +1,29 @@
-"""Phrase collocations by partitioned mining: frequent phrases of each shard, then one exact count of them all.
-
-1.  The documents fall into shards of a bounded number of characters. A phrase that occurs ``support`` times occurs in
-    some shard at least as often as the shard's share of all characters asks for, so each shard is mined
-    completely at that lowered support, size by size: a phrase can only be frequent if both phrases without one of
-    its end words are.
-2.  The locally frequent phrases of all shards are united in a bitmap of fixed size.
-3.  Every shard counts what the bitmap lets through, and these counts are added up by the phrase itself. What the
-    bitmap lets through by mistake is counted exactly like the rest, so the bitmap never decides a result.
+"""Phrase collocations by partitioned mining: locally frequent phrases of each shard, united, then counted exactly.
+
+1.  The documents fall into shards of a bounded number of characters, which are kept as word numbers and their words.
+2.  A phrase that occurs ``support`` times occurs in some shard at least as often as the shard's share of all
+    characters asks for. So each shard is mined at that lowered support, the locally frequent phrases are united in a
+    bitmap of fixed size, and every shard counts what the bitmap lets through; these counts are added up by the phrase.
+    What the bitmap lets through by mistake is counted exactly like the rest, so it never decides a result.
+3.  This is done for one size after the other. A phrase is looked at only where both phrases without one of its end
+    words are frequent in the whole table: with very many shards the lowered support comes near 1 and holds back
+    little, and then this keeps the candidates few.
 4.  Cuts are scored by joins of the counted phrases with their own parts.
 
-Within a shard words and phrases are numbers, which name them exactly.
+Inside a shard phrases meet by hash, and equal hashes are compared word by word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,11 +31,16 @@ from pyspark.sql.window import Window
 from obsloom.llm.byte_bpe import slices
 from obsloom.llm.shingles import mix
 from obsloom.llm.texts import pick, stored, whole_text
+from obsloom.session import work_path
 
 #: Characters of a shard, and shards of a small table at least.
 SHARD, LEAST_SHARDS = 1 << 25, 8
-#: Bits of the bitmap of locally frequent phrases (8 MB); each phrase sets two of them.
-FILTER_BITS = 26
+#: Bits of a bitmap of phrases (8 MB); each phrase sets two of them. It travels in so many slices.
+FILTER_BITS, SLICES = 26, 64
+#: Characters whose words are told apart at once, and phrases in one batch of rows.
+TEXTS, ROWS = 1 << 22, 1 << 16
+#: Between two pieces.
+BREAK = -1
 #: Parts of a language that are ordered on their own before their best phrases meet.
 SALTS = 64
 UNKNOWN = "und"
@@ -72,97 +80,65 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return named.indices.to_numpy(zero_copy_only=False).astype(np.int32), named.dictionary, piece
 
 
-#: Given the phrases of one size, their hashes and how often each occurs: which of them go on.
-Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
+@dataclass
+class Words:
+    """The words of one language in a shard: numbers in order with ``BREAK`` after every piece, and what they stand for."""
 
+    numbers: list[np.ndarray]
+    known: dict[bytes, int]
 
-def mine(found: tuple[np.ndarray, pa.Array, np.ndarray], lang: str, most_words: int, keep: Keep) -> Iterator[tuple[np.ndarray, np.ndarray, Callable[[], pa.Array]]]:
-    """For each size from one word on the kept phrases of what ``tokens`` found: hashes, counts, and a way to spell them.
-
-    A phrase is counted only where both phrases without one of its end words are kept.
-    """
-    ids, vocabulary, piece = found
-    if not len(ids):
-        return
-    n_words = len(vocabulary)
-    seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-    word_hash = np.fromiter((xxhash.xxh64_intdigest(w, seed=seed) for w in vocabulary.to_pylist()), dtype=np.uint64, count=n_words)
-    count = np.bincount(ids, minlength=n_words)
-    hashes, at, live = word_hash, ids, np.ones(len(ids), dtype=bool)
-    parents: list[tuple[np.ndarray, np.ndarray]] = []  # of each size beyond one word: phrase without its last word, last word
-    for size in range(1, most_words + 1):
-        if size > 1:
-            # at[i] and live[i] are of the phrase of size - 1 that starts at word i
-            here = np.flatnonzero(live[:-1] & live[1:])
-            here = here[here + size - 1 < len(ids)]
-            here = here[piece[here] == piece[here + size - 1]].astype(np.int32)
-            if not len(here):
-                return
-            key = at[here].astype(np.int64) * n_words + ids[here + size - 1]
-            distinct, number, count = np.unique(key, return_inverse=True, return_counts=True)
-            before, last = distinct // n_words, distinct % n_words
-            parents.append((before, last))
-            hashes = mix(hashes[before] * _BASE + word_hash[last])
-            at = np.zeros(len(ids), dtype=np.int32)
-            at[here] = number
-            live = np.zeros(len(ids), dtype=bool)
-            live[here] = True
-        good = keep(hashes, count)
-        live &= good[at]
-        chosen = np.flatnonzero(good)
-        if not len(chosen):
+    def add(self, texts: list[str]) -> None:
+        ids, vocabulary, piece = tokens(texts)
+        if not len(ids):
             return
-
-        def spelled(chosen: np.ndarray = chosen, depth: int = size - 1) -> pa.Array:
-            words = []
-            for before, last in reversed(parents[:depth]):
-                words.append(vocabulary.take(pa.array(last[chosen])))
-                chosen = before[chosen]
-            words.append(vocabulary.take(pa.array(chosen)))
-            return pc.binary_join_element_wise(*reversed(words), pa.scalar(b" ", pa.large_binary())) if len(words) > 1 else words[0]
-
-        yield hashes[chosen], count[chosen], spelled
-
-
-def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[str, list[str]]]:
-    """Texts by language, ``size`` to twice ``size`` characters at a time; only what a task has in all may be less."""
-    waiting: list[tuple[str, str]] = []
-    held = 0
-
-    def taken(rows: list[tuple[str, str]]) -> dict[str, list[str]]:
-        by_lang: dict[str, list[str]] = {}
-        for lang, text in rows:
-            by_lang.setdefault(lang, []).append(text)
-        return by_lang
+        own = np.array([self.known.setdefault(w, len(self.known)) for w in vocabulary.to_pylist()], dtype=np.int32)[ids]
+        ends = np.flatnonzero(np.concatenate([piece[1:] != piece[:-1], [True]])) + 1
+        self.numbers.append(np.insert(own, ends, BREAK))
+
+    def row(self, lang: str, chars: int) -> tuple[str, int, int, bytes, bytes]:
+        ids = np.concatenate(self.numbers) if self.numbers else np.zeros(0, dtype=np.int32)
+        planes = np.ascontiguousarray(ids).view(np.uint8).reshape(-1, 4).T.tobytes()
+        return lang, chars, int((ids != BREAK).sum()), zstandard.compress(planes, 1), zstandard.compress(b" ".join(self.known), 1)
+
+
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(lang, chars, n, ids, words): shards of ``size`` to twice ``size`` characters, or of what a task has in all."""
+    shard: dict[str, Words] = {}
+    waiting: dict[str, list[str]] = {}
+    chars = held = 0
+
+    def settle() -> None:
+        nonlocal held
+        for lang, texts in waiting.items():
+            shard.setdefault(lang, Words([], {})).add(texts)
+        waiting.clear()
+        held = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        settle()
+        for lang, words in shard.items():
+            values = words.row(lang, chars)
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=["lang", "chars", "n", "ids", "words"])
+        shard.clear()
 
     for batch in slices(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            waiting.append((lang, text))
-            held += len(text)
-        while held >= 2 * size:
-            first, n = 0, 0
-            while n < size:
-                n += len(waiting[first][1])
-                first += 1
-            yield taken(waiting[:first])
-            waiting, held = waiting[first:], held - n
-    if waiting:
-        yield taken(waiting)
-
-
-def _local(batches: Iterator[pa.RecordBatch], rules: Rules, size: int, all_chars: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Bits of the phrases that are frequent in their shard."""
-    for shard in shards(batches, size):
-        chars = sum(len(text) for texts in shard.values() for text in texts)
-        least = max(1, -(-rules.support * chars // all_chars))
-        found = [np.zeros(0, dtype=np.int64)]
-        for lang, texts in shard.items():
-            for hashes, _, _ in mine(tokens(texts), lang, rules.most_words, lambda _, count: count >= least):
-                found += bits_of(hashes, width)
-        words, inverse = np.unique((bits := np.unique(np.concatenate(found))) >> 6, return_inverse=True)
-        table = np.zeros(len(words), dtype=np.uint64)
-        np.bitwise_or.at(table, inverse, _U(1) << (bits & 63).astype(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(table.view(np.int64))], names=["word", "bits"])
+            waiting.setdefault(lang, []).append(text)
+            chars, held = chars + len(text), held + len(text)
+            if held >= min(TEXTS, size):
+                settle()
+            if chars >= size:
+                yield from rows()
+                chars = 0
+    if waiting or shard:
+        yield from rows()
+
+
+def unpacked(ids: bytes, words: bytes) -> tuple[np.ndarray, list[bytes]]:
+    planes = np.frombuffer(zstandard.decompress(ids), dtype=np.uint8)
+    vocabulary = zstandard.decompress(words)
+    return planes.reshape(4, -1).T.copy().view(np.int32)[:, 0], vocabulary.split(b" ") if vocabulary else []
 
 
 def bits_of(hashes: np.ndarray, width: int) -> list[np.ndarray]:
@@ -170,52 +146,139 @@ def bits_of(hashes: np.ndarray, width: int) -> list[np.ndarray]:
     return [(hashes & _U((1 << width) - 1)).astype(np.int64), (hashes >> _U(64 - width)).astype(np.int64)]
 
 
-def _counted(batches: Iterator[pa.RecordBatch], rules: Rules, size: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n_words, n) of each shard; a row without a phrase has the number of all words."""
-
-    width = 5 + len(table).bit_length()
-
-    def keep(hashes: np.ndarray, _: np.ndarray) -> np.ndarray:
-        hit = np.ones(len(hashes), dtype=bool)
-        for place in bits_of(hashes, width):
-            hit &= (table[place >> 6] >> (place & 63).astype(np.uint64)) & _U(1) == 1
-        return hit
-
-    def rows(lang: str, phrase: pa.Array, n_words: int, n: np.ndarray) -> pa.RecordBatch:
-        columns = [
-            pa.array([lang] * len(n), pa.string()), phrase.cast(pa.binary()).cast(pa.string()),
-            pa.array(np.full(len(n), n_words, dtype=np.int32)), pa.array(n.astype(np.int64)),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n_words", "n"])
-
-    for shard in shards(batches, size):
-        for lang, texts in shard.items():
-            named = tokens(texts)
-            yield rows(lang, pa.array([None], pa.large_binary()), 0, np.array([len(named[0])]))
-            for n_words, (_, count, spelled) in enumerate(mine(named, lang, rules.most_words, keep), 1):
-                spelling = spelled()
-                for start in range(0, len(count), 1 << 16):
-                    yield rows(lang, spelling.slice(start, 1 << 16), n_words, count[start : start + (1 << 16)])
-
-
-def frequent_phrases(docs: DataFrame, rules: Rules = Rules(), shard: int = SHARD, width: int = FILTER_BITS) -> DataFrame:
+def among(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Which phrases the bitmap, bytes of 8 bits, may hold."""
+    width = 2 + len(bitmap).bit_length()
+    hit = np.ones(len(hashes), dtype=bool)
+    for place in bits_of(hashes, width):
+        hit &= (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    return hit
+
+
+def phrases_of(ids: np.ndarray, word_hash: np.ndarray, size: int, parts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, count, first place) of the phrases of ``size`` words whose two parts of one word less ``parts`` may hold."""
+    hashes = word_hash[ids]  # BREAK stands for any word here; such places are left out
+    inside = ids != BREAK
+    for k in range(1, size - 1):
+        hashes = mix(hashes[:-1] * _BASE + word_hash[ids[k:]])
+        inside = inside[:-1] & (ids[k:] != BREAK)
+    if size > 1:
+        live = np.zeros(len(hashes), dtype=bool)
+        at = np.flatnonzero(inside)
+        live[at] = among(hashes[at], parts) if parts is not None else True
+        place = np.flatnonzero(live[:-1] & live[1:] & (ids[size - 1 :] != BREAK))
+        found = mix(hashes[place] * _BASE + word_hash[ids[place + size - 1]])
+    else:
+        place = np.flatnonzero(inside)
+        found = hashes[place]
+    order = np.argsort(found, kind="stable")
+    found, place = found[order], place[order]
+    words = [ids[place + k] for k in range(size)]
+    new = np.concatenate([[True], found[1:] != found[:-1]]) if len(found) else np.zeros(0, dtype=bool)
+    if any((~new[1:] & (w[1:] != w[:-1])).any() for w in words):  # different phrases of one hash lie mixed
+        order = np.lexsort([*words, found])
+        found, place, words = found[order], place[order], [w[order] for w in words]
+        new[1:] = np.any([w[1:] != w[:-1] for w in words], axis=0)
+    starts = np.flatnonzero(new)
+    return found[starts], np.diff(np.concatenate([starts, [len(found)]])), place[starts]
+
+
+def _mined(batches: Iterator[pa.RecordBatch], size: int, parts: np.ndarray | None) -> Iterator[tuple]:
+    """Of each shard: language, characters, word numbers, words, and its phrases of ``size`` words as ``phrases_of`` gives them."""
+    for batch in batches:
+        for lang, chars, packed_ids, packed_words in zip(*[batch.column(c) for c in ("lang", "chars", "ids", "words")]):
+            lang = lang.as_py()
+            ids, words = unpacked(packed_ids.as_py(), packed_words.as_py())
+            if not len(ids):
+                continue
+            seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+            word_hash = np.fromiter((xxhash.xxh64_intdigest(w, seed=seed) for w in words), dtype=np.uint64, count=len(words))
+            yield lang, chars.as_py(), ids, words, *phrases_of(ids, word_hash, size, parts)
+
+
+def _slices(hashes: Iterable[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
+    """The bitmap of the phrases in compressed slices (slice, bits)."""
+    bitmap = np.zeros(1 << (width - 3), dtype=np.uint8)
+    for some in hashes:
+        for place in bits_of(some, width):
+            np.bitwise_or.at(bitmap, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
+    for i, part in enumerate(bitmap.reshape(min(SLICES, len(bitmap)), -1)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([zstandard.compress(part.tobytes(), 1)])], names=["slice", "bits"])
+
+
+def united(parts: DataFrame, width: int) -> np.ndarray:
+    """The union of bitmaps that came in slices; a slice of all of them meets in one task, and the bitmap on the driver."""
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, bits in zip(batch.column("slice").to_pylist(), batch.column("bits")):
+                part = np.frombuffer(zstandard.decompress(bits.as_py()), dtype=np.uint8)
+                whole[i] = whole[i] | part if i in whole else part
+        for i, part in whole.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([zstandard.compress(part.tobytes(), 1)])], names=["slice", "bits"])
+
+    bitmap = np.zeros(1 << (width - 3), dtype=np.uint8)
+    rows = bitmap.reshape(min(SLICES, len(bitmap)), -1)
+    for row in parts.repartition(SLICES, "slice").mapInArrow(unite, "slice long, bits binary").collect():
+        rows[row["slice"]] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), dtype=np.uint8)
+    return bitmap
+
+
+def frequent_phrases(docs: DataFrame, rules: Rules = Rules(), shard: int = SHARD, width: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n_words, n) of all phrases, single words too, with at least ``support`` occurrences in their
-    language; rows without a phrase and with ``n_words`` 0 hold the number of all words of each language.
+    language, and (lang, n) with the number of all words of each language.
     """
     rows = pick(docs, "text", "lang").select(whole_text().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     few = rows.coalesce(max(LEAST_SHARDS, -(-chars // shard)))
-    # On the driver: a number for 64 bits of the bitmap, whatever the size of the data.
-    mined = few.mapInArrow(lambda batches: _local(batches, rules, shard, max(1, chars), width), "word long, bits long")
-    found = mined.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(1 << (width - 6), dtype=np.int64)
-    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
-    counted = few.mapInArrow(
-        lambda batches: _counted(batches, rules, shard, shared.value), "lang string, phrase string, n_words int, n long"
-    )
-    whole = counted.groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n"))
-    return whole.filter((F.col("n") >= rules.support) | (F.col("n_words") == 0))
+    path = work_path(docs.sparkSession, "shards")
+    # a group of rows for each shard or two, so that no reader holds many of them
+    few.mapInArrow(lambda batches: _shards(batches, shard), "lang string, chars long, n long, ids binary, words binary").write.option(
+        "parquet.block.size", 1 << 23
+    ).option("compression", "none").parquet(path)
+    shards = docs.sparkSession.read.parquet(path)
+    context = docs.sparkSession.sparkContext
+    tables, parts = [], None
+    for size in range(1, rules.most_words + 1):
+        known = context.broadcast(parts)
+
+        def local(batches: Iterator[pa.RecordBatch], size: int = size, known=known) -> Iterator[pa.RecordBatch]:
+            def frequent() -> Iterator[np.ndarray]:
+                for _, of_shard, _, _, hashes, count, _ in _mined(batches, size, known.value):
+                    yield hashes[count >= -(-rules.support * of_shard // max(1, chars))]
+
+            return _slices(frequent(), width)
+
+        candidates = context.broadcast(united(shards.mapInArrow(local, "slice long, bits binary"), width))
+
+        def counted(batches: Iterator[pa.RecordBatch], size: int = size, known=known, candidates=candidates) -> Iterator[pa.RecordBatch]:
+            for lang, _, ids, words, hashes, count, place in _mined(batches, size, known.value):
+                chosen = np.flatnonzero(among(hashes, candidates.value))
+                vocabulary = pa.array(words, pa.binary())
+                for start in range(0, len(chosen), ROWS):
+                    some = chosen[start : start + ROWS]
+                    spelled = [vocabulary.take(pa.array(ids[place[some] + k])) for k in range(size)]
+                    phrase = pc.binary_join_element_wise(*spelled, pa.scalar(b" ", pa.binary())) if size > 1 else spelled[0]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang] * len(some), pa.string()), phrase.cast(pa.string()),
+                            pa.array(hashes[some].view(np.int64)), pa.array(count[some].astype(np.int64)),
+                        ],
+                        names=["lang", "phrase", "hash", "n"],
+                    )
+
+        whole = shards.mapInArrow(counted, "lang string, phrase string, hash long, n long").groupBy("lang", "phrase")
+        found = whole.agg(F.first("hash").alias("hash"), F.sum("n").alias("n")).filter(F.col("n") >= rules.support)
+        tables.append(stored(found.withColumn("n_words", F.lit(size)), "phrases"))
+        if tables[-1].isEmpty():
+            break
+        if size < rules.most_words:
+            hashed = tables[-1].select("hash")
+            parts = united(hashed.mapInArrow(lambda batches: _slices((b.column("hash").to_numpy().view(np.uint64) for b in batches), width), "slice long, bits binary"), width)
+    phrases = reduce(DataFrame.unionByName, tables).select("lang", "phrase", "n_words", "n")
+    return phrases, shards.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _parts(words: Column, start: int, length: Column | int) -> Column:
@@ -233,9 +296,9 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), shard: int = SHARD, wi
     Null texts count as empty, a null language as ``und``. Repeated rows count as often as they are there. A table
     without a frequent phrase, an empty one among them, gives no rows; other columns are not looked at.
     """
-    counted = stored(frequent_phrases(docs, rules, shard, width), "phrases")
-    totals = counted.filter("n_words = 0").select("lang", F.col("n").alias("all_n"))
-    parts = counted.filter("n_words > 0").select("lang", F.col("phrase").alias("part"), F.col("n").alias("part_n"))
+    counted, totals = frequent_phrases(docs, rules, shard, width)
+    totals = totals.withColumnRenamed("n", "all_n")
+    parts = counted.select("lang", "phrase", "n")
     phrases = counted.filter("n_words > 1").withColumn("words", F.split("phrase", " "))
 
     cuts = phrases.select("lang", "phrase", F.col("n").alias("a"), "words", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k"))

@@ -88,25 +88,46 @@ def test_the_words_of_a_text():
     assert len(np.unique(piece)) == 5 and piece[0] == piece[1]
 
 
-def test_large_products_stay_exact(spark):
+def test_large_products_stay_exact(spark, monkeypatch):
     """Scores of counts whose products pass 64 bits, by the same joins on a made table of counts."""
     a, n, one, other = 9 * 10**15, 7 * 10**16, 10**16, 9 * 10**15
-    counts = [("en", None, 0, n), ("en", "x", 1, one), ("en", "y", 1, other), ("en", "x y", 2, a)]
+    counts = [("en", "x", 1, one), ("en", "y", 1, other), ("en", "x y", 2, a)]
     table = spark.createDataFrame(counts, "lang string, phrase string, n_words int, n long")
-    original, C.frequent_phrases = C.frequent_phrases, lambda *_: table
-    try:
-        row = C.collocations(table).first()
-    finally:
-        C.frequent_phrases = original
+    totals = spark.createDataFrame([("en", n)], "lang string, n long")
+    monkeypatch.setattr(C, "frequent_phrases", lambda *_: (table, totals))
+    row = C.collocations(table).first()
     assert row["score"] == 1000 * a * n // (one * other)
 
 
-def test_shards_hold_what_they_are_given():
+@pytest.mark.parametrize("size", [400, 10**6])
+def test_shards_hold_what_they_are_given(size):
     import pyarrow as pa
 
-    texts = ["abc" * i for i in range(60)]
-    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en", "fr"] * 30)], names=["text", "lang"])
-    parts = list(C.shards(iter([batch.slice(0, 30), batch.slice(30)]), 500))
-    assert sorted(t for p in parts for group in p.values() for t in group) == sorted(texts)
-    sizes = [sum(len(t) for group in p.values() for t in group) for p in parts]
-    assert len(parts) > 1 and min(sizes) >= 500
+    texts = [f"abc d{i} " * (i % 9) + "end. Next" for i in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en", "fr"] * 100)], names=["text", "lang"])
+    rows = [r for b in C._shards(iter([batch.slice(0, 60), batch.slice(60)]), size) for r in b.to_pylist()]
+    got = Counter()
+    for row in rows:
+        ids, words = C.unpacked(row["ids"], row["words"])
+        assert row["n"] == (ids != C.BREAK).sum() and row["chars"] <= size + max(map(len, texts)) or len(rows) == 2
+        piece = []
+        for i in ids.tolist():
+            if i == C.BREAK:
+                got[row["lang"], tuple(piece)] += 1
+                piece = []
+            else:
+                piece.append(words[i].decode())
+        assert not piece
+    want = Counter()
+    for i, text in enumerate(texts):
+        want.update((["en", "fr"][i % 2], tuple(p.split())) for p in text.lower().split(".") if p.split())
+    assert got == want and (len(rows) > 2) == (size == 400)
+
+
+def test_phrases_of_one_hash_are_told_apart():
+    ids = np.array([0, 1, C.BREAK, 2, 3, C.BREAK, 0, 1, C.BREAK, 2, 3, 0, C.BREAK], dtype=np.int32)
+    same = np.full(4, 7, dtype=np.uint64)
+    _, count, place = C.phrases_of(ids, same, 2, None)
+    assert sorted((tuple(ids[p : p + 2]), c) for p, c in zip(place, count)) == [((0, 1), 2), ((2, 3), 2), ((3, 0), 1)]
+    _, count, place = C.phrases_of(ids, same, 1, None)
+    assert sorted((int(ids[p]), int(c)) for p, c in zip(place, count)) == [(0, 3), (1, 2), (2, 2), (3, 2)]
