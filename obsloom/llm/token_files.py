@@ -48,6 +48,20 @@ REMEMBERED = 900_000
 SHARD_SCHEMA = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens long, blob binary"
 
 
+class Known(dict):
+    """Ids of words; a word that is not there yet has none, is counted, and waits in ``new``."""
+
+    def __init__(self):
+        super().__init__({"": b""})
+        self.new: set[str] = set()
+        self.misses = 0
+
+    def __missing__(self, word: str) -> bytes:
+        self.new.add(word)
+        self.misses += 1
+        return b""
+
+
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space and lower-cases, so that words are encoded one by one.
 
@@ -66,7 +80,7 @@ class WordEncoder:
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = Known()
 
     def _together(self, words: list[str], letters: bool) -> None:
         if not words:
@@ -124,12 +138,20 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text. Only plain spaces and line ends separate words here."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = {word for words in split for word in words} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = {word for words in split for word in words if word}
+        if len(self.known) > REMEMBERED:
+            self.known = Known()
+        known, found, again = self.known, [], []
+        # most texts have no new word: one look at each word is enough for them
+        for i, words in enumerate(split):
+            before = known.misses
+            found.append(b"".join(map(known.__getitem__, words)))
+            if known.misses > before:
+                again.append(i)
+        new, known.new = known.new, set()
         self.learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        for i in again:
+            found[i] = b"".join(map(known.__getitem__, split[i]))
+        return found
 
 
 def word_encoder(json: str, width: int) -> WordEncoder:
@@ -173,7 +195,10 @@ class Shard:
 
     def find(self, doc_id: int) -> list[int]:
         """Places of a document; the index is in order of identifiers, those without one first."""
-        return np.flatnonzero((self.index["doc_id"] == doc_id) & (self.index["known"] == 1)).tolist()
+        nameless = int(np.searchsorted(self.index["known"], 1))
+        ids = self.index["doc_id"][nameless:]
+        first, last = np.searchsorted(ids, doc_id, side="left"), np.searchsorted(ids, doc_id, side="right")
+        return list(range(nameless + int(first), nameless + int(last)))
 
 
 def as_dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
