@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,9 +28,26 @@ LOOK_ALIKES = {
     "α": "a", "ο": "o", "ν": "v", "ρ": "p", "ι": "i", "κ": "k", "Α": "A", "Β": "B", "Ε": "E", "Ο": "O", "Ρ": "P", "Τ": "T",
     "‐": "-", "‑": "-", "．": ".", "。": ".", "․": ".", "＠": "@", "﹫": "@", "＋": "+", "﹢": "+",
 }
-LOOK_ALIKES |= {chr(0xFF01 + c - 0x21): chr(c) for c in range(0x21, 0x7F) if chr(c).isalnum()}
-#: Digits of other scripts, ten in a row from each first one.
-LOOK_ALIKES |= {chr(first + d): str(d) for first in (0x0660, 0x06F0, 0x0966) for d in range(10)}
+
+
+def alike() -> dict[str, str]:
+    """Characters and the ASCII ones that they stand for: the fixed ones, decimal digits of every script, and the font,
+    full-width and small forms of letters, digits and signs, as the Unicode data have them."""
+    found = {}
+    for code in range(0x80, 0x110000):
+        char = chr(code)
+        digit = unicodedata.decimal(char, None)
+        if digit is not None:
+            found[char] = str(digit)
+        elif unicodedata.decomposition(char).startswith(("<font>", "<wide>", "<small>")):
+            plain = unicodedata.normalize("NFKC", char)
+            if len(plain) == 1 and (plain.isascii() and (plain.isalnum() or plain in "@+.-_%")):
+                found[char] = plain
+    return found | LOOK_ALIKES
+
+
+#: Words for the signs, in brackets or between words.
+AT_WORDS, DOT_WORDS = "at|arroba", "dot|punkt|point|punto"
 
 # Words for digits.
 DIGIT_WORDS = {
@@ -39,24 +57,29 @@ DIGIT_WORDS = {
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 
-_TABLE = str.maketrans(LOOK_ALIKES)
-_ALIKE = re.compile("[" + re.escape("".join(LOOK_ALIKES)) + "]")
+_ALL_ALIKE = alike()
+_TABLE = str.maketrans(_ALL_ALIKE)
+_ALIKE = re.compile("[" + re.escape("".join(_ALL_ALIKE)) + "]")
 _UNSEEN = re.compile("[­​-‍⁠﻿]")
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
-#: Four digit words or more in a row; fewer are ordinary prose.
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[ ])?{_WORD}(?:[ ,-]{{1,2}}{_WORD}){{3,}}(?!\w)")
-_ONE_WORD = re.compile(rf"(?i){_WORD}|plus")
+_ITEM = f"(?:{_WORD}|[0-9]{{1,4}})"
+#: Four digit words or numbers or more in a row, two words among them; fewer are ordinary prose.
+_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[ ]|\+[ ]?)?{_ITEM}(?:[ ,-]{{1,2}}{_ITEM}){{3,}}(?!\w)")
+_ONE_ITEM = re.compile(rf"(?i){_WORD}|plus|\+|[0-9]+")
+_FEWEST_WORDS = 2
+_PART = f"{_ITEM}(?:[ -]{_ITEM}){{0,2}}"
+_SPELLED_IP = re.compile(rf"(?i)(?<!\w){_PART}(?:[ ](?:{DOT_WORDS})[ ]{_PART}){{3}}(?!\w)")
+_ONE_DOT = re.compile(rf"(?i)[ ](?:{DOT_WORDS})[ ]")
 _OPEN, _CLOSE = r"[ ]?[\[({<][ ]?", r"[ ]?[\])}>][ ]?"
-_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_OPEN}(?:at|@){_CLOSE}(?=[A-Za-z0-9])")
-_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_OPEN}(?:dot|\.){_CLOSE}(?=[A-Za-z0-9])")
+_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_OPEN}(?:{AT_WORDS}|@){_CLOSE}(?=[A-Za-z0-9])")
+_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_OPEN}(?:{DOT_WORDS}|\.){_CLOSE}(?=[A-Za-z0-9])")
 #: Without brackets only where at and dot stand together: "name at host dot org".
 _SPACED = re.compile(
-    r"(?i)(?<![\w.])[A-Za-z0-9][A-Za-z0-9_+-]*(?:[ ]dot[ ][A-Za-z0-9_+-]+|\.[A-Za-z0-9_+-]+)*(?P<at>[ ]at[ ])"
-    r"[A-Za-z0-9-]+(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9-]+)*[ ]dot[ ][A-Za-z]{2,}(?!\w)"
+    rf"(?i)(?<![\w.])[A-Za-z0-9][A-Za-z0-9_+-]*(?:[ ](?:{DOT_WORDS})[ ][A-Za-z0-9_+-]+|\.[A-Za-z0-9_+-]+)*(?P<at>[ ](?:{AT_WORDS})[ ])"
+    rf"[A-Za-z0-9-]+(?:(?:[ ](?:{DOT_WORDS})[ ]|\.)[A-Za-z0-9-]+)*[ ](?:{DOT_WORDS})[ ][A-Za-z]{{2,}}(?!\w)"
 )
-_SPACED_DOT = re.compile(r"(?i)[ ]dot[ ]")
-_SPACED_IP = re.compile(r"(?i)(?<!\w)[0-9]{1,3}(?:[ ]dot[ ][0-9]{1,3}){3}(?!\w)")
-_HINT = re.compile(r"(?i)[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]|[ ]dot[ ]")
+_SPACED_IP = re.compile(rf"(?i)(?<!\w)[0-9]{{1,3}}(?:[ ](?:{DOT_WORDS})[ ][0-9]{{1,3}}){{3}}(?!\w)")
+_HINT = re.compile(rf"(?i)[\[({{<][ ]?(?:{AT_WORDS}|@|{DOT_WORDS}|\.)[ ]?[\])}}>]|[ ](?:{DOT_WORDS})[ ]")
 
 _EMAIL_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -165,36 +188,47 @@ def deobfuscate(text: str) -> Rewritten | None:
     unseen = None if text.isascii() else _UNSEEN.search(plain)
     hint = _HINT.search(plain)
     said = DIGIT_WORDS.keys() & set(plain.lower().replace("-", " ").replace(",", " ").split(" "))
-    spelled = said and _SPELLED.search(plain)
+    spelled = said and (_SPELLED.search(plain) or _SPELLED_IP.search(plain))
     if plain is text and not (unseen or hint or spelled):
         return None
     out = Rewritten(plain)
     if unseen:
         out.edit([(m.start(), m.end(), "") for m in _UNSEEN.finditer(plain)])
+    if said:
+        out.edit([(m.start(), m.end(), ".".join(map(spelled_digits, _ONE_DOT.split(m[0])))) for m in _SPELLED_IP.finditer(out.text)])
     spans = list(_SPACED.finditer(out.text)) + list(_SPACED_IP.finditer(out.text))
-    dots = {(m.start() + d.start(), m.start() + d.end(), ".") for m in spans for d in _SPACED_DOT.finditer(m[0])}
+    dots = {(m.start() + d.start(), m.start() + d.end(), ".") for m in spans for d in _ONE_DOT.finditer(m[0])}
     ats = {(*m.span("at"), "@") for m in spans if m.re is _SPACED}
     out.edit(sorted(dots | ats))
     out.edit([(m.start(), m.end(), "@") for m in _AT.finditer(out.text)])
     out.edit([(m.start(), m.end(), ".") for m in _DOT.finditer(out.text)])
-    digits = []
-    for m in _SPELLED.finditer(out.text):
-        words = [w[0].lower() for w in _ONE_WORD.finditer(m[0])]
-        digits.append((m.start(), m.end(), "".join("+" if w == "plus" else str(DIGIT_WORDS[w]) for w in words)))
-    out.edit(digits)
+    if said:
+        out.edit([(m.start(), m.end(), spelled_digits(m[0])) for m in _SPELLED.finditer(out.text) if n_words(m[0]) >= _FEWEST_WORDS])
     return out
 
 
+def spelled_digits(text: str) -> str:
+    """The digits of words and numbers, after a plus sign if there is one."""
+    items = (w[0].lower() for w in _ONE_ITEM.finditer(text))
+    return "".join("+" if w in ("plus", "+") else w if w.isdigit() else str(DIGIT_WORDS[w]) for w in items)
+
+
+def n_words(text: str) -> int:
+    return sum(w[0].lower() in DIGIT_WORDS for w in _ONE_ITEM.finditer(text))
+
+
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that only the text without disguises shows; those that touch a base span of their kind are left out."""
     out = deobfuscate(text)
     if out is None:
         return []
-    taken = {kind: [(a, b) for k, a, b in base if k == kind] for kind in KINDS}
+    # base spans of a kind are in order and apart, so the last one that begins before an end is the only one to look at
+    begin, end_of = ({kind: [s[i] for s in base if s[0] == kind] for kind in KINDS} for i in (1, 2))
     found = []
     for kind, a, b in identifiers(out.text):
         start, end = out.source(a), out.source(b, end=True)
-        if not any(start < y and x < end for x, y in taken[kind]):
+        before = bisect_left(begin[kind], end) - 1
+        if before < 0 or end_of[kind][before] <= start:
             found.append((kind, start, end))
     return found
 
