@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 
 from obsloom.llm import pii, secrets
@@ -117,3 +118,73 @@ def test_every_edit_keeps_places():
 def test_bracketed_points_and_french_ones():
     assert pii.deobfuscate("192[.]168[.]1[.]1").text == "192.168.1.1"
     assert "061234" in pii.deobfuscate("zéro six un deux trois quatre").text.replace(" ", "")
+
+
+def test_other_scripts_spelled_ips_and_mixed_runs():
+    card = "4111111111111111"
+    bold = "".join(chr(0x1D7CE + int(d)) for d in card)
+    bengali = "".join(chr(0x09E6 + int(d)) for d in card)
+    for disguise in (bold, bengali):
+        assert shown(f"pay {disguise} now") == [("card", disguise)]
+    wide = "".join(chr(0x1D5BA + ord(c) - 97) for c in "john")
+    assert shown(f"to {wide}@example.com.") == [("email", f"{wide}@example.com")]
+    said = "one nine two dot one six eight dot one dot one zero"
+    assert shown(f"host {said} is up") == [("ip", said)]
+    mixed = "four 1 one 1 1111 one one 1 one 111 one"
+    assert shown(f"card {mixed}.")[:1] == [("card", mixed)] or pii.luhn("".join("4" if w == "four" else "1" if w == "one" else w for w in mixed.split()))
+    for text in ("john{at}example(punkt)com", "john (arroba) example <punto> com"):
+        assert shown(f"x {text} y") == [("email", text)]
+    for text in ("in 2019 one of 12 or 1 2 3 4 5", "punto de vista at noon", "le point un"):
+        assert shown(text) == []
+
+
+def test_generated_disguises_map_back():
+    """Identifiers written in disguise at random: the added span is exactly what was written."""
+    rng = random.Random(21)
+    words = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+    scripts = [0x0660, 0x06F0, 0x0966, 0x09E6, 0x0E50, 0xFF10, 0x1D7CE, 0x1D7D8]
+    at, dot = [" [at] ", "(at)", "{at}", " at "], [" [dot] ", "(dot)", "{punkt}", " dot "]
+
+    def luhn_card():
+        digits = [rng.randint(1, 9) for _ in range(15)]
+        return next("".join(map(str, digits)) + str(d) for d in range(10) if pii.luhn("".join(map(str, digits)) + str(d)))
+
+    for _ in range(300):
+        kind = rng.choice(["email", "card", "ip"])
+        if kind == "email":
+            i = rng.randrange(4)
+            text = f"user{rng.randint(1, 99)}{at[i]}host{rng.randint(1, 9)}{dot[i]}org"
+        elif kind == "card":
+            script = rng.choice(scripts)
+            text = rng.choice([
+                " ".join(words[int(d)] for d in luhn_card()), "-".join(words[int(d)] for d in luhn_card()),
+                "".join(chr(script + int(d)) for d in luhn_card()),
+            ])
+        else:
+            parts = [str(rng.randint(0, 255)) for _ in range(4)]
+            text = rng.choice([" dot ".join(parts), "[.]".join(parts), " dot ".join(" ".join(words[int(d)] for d in p) for p in parts)])
+        assert (kind, text) in shown(f"é see: {text}; thanks"), text
+
+
+def test_many_identifiers_take_time_in_proportion():
+    def seconds(n):
+        text = " ".join(f"user{i}@host{i}.org" for i in range(n)) + " x [at] y [dot] com"
+        start = time.perf_counter()
+        assert len(pii.disguised(text, pii.identifiers(text))) == 1
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 30 * seconds(10_000)
+
+
+def test_a_second_scan_moves_no_text(spark):
+    rows = [(i, f"text {i} " * 200 + ("password=abcdefgh" if i % 3 == 0 else "")) for i in range(60)] + [(100 + i, "") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ledger = work_path(spark, "ledger")
+    secrets.scan_unseen(docs, ledger)
+    files = spark.read.parquet(ledger).inputFiles()
+    scans = spark.read.parquet(ledger).count()
+    secrets.scan_unseen(docs, ledger)
+    assert spark.read.parquet(ledger).count() == scans == 61 and set(spark.read.parquet(ledger).inputFiles()) == set(files)
+    found = {r["doc_id"]: len(r["spans"]) for r in secrets.findings(docs, ledger).collect()}
+    assert len(found) == 100 and all(found[i] == (i < 60 and i % 3 == 0) for i in found)
