@@ -23,6 +23,8 @@ SMOOTHING = 0.5
 #: Rounds of expectation maximisation, and the price of one more language
 #: in units of the logarithm of the document's trigrams (trigrams overlap, so more than the usual half).
 ROUNDS, PRICE = 12, 2.0
+#: Proportion among all languages from which on a language may be in a set; the largest always may.
+LEAST_SHARE = 0.01
 UNKNOWN = "und"
 
 _LETTERS: np.ndarray | None = None
@@ -122,24 +124,31 @@ def infer(texts: list[str], model: np.ndarray) -> np.ndarray:
     group = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(owner)]])))
     count = count.astype(np.float64)
     logs = model[:, bucket].T.astype(np.float64)
-    # The languages that explain a text best alone come first; all of them may be mixed.
-    alone = _per_text(logs * count[:, None], starts)
     most = len(model)
+    # The languages that explain a text best alone come first, which settles ties; all of them are mixed.
+    alone = _per_text(logs * count[:, None], starts)
     leading = np.argsort(-alone, axis=1, kind="stable")
     logs = np.take_along_axis(logs, leading[group], axis=1)
     likelihood = np.exp(logs - logs.max(axis=1, keepdims=True)) + 1e-300
     mix, _ = proportions(likelihood, count, group, starts, np.full((len(starts), most), 1.0 / most))
+    # From here on the languages of a text go by their proportion, and those with a share too small are out.
     order = np.argsort(-mix, axis=1, kind="stable")
+    sizes = np.maximum((mix >= LEAST_SHARE).sum(axis=1), 1)
     price = PRICE * np.log(_per_text(count, starts) + 1)
-    best, best_fit = None, None
-    for size in range(1, most + 1):
-        chosen = np.zeros_like(mix)
-        np.put_along_axis(chosen, order[:, :size], 1.0 / size, axis=1)
-        own, fit = proportions(likelihood, count, group, starts, chosen)
-        fit = fit - price * (size - 1)
-        better = np.ones(len(fit), dtype=bool) if best is None else fit > best_fit
-        best = own if best is None else np.where(better[:, None], own, best)
-        best_fit = fit if best_fit is None else np.where(better, fit, best_fit)
+    best, best_fit = np.zeros_like(mix), np.full(len(starts), -np.inf)
+    for size in range(1, int(sizes.max()) + 1):
+        texts = np.flatnonzero(sizes >= size)  # the few texts that have so many languages
+        rows = np.flatnonzero(sizes[group] >= size)
+        own_group = np.searchsorted(texts, group[rows])
+        own_starts = np.flatnonzero(np.concatenate([[True], own_group[1:] != own_group[:-1]]))
+        chosen = order[texts, :size]
+        part = np.take_along_axis(likelihood[rows], chosen[own_group], axis=1)
+        own, fit = proportions(part, count[rows], own_group, own_starts, np.full((len(texts), size), 1.0 / size))
+        fit = fit - price[texts] * (size - 1)
+        better = np.flatnonzero(fit > best_fit[texts])
+        best_fit[texts[better]] = fit[better]
+        best[texts[better]] = 0.0
+        best[texts[better][:, None], chosen[better]] = own[better]
     np.put_along_axis(rows := np.zeros((len(starts), len(model))), leading, best, axis=1)
     out[owner[starts]] = rows
     return out
