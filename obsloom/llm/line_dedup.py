@@ -7,17 +7,19 @@ by byte; of a chunk that stands in several places only the first stays.
 
 Passages that chunks miss are found by windows of whole lines: from every line on, and up to every line, the fewest
 lines that reach ``LONG_PASSAGE`` words. In a run of lines of that length that stands earlier too, every line lies in
-a window of the run, so the lines of all repeated windows together are the repeated runs. Windows are equal by the
-first 128 bits of a SHA-256. ``line_report`` goes by chunks alone, as its SQL does; ``dedup_lines`` by both.
+a window of the run, so the lines of all repeated windows together are the repeated runs. Windows are equal by 128
+bits of a cryptographic hash over the lines' own such hashes, which are taken once and kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsloom.llm.quality import words_of
-from obsloom.llm.texts import Sealed, pick, same_row, stored, text_mark, whole_text
+from obsloom.llm.quality import MOST_REMOVED, words_of
+from obsloom.llm.texts import Sealed, pick, same_row, stored, text_mark, whole_text, without_lines
 
 #: Characters from which on a line is a chunk of its own.
 LONG_LINE = 200
@@ -50,10 +52,11 @@ def chunks(docs: DataFrame) -> DataFrame:
         "rolling", F.transform("hashes", lambda h, i: F.md5(F.concat(F.coalesce(F.get("hashes", i - 1), F.lit("")), h)))
     ).drop("hashes")
     ended = rolled.withColumn("ends", chunk_ends(F.col("lines"), F.col("rolling"))).drop("rolling")
-    spans = F.transform("ends", lambda e, k: F.struct((F.coalesce(F.get("ends", k - 1), F.lit(-1)) + 1).alias("first"), e.alias("last")))
-    each = ended.withColumn("span", F.explode(spans)).select(*DOC, "lines", "span.first", "span.last")
-    body = F.array_join(F.slice("lines", F.col("first") + 1, F.col("last") - F.col("first") + 1), "\n")
-    return each.select(*DOC, "first", "last", body.alias("chunk"))
+    first = lambda k: F.coalesce(F.get("ends", k - 1), F.lit(-1)) + 1
+    body = lambda e, k: F.array_join(F.slice("lines", first(k) + 1, e - first(k) + 1), "\n")
+    # a chunk's text is taken before its row is made, so that no row carries all lines
+    spans = F.transform("ends", lambda e, k: F.struct(first(k).alias("first"), e.alias("last"), body(e, k).alias("chunk")))
+    return ended.select(*DOC, F.inline(spans))
 
 
 def chunk_hash(chunk: Column) -> Column:
@@ -88,21 +91,29 @@ def line_weight(line: Column) -> Column:
     return F.when(F.octet_length(line) == F.length(line), words(line)).otherwise(counted)
 
 
-def windows(docs: DataFrame) -> DataFrame:
-    """One row per window: doc_id, mark, its first and last line, and its hash.
+#: Lines among which a window's end is looked for first; most windows are shorter.
+NEAR_LINES = 8
+
+
+def weighed_lines(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, mark, ``spoken`` (place and weight of the lines with a word), and the lines' hashes."""
+    rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
+    lined = rows.select("doc_id", text_mark(F.col("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
+    weighed = F.transform("lines", lambda line, i: F.struct(i.alias("place"), line_weight(line).alias("weight")))
+    return lined.select(
+        *DOC, F.filter(weighed, lambda x: x["weight"] > 0).alias("spoken"),
+        F.transform("lines", lambda line: F.unhex(F.md5(line.cast("binary")))).alias("hashes"),
+    )
+
+
+def windows(weighed: DataFrame) -> DataFrame:
+    """One row per window of ``weighed_lines``: doc_id, mark, its first and last line, and its hash.
 
     Lines without a word begin and end no window, so a window has no more than ``LONG_PASSAGE`` times
     ``UNSPACED_WORD`` lines with words.
     """
     limit = LONG_PASSAGE * UNSPACED_WORD
-    rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
-    lined = rows.select("doc_id", text_mark(F.col("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
-    weighed = lined.withColumn(
-        "spoken",
-        F.filter(
-            F.transform("lines", lambda line, i: F.struct(i.alias("place"), line_weight(line).alias("weight"))), lambda x: x["weight"] > 0
-        ),
-    ).withColumn("hashes", F.transform("lines", lambda line: F.sha2(line.cast("binary"), 256))).drop("lines")
+    spoken = F.col("spoken")
 
     def reach(part: Column) -> Column:
         """How many of the leading weights reach the limit; null if all of them do not."""
@@ -112,26 +123,32 @@ def windows(docs: DataFrame) -> DataFrame:
         )
         return F.aggregate(part, start, step, lambda a: F.when(a["sum"] >= limit, a["n"]))
 
-    spoken = F.col("spoken")
-    packed = lambda first, last: F.shiftleft(first.cast("long"), 32).bitwiseOR(last.cast("long"))
+    def nearest(part: Callable[[int], Column]) -> Column:
+        return F.coalesce(reach(part(NEAR_LINES)), reach(part(limit)))
+
+    # start and length, as start and end would nearly cancel out in the hash by which the union tells numbers apart
+    packed = lambda first, last: F.shiftleft(first.cast("long"), 32).bitwiseOR((last - first).cast("long"))
     after = lambda x, k: packed(
-        x["place"], F.get(spoken, k + reach(F.slice(spoken, k + 1, F.lit(limit))) - 1)["place"]
+        x["place"], F.get(spoken, k + nearest(lambda n: F.slice(spoken, k + 1, F.lit(n))) - 1)["place"]
     )
-    start = lambda k: F.greatest(k + 1 - limit, F.lit(0))
+    start = lambda k, n: F.greatest(k + 1 - n, F.lit(0))
+    behind = lambda k, n: F.reverse(F.slice(spoken, start(k, n) + 1, k - start(k, n) + 1))
     before = lambda x, k: packed(
-        F.get(spoken, k - reach(F.reverse(F.slice(spoken, start(k) + 1, k - start(k) + 1))) + 1)["place"], x["place"]
+        F.get(spoken, k - nearest(lambda n: behind(k, n)) + 1)["place"], x["place"]
     )
-    both = F.array_union(F.transform(spoken, after), F.transform(spoken, before))
-    each = weighed.withColumn("window", F.explode(F.array_compact(both))).select(
-        *DOC, "hashes", F.shiftright("window", 32).cast("int").alias("first"), F.col("window").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("last")
+    both = F.array_compact(F.array_union(F.transform(spoken, after), F.transform(spoken, before)))
+    first = lambda w: F.shiftright(w, 32).cast("int")
+    last = lambda w: (F.shiftright(w, 32) + w.bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
+    body = lambda w: F.array_join(
+        F.transform(F.slice("hashes", first(w) + 1, last(w) - first(w) + 1), lambda h: F.hex(h)), ""
     )
-    body = F.array_join(F.slice("hashes", F.col("first") + 1, F.col("last") - F.col("first") + 1), "")
-    return each.select(*DOC, "first", "last", F.substring(F.unhex(F.sha2(body.cast("binary"), 256)), 1, 16).alias("hash"))
+    each = F.transform(both, lambda w: F.struct(first(w).alias("first"), last(w).alias("last"), F.unhex(F.md5(body(w).cast("binary"))).alias("hash")))
+    return weighed.select(*DOC, F.inline(each))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """Windows that stand earlier too, as (doc_id, mark, first, last); one that its first place overlaps is none."""
-    found = windows(docs)
+    found = windows(stored(weighed_lines(docs), "weighed-lines"))
     first = F.min(F.struct(place().alias("at"), "last"))
     again = found.groupBy("hash").agg(first.alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     both = found.join(stored(again, "repeated-windows"), "hash")
@@ -140,11 +157,6 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return both.filter(~same_doc | (F.col("first") > F.col("stays.last"))).select(*DOC, "first", "last")
 
 
-def removed_places(docs: DataFrame) -> DataFrame:
-    """Per document that loses chunks: its key, the numbers of the lines that go, and how many chunks they are."""
-    return gathered(gone_chunks(docs))
-
-
 def gone_chunks(docs: DataFrame) -> DataFrame:
     """Chunks that stand earlier too, as (doc_id, mark, first, last)."""
     found = chunks(docs)
@@ -154,47 +166,42 @@ def gone_chunks(docs: DataFrame) -> DataFrame:
 
 
 def removed_passages(docs: DataFrame) -> DataFrame:
-    """As ``removed_places``, for the repeated chunks and the repeated runs of lines."""
-    return gathered(gone_chunks(docs).unionByName(repeated_windows(docs)))
-
-
-def gathered(gone: DataFrame) -> DataFrame:
-    """Spans of lines by document."""
-    span = F.struct("first", "last")
-    return gone.groupBy(*DOC).agg(F.collect_set(span).alias("spans")).select(
-        *DOC,
-        F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))).alias("places"),
-        F.size("spans").cast("long").alias("n_chunks"),
-    )
-
-
-def _without(text: Column) -> Column:
-    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("places", i))
-    return F.when(F.col("places").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    """Per document that loses lines: doc_id, mark, and the sorted places of the lines of its repeated chunks and runs."""
+    gone = gone_chunks(docs).unionByName(repeated_windows(docs))
+    lines = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))
+    spans = gone.groupBy(*DOC).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    return spans.select(*DOC, F.sort_array(F.array_distinct(lines)).alias("places"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_lines, n_removed_lines, n_removed_chunks, clean_text.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_lines, n_removed_lines, clean_text.
 
     A null text is an empty one; empty texts and blank lines are never passages. Rows that repeat an
-    identifier and text are one document: both keep or lose the same chunks, and they count as copies of
+    identifier and text are one document: both keep or lose the same lines, and they count as copies of
     other documents, not of each other. An empty table gives no rows; other columns are not looked at.
     """
     rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text")).withColumn("mark", text_mark(F.col("text")))
-    removed = removed_places(docs)
+    removed = removed_passages(docs)
     return rows.join(removed, same_row(rows, removed, *DOC), "left").select(
         rows["doc_id"],
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
         F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_removed_lines"),
-        F.coalesce("n_chunks", F.lit(0).cast("long")).alias("n_removed_chunks"),
-        _without(F.col("text")).alias("clean_text"),
+        without_lines(F.col("text"), F.col("places")).alias("clean_text"),
     )
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated chunks and passages taken out of the texts; the same rows and columns."""
+def dedup_lines(docs: DataFrame, drop_depleted: bool = False) -> DataFrame:
+    """``docs`` with the repeated chunks and passages taken out of the texts; the same columns.
+
+    All rows stay, with ``drop_depleted`` all but those that lose more than half of their words, copies and near copies of
+    earlier documents among them. Null and empty texts lose nothing and stay. Rows that repeat an identifier and text
+    keep or lose the same lines. An empty table gives no rows; extra columns are passed on.
+    """
     sealed, removed = Sealed(docs), removed_passages(docs)
     mark = text_mark(F.coalesce(sealed["text"], F.lit("")))
     same = sealed["doc_id"].eqNullSafe(removed["doc_id"]) & (mark == removed["mark"])
-    joined = sealed.frame.join(removed, same, "left")
-    return sealed.opened(joined, _without(sealed["text"]))
+    joined = sealed.frame.join(removed, same, "left").withColumn("clean", without_lines(sealed["text"], F.col("places")))
+    if drop_depleted:
+        left, whole = (F.size(words_of(text)) for text in (F.col("clean"), sealed["text"]))
+        joined = joined.filter(F.col("places").isNull() | (whole - left <= MOST_REMOVED * whole))
+    return sealed.opened(joined, F.col("clean"))

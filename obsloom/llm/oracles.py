@@ -38,10 +38,7 @@ tidy as (
 ),
 spoken as (select *, len(string_split(line, ' ')) as words from tidy where line <> ''),
 texts as (select source, line, count(distinct text) as n from spoken group by source, line),
-hosts as (select source, count(distinct text) as n from spoken group by source),
-frequent as (
-  select t.source, t.line from texts t join hosts h on t.source is not distinct from h.source where t.n > 10 and t.n > 0.001 * h.n
-),
+frequent as (select source, line from texts where n > 10),
 removed as (
   select s.doc_id, count(*) as n_lines, sum(s.words) as words
   from spoken s join frequent f on s.source is not distinct from f.source and s.line = f.line group by s.doc_id
@@ -156,16 +153,36 @@ ranked as (
     len(regexp_extract_all(chunk, '[^\x20\x09-\x0D]+')) as words
   from pieces
 ),
-gone as (select doc_id, a, b from ranked where n > 1 and nth > 1 and (words >= 50 or (b - a + 1 >= 2 and words >= 10))),
-per_doc as (select doc_id, sum(b - a + 1)::bigint as n_lines, count(*) as n_chunks from gone group by doc_id),
-places as (select doc_id, unnest(range(a, b + 1)) as i from gone),
+weighed as (
+  select doc_id, i, line, case when strlen(line) = length(line) then 2 * len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))
+    else 2 * len(regexp_extract_all(regexp_replace(line, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', ' ', 'g'), '[^\x20\x09-\x0D]+'))
+      + length(regexp_replace(line, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', '', 'g')) end as w
+  from (select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i from d)
+),
+spoken as (select doc_id, i, w, sum(w) over (partition by doc_id order by i) as upto from weighed where w > 0),
+reached as (
+  select s.doc_id, s.i as a, t.i as b from spoken s asof join spoken t on s.doc_id = t.doc_id and s.upto - s.w + 100 <= t.upto
+  union
+  select s.doc_id, t.i as a, s.i as b from spoken s asof join (select *, upto - w as before from spoken) t
+    on s.doc_id = t.doc_id and s.upto - 100 >= t.before
+),
+run as (select r.doc_id, a, b, array_to_string(d.l[a:b], chr(10)) as run from reached r join d using (doc_id)),
+first_run as (
+  select run, arg_min(doc_id, (doc_id, a)) as doc, arg_min(b, (doc_id, a)) as b from run group by run having count(*) > 1
+),
+gone as (
+  select doc_id, a, b from ranked where n > 1 and nth > 1 and (words >= 50 or (b - a + 1 >= 2 and words >= 10))
+  union
+  select run.doc_id, run.a, run.b from run join first_run f using (run) where run.doc_id <> f.doc or run.a > f.b
+),
+places as (select distinct doc_id, unnest(range(a, b + 1)) as i from gone),
+per_doc as (select doc_id, count(*) as n_lines from places group by doc_id),
 kept as (
   select x.doc_id, string_agg(x.line, chr(10) order by x.i) as t
   from (select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i from d) x
   left join places p on x.doc_id = p.doc_id and x.i = p.i where p.i is null group by x.doc_id
 )
-select d.doc_id, len(d.l) as n_lines, coalesce(g.n_lines, 0) as n_removed_lines, coalesce(g.n_chunks, 0) as n_removed_chunks,
-  coalesce(k.t, '') as clean_text
+select d.doc_id, len(d.l) as n_lines, coalesce(g.n_lines, 0) as n_removed_lines, coalesce(k.t, '') as clean_text
 from d left join per_doc g using (doc_id) left join kept k using (doc_id)
 """
 

@@ -10,12 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsloom.llm.texts import SPACE, Sealed, pick, same_row, stored, text_mark, whole_text
+from obsloom.llm.texts import SPACE, Sealed, pick, same_row, stored, text_mark, whole_text, without_lines
 
 #: Different texts of a host in which a line may stand, whatever the size of the host.
 MIN_TEXTS = 10
-#: A limit that grows with the host, for who asks for it: also this share of the host's texts.
-SHARE = 0.0
 #: A document is depleted when more than this share of its words goes.
 MOST_REMOVED = 0.5
 FEWEST_WORDS = 50
@@ -128,29 +126,25 @@ def line_rows(docs: DataFrame, host: str) -> DataFrame:
     )
 
 
-def frequent_lines(docs: DataFrame, host: str, min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
-    """(host, line hash) of the lines that stand in more different texts of their host than its limit."""
-    lines = line_rows(docs, host)
+def frequent_lines(lines: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """(host, line hash) of the ``line_rows`` that stand in more than ``min_texts`` different texts of their host."""
     texts = lines.groupBy("host", "line", "mark").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
-    many = texts.filter(F.col("texts") > min_texts)
-    if share <= 0:
-        return many.select("host", "line")
-    hosts = lines.groupBy("host", "mark").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
-    return many.join(hosts, same_row(many, hosts, "host")).filter(F.col("texts") > share * F.col("of_host")).select(many["host"], "line")
+    return texts.filter(F.col("texts") > min_texts).select("host", "line")
 
 
-def removed_lines(docs: DataFrame, host: str, min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
-    """Per document with boilerplate: its key, the places of the lines that go, and how many words they have."""
-    lines, frequent = line_rows(docs, host), frequent_lines(docs, host, min_texts, share)
+def removed_lines(docs: DataFrame, host: str, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """Per document with boilerplate: its key, the sorted places of the lines that go, and how many words they have."""
+    lines = stored(line_rows(docs, host), "lines")
+    frequent = stored(frequent_lines(lines, min_texts), "frequent-lines")
     hits = lines.join(frequent, same_row(lines, frequent, "host", "line"), "left_semi").distinct()
-    return hits.groupBy(*DOC).agg(F.collect_list("place").alias("places"), F.sum("words").alias("removed_words"))
+    return hits.groupBy(*DOC).agg(F.sort_array(F.collect_list("place")).alias("places"), F.sum("words").alias("removed_words"))
 
 
 def _failed() -> Column:
     return (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
+def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text and the host column): the counts and the verdict.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -158,7 +152,7 @@ def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_T
     own; rows that repeat an identifier, text and host get the same verdict. An empty table gives no rows;
     other columns are not looked at.
     """
-    counts, removed = kept_counts(docs, host), removed_lines(docs, host, min_texts, share)
+    counts, removed = kept_counts(docs, host), removed_lines(docs, host, min_texts)
     judged = counts.join(removed, same_row(counts, removed, *DOC), "left").select(
         counts["doc_id"], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.coalesce("removed_words", F.lit(0).cast("long")).alias("removed_words"),
@@ -169,19 +163,18 @@ def quality_report(docs: DataFrame, host: str = "source", min_texts: int = MIN_T
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
-def apply_quality(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
+def apply_quality(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS) -> DataFrame:
     """``docs`` without the rows that the report rejects, and without boilerplate lines in the others.
 
-    Columns stay as they are, ``n_chars`` (if there is one) follows the new text.
+    Columns stay as they are, ``n_chars`` (if there is one) follows the new text. Null and empty texts have no words
+    and go. Repeated rows all stay or all go; a null host is a host of its own. An empty table stays empty.
     """
     sealed, report = Sealed(docs), kept_counts(docs, host)
-    removed = removed_lines(docs, host, min_texts, share)
+    removed = removed_lines(docs, host, min_texts)
     verdict = report.select(*DOC, "n_words", _failed().alias("failed")).distinct()
     judged = verdict.join(removed, same_row(verdict, removed, *DOC), "left").filter(
         ~F.col("failed") & (F.coalesce("removed_words", F.lit(0)) <= MOST_REMOVED * F.col("n_words"))
     ).select(*[verdict[c] for c in DOC], "places")
     mark = text_mark(F.coalesce(sealed["text"], F.lit("")))
     same = sealed["doc_id"].eqNullSafe(judged["doc_id"]) & (mark == judged["mark"]) & sealed[host].eqNullSafe(judged["host"])
-    clean = F.array_join(F.filter(F.split(sealed["text"], "\n", -1), lambda _, i: ~F.array_contains("places", i)), "\n")
-    text = F.when(F.col("places").isNull(), sealed["text"]).otherwise(clean)
-    return sealed.opened(sealed.frame.join(judged, same), text)
+    return sealed.opened(sealed.frame.join(judged, same), without_lines(sealed["text"], F.col("places")))

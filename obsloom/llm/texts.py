@@ -56,6 +56,28 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def without_lines(text: Column, places: Column) -> Column:
+    """``text`` without the lines at ``places``, a sorted array of different places; unchanged where that is null.
+
+    What lies between two places is taken as one slice, so the work grows with the lines and not with lines times places.
+    """
+
+    def rest(split: Column) -> Column:
+        lines = split["lines"]
+        gaps = F.transform(
+            F.sequence(F.lit(0), F.size(places)),
+            lambda k: F.struct(
+                (F.coalesce(F.get(places, k - 1), F.lit(-1)) + 1).alias("start"), F.coalesce(F.get(places, k), F.size(lines)).alias("stop")
+            ),
+        )
+        kept = F.filter(gaps, lambda gap: gap["start"] < gap["stop"])
+        return F.array_join(F.transform(kept, lambda gap: F.array_join(F.slice(lines, gap["start"] + 1, gap["stop"] - gap["start"]), "\n")), "\n")
+
+    # as the variable of a function the lines are split once, and not again for every gap
+    once = F.transform(F.array(F.struct(F.split(text, "\n", -1).alias("lines"))), rest)
+    return F.when(places.isNull(), text).otherwise(F.get(once, F.lit(0)))
+
+
 class Sealed:
     """A table whose columns go by place while operators work, so that no name can clash.
 

@@ -1,8 +1,12 @@
 """Line dedup and quality rules on planted passages; their SQL runs with the other queries."""
 
 import random
+import time
 
-from obsloom.llm import line_dedup, quality
+import pytest
+from pyspark.sql import functions as F
+
+from obsloom.llm import line_dedup, quality, texts
 from tables import prose
 
 
@@ -56,6 +60,7 @@ def test_repeated_runs_are_those_of_brute_force(spark):
     texts = [rng.choices(pool, k=rng.randint(1, 9)) for _ in range(60)]
     docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {(r["doc_id"], i) for r in line_dedup.repeated_windows(docs).collect() for i in range(r["first"], r["last"] + 1)}
+    chunks = {(r["doc_id"], i) for r in line_dedup.gone_chunks(docs).collect() for i in range(r["first"], r["last"] + 1)}
     runs, want = {}, set()
     for d, lines in enumerate(texts):
         for a in range(len(lines)):
@@ -66,6 +71,55 @@ def test_repeated_runs_are_those_of_brute_force(spark):
                     if at[0] != d or a > at[1]:
                         want |= {(d, i) for i in range(a, b + 1)}
     assert got == want and want
+    report = {r["doc_id"]: r for r in line_dedup.line_report(docs).collect()}
+    for d, lines in enumerate(texts):
+        left = [line for i, line in enumerate(lines) if (d, i) not in want | chunks]
+        assert report[d]["clean_text"] == "\n".join(left) and report[d]["n_removed_lines"] == len(lines) - len(left)
+
+
+@pytest.mark.parametrize("size", [2, 3, 4, 5, 8, 12])
+def test_the_report_finds_passages_of_any_number_of_lines(spark, size):
+    rng = random.Random(size)
+    passage = [prose(rng, 50 // size + 2) for _ in range(size)]
+    texts = [[prose(rng, 20), *passage, prose(rng, 20)], [prose(rng, 9), *passage, prose(rng, 7)]]
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["clean_text"].split("\n") for r in line_dedup.line_report(docs).collect()}
+    assert got == {0: texts[0], 1: [texts[1][0], texts[1][-1]]}
+
+
+def test_copies_leave_no_stubs(spark):
+    rng = random.Random(22)
+    lines = [prose(rng, 14) for _ in range(30)]
+    near = lines[:10] + [prose(rng, 14)] + lines[11:20] + [prose(rng, 14)] + lines[21:]
+    some = [prose(rng, 14) for _ in range(20)] + lines[:10]
+    texts = ["\n".join(t) for t in (lines, near, lines, some)] + ["", None, "one line"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, drop_depleted=True).collect()}
+    assert kept.keys() == {0, 3, 4, 5, 6} and kept[0] == texts[0] and kept[3] == "\n".join(some[:20])
+    assert len(line_dedup.dedup_lines(docs).collect()) == 7
+
+
+@pytest.mark.parametrize("places", [[], [0], [2], [0, 1, 2], [1], [0, 2]])
+def test_lines_are_taken_out(spark, places):
+    df = spark.createDataFrame([("a\n\nc", places), ("a\n\nc", None)], "text string, places array<int>")
+    got = [r[0] for r in df.select(texts.without_lines(F.col("text"), F.col("places"))).collect()]
+    assert got == ["\n".join(x for i, x in enumerate(["a", "", "c"]) if i not in places), "a\n\nc"]
+
+
+def test_texts_of_very_many_lines(spark):
+    """Two equal documents of many lines: every line of the second one goes, in time that follows the lines."""
+    rng = random.Random(23)
+
+    def seconds(n):
+        text = "\n".join(f"{prose(rng, 3)} {i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        rows = {r["doc_id"]: r for r in line_dedup.line_report(docs).collect()}
+        assert rows[1]["n_removed_lines"] == 0 and rows[2]["n_removed_lines"] == n
+        return time.perf_counter() - start
+
+    seconds(2000)
+    assert seconds(80_000) < 16 * max(seconds(10_000), 0.5)
 
 
 def test_passages_of_one_document(spark):
