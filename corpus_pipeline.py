@@ -23,27 +23,33 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go, and so do boilerplate lines of the others."""
+    """Rejected documents go, and so do boilerplate lines of the others; edge cases as in ``apply_quality``."""
     return apply_quality(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a passage in several documents the first stays."""
-    return dedup_lines(docs)
+    """Of a passage in several documents the first stays; documents that lose more than half of their words go.
+
+    Nulls, empty texts, repeated rows and extra columns as in ``dedup_lines``.
+    """
+    return dedup_lines(docs, drop_depleted=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: shingles of five words, similarity of 0.8 or more."""
+    """One document of each group stays: shingles of five words, similarity of 0.8 or more; edge cases as in ``drop_similar``."""
     return drop_similar(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents by source weights; a document that is taken twice gives two rows."""
+    """Whole documents by source weights; a document that is taken twice gives two rows. Edge cases as in ``mix_documents``."""
     return mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every document of the mix, where they begin, and the hash of what they decode to."""
+    """Byte-level BPE ids of every document of the mix, where they begin, and the hash of what they decode to.
+
+    Edge cases as in ``encode_documents``.
+    """
     encoded = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "offsets", "decoded_sha256")
 
