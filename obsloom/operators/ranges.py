@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from obsloom.operators.sizes import measured
 
 #: Sampled rows for each range, and ranges for each shuffle partition.
 SAMPLE, SPREAD = 16, 4
+#: Different hashes by which rows are sampled.
+HASHES = 1 << 62
 
 
 def default_ranges(df: DataFrame) -> int:
@@ -15,16 +19,19 @@ def default_ranges(df: DataFrame) -> int:
 
 
 def cut_points(df: DataFrame, order: Sequence[str], ranges: int) -> list[list]:
-    """Values of ``order`` at which ranges end, in order: every ``SAMPLE``-th row of a sample by hash.
+    """Values of ``order`` at which ranges end, in order: about every ``SAMPLE``-th row of a sample by hash.
 
-    They balance the work; nothing that is computed in the ranges may depend on them.
+    Every row is as likely as any other to be sampled, whatever the size of the table and the order in which
+    it is read; the share follows from the number of rows, so about ``ranges * SAMPLE`` rows reach the driver.
+    Equal rows share a hash, so the hash also takes in where a row was read. The cuts balance the work; nothing
+    that is computed in the ranges may depend on them.
     """
     rows = df.select(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
-    wanted = ranges * SAMPLE
-    share = min(1.0, wanted / max(1, rows.count()))
-    chosen = F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    sample = rows.filter(chosen).limit(2 * wanted).orderBy(*rows.columns).collect()
-    return [list(row) for row in sample[SAMPLE::SAMPLE]]
+    share = min(1.0, ranges * SAMPLE / max(1, rows.count()))
+    hashed = F.xxhash64(*rows.columns, F.monotonically_increasing_id()).bitwiseAND(F.lit(HASHES - 1))
+    sample = rows.where(hashed < F.lit(int(share * HASHES))).orderBy(*rows.columns).collect()
+    step = max(1, len(sample) // ranges)
+    return [list(row) for row in sample[step::step]]
 
 
 def range_number(df: DataFrame, order: Sequence[str], cuts: list[list]) -> Column:
@@ -46,3 +53,17 @@ def range_number(df: DataFrame, order: Sequence[str], cuts: list[list]) -> Colum
     steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
     start = F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high"))
     return F.aggregate(steps, start, halve, lambda span: span["low"])
+
+
+def with_place(df: DataFrame, order: Sequence[str], out: str = "place") -> DataFrame:
+    """``df`` with the place, from 1, of each row in ``order``, which must be a total order; NULL comes first.
+
+    Rows are numbered in ranges of the order; what lies before a range is a sum over one row per range.
+    """
+    cuts = cut_points(df, order, default_ranges(df))
+    ranged = df.withColumn("__range", range_number(df, order, cuts))
+    ahead = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = sizes.select("__range", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(W.partitionBy("__range").orderBy(*order))
+    return ranged.withColumn("__at", inside).join(measured(before), "__range").select(*df.columns, (F.col("__before") + F.col("__at")).alias(out))

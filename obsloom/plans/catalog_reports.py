@@ -11,6 +11,7 @@ from obsloom.operators import profile as P
 from obsloom.operators.impute import medians, modes
 from obsloom.operators.quantiles import quantiles
 from obsloom.plans import weather
+from obsloom.operators.ranges import with_place
 from obsloom.plans.observations import COLUMNS, observations, over_observations
 from obsloom.plans.registry import query, table
 from obsloom.plans.sqltext import half_up_sql, label_v1_sql, levels_sql, unpivot_sql
@@ -528,7 +529,9 @@ def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sorted_by_time",
-    over_observations("select obs_id, time, city from obs order by time, city, obs_id"),
+    over_observations("select obs_id, time, city, row_number() over (order by time, city, obs_id) as place from obs order by place"),
 )
 def sorted_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select("obs_id", "time", "city").orderBy("time", "city", "obs_id")
+    """The order as a column, which tables keep and comparisons see."""
+    placed = with_place(observations(spark, sf_dir).select("obs_id", "time", "city"), ["time", "city", "obs_id"])
+    return placed.orderBy("place")
