@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from obsloom.operators.sizes import measured
+
 #: Rank accuracy of the pass that narrows a quantile down; about 4 rows in so many are then looked at.
 ACCURACY = 1000
+#: Bytes of brackets that are sent to every executor, at most, and bytes that a bracket may take.
+SENT, BRACKET = 32 << 20, 256
 
 
 def quantiles(
@@ -44,21 +48,24 @@ def _exact(df: DataFrame, columns: Sequence[str], probabilities: list[float], by
     )
     margin = 2.0 / narrow
     ends = [max(0.0, p - margin) for p in probabilities] + [min(1.0, p + margin) for p in probabilities] + [0.0, 1.0]
-    guesses = rows.groupBy("__group").agg(
+    brackets = rows.groupBy("__group").agg(
         *[F.percentile_approx(v, ends, narrow).alias(f"{v}_ends") for v in values],
         *[F.count(v).alias(f"{v}_n") for v in values],
     )
-    # NaN is the largest number for Spark; it stays where an order puts it.
-    met = rows.join(guesses, "__group")
+    met, end, size = _bracketed(rows, brackets, values, bool(by))
     wanted = range(len(probabilities))
 
+    # NaN is the largest number for Spark; it stays where an order puts it.
     def span(v: str, j: int) -> tuple[Column, Column]:
         # with few values a neighbour's rank may lie outside the margin, so they are all looked at
-        few, at = F.col(f"{v}_n") <= 2 * narrow, F.col(f"{v}_ends")
-        return F.when(few, at[len(ends) - 2]).otherwise(at[j]), F.when(few, at[len(ends) - 1]).otherwise(at[j + len(probabilities)])
+        few = size(v) <= 2 * narrow
+        return (
+            F.when(few, end(v, len(ends) - 2)).otherwise(end(v, j)),
+            F.when(few, end(v, len(ends) - 1)).otherwise(end(v, j + len(probabilities))),
+        )
 
     below = [F.count_if(F.col(v) < span(v, j)[0]).alias(f"{v}_{j}") for v in values for j in wanted]
-    sizes = [F.first(f"{v}_n").alias(f"{v}_n") for v in values]
+    sizes = [F.count(v).alias(f"{v}_n") for v in values]
     counts = met.groupBy("__group").agg(*below, *sizes).select(
         "__group",
         F.inline(F.array(*[
@@ -97,3 +104,26 @@ def _exact(df: DataFrame, columns: Sequence[str], probabilities: list[float], by
         F.get(names, F.col("c")).alias("column"),
         F.transform("found", lambda x: x["q"]).alias("q"),
     )
+
+
+def _bracketed(
+    rows: DataFrame, brackets: DataFrame, values: Sequence[str], grouped: bool
+) -> tuple[DataFrame, Callable[[str, int], Column], Callable[[str], Column]]:
+    """The rows, and how to name a bracket's ends and its column's size next to a row.
+
+    Without groups the brackets are one row of numbers and stand in the plan as literals. Brackets of groups are
+    written first: while their number keeps them within ``SENT`` bytes they are sent to the rows, which then stay
+    where they are; with more groups than that, groups are small next to the table and rows meet them by a shuffle.
+    """
+    if not grouped:
+        row = brackets.first()
+        ends = {v: (row[f"{v}_ends"] if row else None) for v in values}
+        return (
+            rows,
+            lambda v, i: F.lit(ends[v][i] if ends[v] else None).cast("double"),
+            lambda v: F.lit(row[f"{v}_n"] if row else 0),
+        )
+    side = measured(brackets)
+    small = side.count() * len(values) * BRACKET <= SENT
+    met = rows.join(F.broadcast(side) if small else side, "__group")
+    return met, lambda v, i: F.col(f"{v}_ends")[i], lambda v: F.col(f"{v}_n")
