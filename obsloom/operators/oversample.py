@@ -68,7 +68,7 @@ def oversample(
     first = (F.col("__passed") == 0) & (extra > 0)
     marked = marked.withColumn("__times", every + F.when(first, 1).otherwise(0)).where(F.col("__times") > 0)
 
-    near = nearest_neighbours(minority, label, "x", k, seed, **search)
+    near = nearest_neighbours(minority, label, "x", k, **search)
     near = near.select(F.col(label).alias("__label"), "x", "neighbours")
     parents = marked.withColumn("__label", F.col(label).cast("string")).join(near, ["__label", "x"])
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from obsloom.operators.evaluate import roc_auc
 from obsloom.operators.joins import latest_per_key, with_group_count
 from obsloom.operators.mining import itemsets, rules
+from obsloom.operators import neighbours
 from obsloom.operators.neighbours import nearest_neighbours
 from obsloom.operators.oversample import oversample
 from obsloom.operators.profile import distinct_counts, histogram, null_audit
 from obsloom.operators.quantiles import quantiles
 from obsloom.operators.splitting import cap_rows, mark_folds, mark_split
-from obsloom.operators.ranges import cut_points, range_number
+from obsloom.operators.ranges import cut_points, range_number, with_place
 from obsloom.operators.windows import add_lags
 from obsloom.sources.files import read_mixed_csv
 from obsloom.sources.tables import load_newest, read_loads
@@ -65,6 +66,59 @@ def test_ranges_follow_the_order_and_stay_small(hot):
     assert in_order == sorted(in_order) and len(set(in_order)) >= 15 and max(in_order.count(r) for r in set(in_order)) <= 120
 
 
+def test_cut_points_follow_all_rows_of_a_large_sorted_table(spark):
+    """Two million rows in order, sampled at a small share: ranges within twice the mean."""
+    rows = spark.range(2_000_000, numPartitions=8)
+    for ranges in (1, 4, 16):
+        cuts = cut_points(rows, ["id"], ranges)
+        sizes = [r["count"] for r in rows.groupBy(range_number(rows, ["id"], cuts).alias("r")).count().collect()]
+        assert len(sizes) == len(cuts) + 1 and max(sizes) <= 2 * 2_000_000 / ranges and sum(sizes) == 2_000_000
+    same = spark.range(1000).select(F.lit(7).alias("id"))
+    assert all(cut == [7] for cut in cut_points(same, ["id"], 8))
+
+
+def test_places_are_those_of_one_sort(hot):
+    placed = with_place(hot.where("id % 7 > 0"), ["key", "t", "id"])
+    rows = placed.orderBy("place").collect()
+    assert [r["place"] for r in rows] == list(range(1, len(rows) + 1))
+    order = [(r["key"] is not None, r["key"], r["t"], r["id"]) for r in rows]
+    assert order == sorted(order) and placed.columns == ["id", "key", "t", "v", "place"]
+
+
+def scans_in_exchanges(physical, name):
+    """Scans of the table whose rows reach an exchange by key without an aggregate in between."""
+    found, above = [], [(-1, False, False)]  # depth, below an exchange, and below an aggregate of that exchange
+    for line in physical.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        while above[-1][0] >= depth:
+            above.pop()
+        _, moved, combined = above[-1]
+        if "Exchange hashpartitioning" in line:
+            moved, combined = True, False
+        combined = combined or "Aggregate(" in line
+        if "FileScan" in line and name in line and moved and not combined:
+            found.append(line)
+        above.append((depth, moved, combined))
+    return found
+
+
+@pytest.mark.parametrize("threshold", ["-1", "1", "10485760"])
+@pytest.mark.parametrize("by", [[], ["key"]])
+def test_quantiles_neither_cross_nor_shuffle_the_rows(spark, sf_dir, by, threshold):
+    """At any broadcast threshold: no cartesian product, and no row of the table in an exchange."""
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumnRenamed("l_returnflag", "key")
+        found = quantiles(df, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75], by=by)
+        physical = found._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in physical and "NestedLoop" not in physical
+        assert "Exchange hashpartitioning" in physical and not scans_in_exchanges(physical, "lineitem")
+        assert found.count() == (6 if by else 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+
+
 @pytest.mark.parametrize("narrow", [4, 1000])
 @pytest.mark.parametrize("by", [[], ["key"]])
 def test_exact_quantiles(hot, by, narrow):
@@ -128,9 +182,9 @@ def points(spark):
     return spark.createDataFrame(rows, "id long, c string, x double, y double, z double").cache()
 
 
-@pytest.mark.parametrize("block_rows,query_rows", [(20, 15), (64, 1000), (5000, 5000)])
-def test_neighbours_are_exact(points, block_rows, query_rows):
-    found = nearest_neighbours(points, "c", ["x", "y", "z"], 3, block_rows=block_rows, query_rows=query_rows).collect()
+@pytest.mark.parametrize("cell_rows,query_rows", [(20, 15), (64, 1000), (5000, 5000)])
+def test_neighbours_are_exact(points, cell_rows, query_rows):
+    found = nearest_neighbours(points, "c", ["x", "y", "z"], 3, cell_rows=cell_rows, query_rows=query_rows).collect()
     rows = {}
     for r in points.collect():
         rows.setdefault(r["c"], []).append((r["x"], r["y"], r["z"]))
@@ -142,8 +196,45 @@ def test_neighbours_are_exact(points, block_rows, query_rows):
         assert np.allclose(got, others)
 
 
+@pytest.mark.parametrize("width,following", [(1, 2), (15, 1), (15, 6)])
+def test_neighbours_in_many_dimensions(spark, width, following):
+    """Clustered points, grids with very many ties, and copies; the neighbours are the nearest, ties by their values."""
+    chance = np.random.default_rng(width)
+    rows = np.round(chance.normal(size=(900, width)) + 8 * chance.integers(0, 4, size=(900, 1)), 1)
+    grid = chance.integers(0, 3, size=(300, width)).astype(float)
+    names = ["cloud"] * 900 + ["grid"] * 300
+    df = spark.createDataFrame([(n, r.tolist()) for n, r in zip(names, [*rows, *grid])], "c string, x array<double>").repartition(3)
+    found = nearest_neighbours(df, "c", "x", 3, cell_rows=40, query_rows=25, following=following).collect()
+    for name, group in (("cloud", rows), ("grid", grid)):
+        mine = [r for r in found if r["c"] == name]
+        assert len(mine) == len(np.unique(group, axis=0)) and sum(r["copies"] for r in mine) == len(group)
+        for r in mine[::5]:
+            here = np.array(r["x"])
+            apart = np.sqrt(((group - here) ** 2).sum(axis=1))
+            order = sorted(zip(apart, map(tuple, group)))
+            order.remove((0.0, tuple(here)))
+            assert [tuple(n) for n in r["neighbours"]] == [p for _, p in order[:3]]
+
+
+def test_clustered_points_touch_few_cells(spark):
+    """In 15 dimensions with structure, a point looks into a handful of the cells, whatever their number."""
+    chance = np.random.default_rng(8)
+    base = chance.normal(size=(2, 15))
+    spots = chance.normal(size=(6000, 2)) * 20
+    rows = spots @ base + chance.normal(size=(6000, 15)) * 0.05
+    df = spark.createDataFrame([("a", r.tolist()) for r in rows], "g string, x array<double>").withColumn("copies", F.lit(1).cast("long"))
+    points = df.withColumn("point", F.monotonically_increasing_id()).cache()
+    cuts = neighbours.group_cuts(points, 100)
+    placed = neighbours.in_cells(points, cuts).cache()
+    found = neighbours.search(placed, placed, 3, 4000)
+    boxes = neighbours.boxes_of(placed, cuts, 15)
+    asked = neighbours.touched(placed.join(found.select("point", "reach"), "point"), boxes, 0, None)
+    cells = len(boxes["a"][0])
+    assert cells >= 50 and asked.count() / 6000 < 6
+
+
 def test_oversampled_rows_lie_between_neighbours(points):
-    made = oversample(points, "c", ["x", "y", "z"], ["id"], block_rows=50)
+    made = oversample(points, "c", ["x", "y", "z"], ["id"], cell_rows=50)
     sizes = {r["c"]: r["count"] for r in made.groupBy("c").count().collect()}
     assert set(sizes.values()) == {260}
     assert made.where("not synthetic").count() == 401
@@ -155,7 +246,7 @@ def test_oversampled_rows_lie_between_neighbours(points):
             for (c, spot), others in near.items() if c == r["c"]
             for a in [np.array(spot)] for b in (others or [spot])
         )
-    again = oversample(points.repartition(3), "c", ["x", "y", "z"], ["id"], block_rows=30)
+    again = oversample(points.repartition(3), "c", ["x", "y", "z"], ["id"], cell_rows=30)
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, made.collect()), key=repr)
 
 
