@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from obsloom.operators.aggregate import group_mean
-from obsloom.operators.sizes import FIT_PARTITIONS, kept
+from obsloom.operators.centres import BLOCK, POINT, assigned, fit_all, points_of, silhouettes, worth
+from obsloom.operators.sizes import FIT_PARTITIONS, kept, measured
 from obsloom.operators.splitting import hash_sample
+from obsloom.session import checkpointed
 
 SCALED = "__scaled"
+#: Numbers about clusters that go to every task, at most: 200 MB.
+MOST_NUMBERS = 25_000_000
 
 
 def scaling_stages(features: Sequence[str], out: str = SCALED) -> list:
@@ -49,6 +53,21 @@ def standard_scale(df: DataFrame, columns: Sequence[str], prefix: str = "z_") ->
     return df.withColumns(scaled)
 
 
+def scaled_point(df: DataFrame, features: Sequence[str]) -> Column:
+    """The features as one array with mean 0 and standard deviation 1; a constant feature becomes 0."""
+    parts = []
+    for i, name in enumerate(features):
+        parts += [F.avg(name).alias(f"m{i}"), F.stddev_samp(name).alias(f"s{i}")]
+    stats = df.agg(*parts).first()
+    centred = [F.col(c).cast("double") - F.lit(stats[f"m{i}"]) for i, c in enumerate(features)]
+    return F.array(*[c / F.lit(stats[f"s{i}"]) if stats[f"s{i}"] else F.lit(0.0) for i, c in enumerate(centred)])
+
+
+def scaled_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The scaled features of complete rows, as the array ``x``."""
+    return df.select(scaled_point(df, features).alias(POINT))
+
+
 def kmeans_fit(df: DataFrame, k: int, features_col: str, seed: int, max_iter: int, restarts: int = 1):
     """The cheapest of ``restarts`` fits."""
     best = None
@@ -70,24 +89,22 @@ def kmeans_sweep(
     restarts: int = 1,
     partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
-    """``k, cost, silhouette`` for each k, over a sample by ``key`` when ``sample`` is below 1."""
+    """``k, cost, silhouette`` for each k, over a sample by ``key`` when ``sample`` is below 1.
+
+    All k and restarts are fitted in the same passes.
+    """
     chosen = df.select(*dict.fromkeys([*(key or []), *features])).dropna(subset=list(features))
     if sample < 1.0:
         if not key:
             raise ValueError("a sample needs the row key")
         chosen = hash_sample(chosen, key, sample, seed)
-    vectors = kept(scaled_vectors(chosen, features).select(SCALED), partitions)
-    evaluator = ClusteringEvaluator(
-        featuresCol=SCALED, predictionCol="cluster", metricName="silhouette", distanceMeasure="squaredEuclidean"
-    )
-    rows = []
+    points = kept(scaled_points(chosen, features), partitions)
     try:
-        for k in ks:
-            model = kmeans_fit(vectors, k, SCALED, seed, max_iter, restarts)
-            silhouette = evaluator.evaluate(model.transform(vectors))
-            rows.append((k, float(model.summary.trainingCost), float(silhouette)))
+        fits = fit_all(points, list(ks), restarts, seed, max_iter)
+        worths = silhouettes(points, fits)
     finally:
-        vectors.unpersist()
+        points.unpersist()
+    rows = [(f.k, f.cost, worth) for f, worth in zip(fits, worths)]
     return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
 
 
@@ -129,19 +146,26 @@ def cluster_means(clustered: DataFrame, features: Sequence[str], digits: int = 3
 
 
 def cluster_entities(
-    df: DataFrame, entity: str, features: Sequence[str], seed: int = 42, max_k: int = 10, restarts: int = 10
+    df: DataFrame, entity: str, features: Sequence[str], seed: int = 42, max_k: int = 10, restarts: int = 10, max_iter: int = 20
 ) -> tuple[DataFrame, DataFrame]:
-    """Cluster entities by their mean readings: (k sweep, entity means with ``cluster``)."""
+    """Cluster entities by their mean readings: (k sweep, entity means with ``cluster``).
+
+    One fit of all k and restarts gives the sweep and the clusters of the best k.
+    """
     means = group_mean(df.where(F.col(entity).isNotNull()), [entity], features, None, "").dropna()
-    means = means.coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = kept(means.withColumn(POINT, scaled_point(means, features)))
     try:
-        top = min(max_k, means.count() - 1)
+        top = min(max_k, scaled.count() - 1)
         if top < 2:
             raise ValueError("at least 3 entities are needed")
-        sweep = kmeans_sweep(means, features, range(2, top + 1), seed=seed, restarts=restarts, partitions=1)
-        _, clustered = cluster_rows(means, features, best_k(sweep), seed, restarts=restarts, partitions=1)
+        fits = fit_all(scaled, range(2, top + 1), restarts, seed, max_iter)
+        worths = silhouettes(scaled, fits)
+        rows = [(f.k, f.cost, worth) for f, worth in zip(fits, worths)]
+        sweep = df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
+        best = next(f for f in fits if f.k == best_k(sweep))
+        clustered = checkpointed(assigned(scaled, F.col(POINT), best.centres, "cluster").drop(POINT))
     finally:
-        means.unpersist()
+        scaled.unpersist()
     return sweep, clustered
 
 
@@ -155,39 +179,42 @@ def project(df: DataFrame, features: Sequence[str], k: int = 2) -> tuple[list[fl
     return shares, with_incomplete(out.drop("__raw", SCALED, "__pc"), df, features)
 
 
-def silhouette(df: DataFrame, features: Sequence[str], cluster: str, max_clusters: int = 1000) -> DataFrame:
+def silhouette(df: DataFrame, features: Sequence[str], cluster: str, max_numbers: int = MOST_NUMBERS) -> DataFrame:
     """``silhouette, n`` by squared Euclidean distance, without comparing rows with rows.
 
     The mean squared distance from a point to a cluster follows from the cluster's size, mean and mean
-    squared norm. A point alone in its cluster scores 0. Complete rows only.
+    squared norm. A point alone in its cluster scores 0. Complete rows only. The statistics of the clusters,
+    ``max_numbers`` numbers at most, go to every task, which compares a block of rows with all of them.
     """
-    rows = df.select(cluster, *[F.col(c).cast("double").alias(c) for c in features]).dropna()
-    norm = sum((F.col(c) * F.col(c) for c in features), F.lit(0.0))
-    stats = (
-        rows.groupBy(cluster)
-        .agg(F.count("*").alias("n"), F.avg(norm).alias("norm"), *[F.avg(c).alias(f"m_{c}") for c in features])
-        .limit(max_clusters + 1)
-        .collect()
-    )
-    if not 2 <= len(stats) <= max_clusters:
-        raise ValueError(f"between 2 and {max_clusters} clusters are needed, found {len(stats)}")
-    distances = []
-    for s in stats:
-        dot = sum((F.col(c) * F.lit(s[f"m_{c}"]) for c in features), F.lit(0.0))
-        mean = F.lit(s["norm"]) + norm - 2 * dot
-        here = F.col(cluster) == F.lit(s[cluster])
-        distances.append(
-            F.struct(
-                here.alias("here"),
-                F.lit(s["n"]).alias("n"),
-                F.when(here, mean * F.lit(s["n"]) / F.lit(max(s["n"] - 1, 1))).otherwise(mean).alias("d"),
-            )
-        )
-    scored = rows.withColumn("__d", F.array(*distances))
-    own = F.filter("__d", lambda d: d["here"])[0]
-    nearest = F.array_min(F.transform(F.filter("__d", lambda d: ~d["here"]), lambda d: d["d"]))
-    scored = scored.select(own["n"].alias("n"), own["d"].alias("a"), nearest.alias("b"))
-    worth = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(
-        F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0))
+    rows = df.select(F.col(cluster).alias("c"), F.array(*[F.col(c).cast("double") for c in features]).alias(POINT), *features)
+    rows = rows.dropna().select("c", POINT)
+    norm = F.aggregate(POINT, F.lit(0.0), lambda total, v: total + v * v)
+    sums = [F.sum(F.col(POINT)[i]).alias(f"s{i}") for i in range(len(features))]
+    stats = rows.groupBy("c").agg(F.count("*").alias("n"), F.sum(norm).alias("norms"), *sums)
+    stats = measured(stats)
+    clusters = stats.count()
+    if clusters < 2 or clusters * (len(features) + 2) > max_numbers:
+        raise ValueError(f"from 2 clusters to {max_numbers} numbers about them are needed, found {clusters} clusters")
+    # numbered here, so that a row carries the place of its cluster and not its name
+    table = stats.orderBy("c").toPandas()
+    places = df.sparkSession.createDataFrame(
+        pa.table({"c": pa.array(table["c"].tolist(), to_arrow_type(stats.schema["c"].dataType)), "at": pa.array(range(clusters), pa.int64())})
     )
-    return scored.agg(F.avg(worth).alias("silhouette"), F.count("*").alias("n"))
+    placed = rows.join(places, "c").select("at", POINT)
+    n, norms = table["n"].to_numpy(dtype=float), table["norms"].to_numpy(dtype=float)
+    totals = table[[f"s{i}" for i in range(len(features))]].to_numpy(dtype=float)
+    shared = df.sparkSession.sparkContext.broadcast((n, norms, totals))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, norms, totals = shared.value
+        total, seen, step = 0.0, 0, max(1, BLOCK // len(n))
+        for batch in batches:
+            points, own = points_of(batch, totals.shape[1]), batch.column("at").to_numpy()
+            for start in range(0, len(own), step):
+                part = slice(start, start + step)
+                total += worth(points[part], own[part], n, norms, totals).sum()
+            seen += len(own)
+        yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([seen], pa.int64())], names=["total", "n"])
+
+    judged = placed.mapInArrow(judge, "total double, n long")
+    return judged.agg((F.sum("total") / F.sum("n")).alias("silhouette"), F.sum("n").alias("n"))
