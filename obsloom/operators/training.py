@@ -6,20 +6,29 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    OneVsRest,
+    OneVsRestModel,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from obsloom.operators.evaluate import MacroF1, macro_metrics
 from obsloom.operators.oversample import with_class_weights
-from obsloom.operators.sizes import kept
+from obsloom.operators.sizes import kept, measured
+from obsloom.operators.splitting import cap_rows
 
 WEIGHT = "weight"
-#: Fits that run side by side.
-PARALLEL = 4
+#: Fits that run side by side, and rows of one partition of a fit.
+PARALLEL, FIT_ROWS = 8, 50_000
 
 
 def label_index(df: DataFrame, label: str, out: str = "label") -> StringIndexerModel:
@@ -69,14 +78,60 @@ WIDE_BOOST_GRID = [{"rounds": n, "rate": r, "depth": d} for n in (100, 150) for
 
 @dataclass
 class Candidate:
-    """A family of models: ``make(**point)`` for each grid point."""
+    """A family of models: ``make(**point)`` for each grid point.
+
+    ``grows`` names the parameter that counts an ensemble's trees, if there is one: of points that differ in it alone
+    only the largest is fitted, and the others are the first trees of that fit.
+    """
 
     name: str
     make: Callable[..., Estimator]
     grid: Sequence[Mapping[str, object]] = field(default_factory=lambda: [{}])
+    grows: str | None = None
+
+
+@dataclass(frozen=True)
+class Race:
+    """How a search goes on: rungs of (share of the trees, folds), and what part of a family a rung leaves.
+
+    Every point of every grid takes part in the first rung. After each rung the best 1/``cut`` of a family's points,
+    one at least, go on; the last rung has all trees and all folds. ``rows`` bounds the labelled rows of a fit, by
+    seeded order of the key; scores are always taken from all rows of the tested fold.
+    """
+
+    rungs: Sequence[tuple[float, int]] = ((0.1, 1), (0.3, 1), (1.0, 3))
+    cut: int = 4
+    rows: int = 50_000
 
 
-LEADERBOARD = "candidate string, point string, score double, accuracy double, recall double"
+LEADERBOARD = "candidate string, point string, rung int, trees_share double, folds int, score double, accuracy double, recall double"
+
+
+def first_trees(model: Model, n: int) -> Model:
+    """The ensemble of a fitted ensemble's first ``n`` trees."""
+    if isinstance(model, OneVsRestModel):
+        return OneVsRestModel(models=[first_trees(m, n) for m in model.models])
+    java, gateway = model._java_obj, SparkContext.getOrCreate()._gateway
+    boosted = isinstance(model, GBTClassificationModel)
+    models, ml = gateway.jvm.org.apache.spark.ml.classification, gateway.jvm.org.apache.spark.ml
+    whole = java.trees()
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel if boosted else models.DecisionTreeClassificationModel, n)
+    for i in range(n):
+        trees[i] = whole[i]
+    if not boosted:
+        return RandomForestClassificationModel(models.RandomForestClassificationModel(java.uid(), trees, java.numFeatures(), java.numClasses()))
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i, weight in enumerate(model.treeWeights[:n]):
+        weights[i] = float(weight)
+    return GBTClassificationModel(models.GBTClassificationModel(java.uid(), trees, weights))
+
+
+@dataclass
+class _Fold:
+    """One fold, prepared for all fits on it: training vectors with weights, and test vectors."""
+
+    train: DataFrame
+    test: DataFrame
 
 
 def cross_validate(
@@ -89,59 +144,110 @@ def cross_validate(
     evaluator: Evaluator | None = None,
     missing: str = "mean",
     resample: Callable[[DataFrame], DataFrame] | None = None,
+    key: Sequence[str] = (),
+    race: Race | None = None,
 ) -> DataFrame:
-    """Mean scores over the folds for every grid point: ``candidate, point, score, accuracy, recall``.
+    """Mean scores of every grid point over the folds that it reached: ``candidate, point, rung, trees_share, folds,
+    score, accuracy, recall``.
 
-    ``resample`` changes the training part of each fold only, so that no made-up neighbour of a test
-    row is trained on. It gets the training rows with gaps filled.
+    Without ``race`` every point is fitted whole on every fold, which is the last rung of a race. ``resample`` changes
+    the training part of each fold only, so that no made-up neighbour of a test row is trained on. It gets the training
+    rows with gaps filled. ``key`` names a row uniquely and is needed where ``race`` bounds the rows.
     """
     evaluator = evaluator or MacroF1(labelCol=label)
+    rungs = race.rungs if race else ((1.0, folds),)
+    rungs = [(share, min(n, folds)) for share, n in rungs]
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared: dict[int, _Fold] = {}
+    board: dict[tuple[int, int], tuple] = {}
+    left = {c: list(range(len(candidate.grid))) for c, candidate in enumerate(candidates)}
     try:
-        sums = _fold_scores(df, candidates, features, fold, folds, label, evaluator, missing, resample)
+        for rung, (share, n) in enumerate(rungs):
+            for i in range(n):
+                if i not in prepared:
+                    prepared[i] = _prepare(df, features, fold, i, label, missing, resample, key, race.rows if race else None)
+            fits = [(c, points, i) for c, members in left.items() for points in _together(candidates[c], members) for i in range(n)]
+            with ThreadPoolExecutor(PARALLEL) as pool:
+                found = pool.map(lambda one: _scores(candidates[one[0]], one[1], share, prepared[one[2]], label, evaluator), fits)
+                sums: dict[tuple[int, int], list[float]] = {}
+                for (c, points, _), rows in zip(fits, found):
+                    for point, row in zip(points, rows):
+                        total = sums.setdefault((c, point), [0.0, 0.0, 0.0])
+                        for j, value in enumerate(row):
+                            total[j] += value / n
+            for (c, point), scores in sums.items():
+                board[c, point] = (candidates[c].name, str(dict(candidates[c].grid[point])), rung, float(share), n, *scores)
+            if race and rung + 1 < len(rungs):
+                for c, members in left.items():
+                    best = sorted(members, key=lambda point: [-round(v, 6) for v in sums[c, point]] + [point])
+                    left[c] = best[: max(1, len(best) // race.cut)]
     finally:
+        for one in prepared.values():
+            one.train.unpersist()
+            one.test.unpersist()
         df.unpersist()
-    rows = [(name, point, *scores) for (name, point), scores in sums.items()]
-    return df.sparkSession.createDataFrame(rows, LEADERBOARD)
-
-
-def _fold_scores(df, candidates, features, fold, folds, label, evaluator, missing, resample):
-    sums: dict[tuple[str, str], list[float]] = {}
-    for i in range(folds):
-        prepared = Pipeline(stages=preparation(features, missing)).fit(df.where(F.col(fold) != i))
-        test = prepared.transform(df.where(F.col(fold) == i)).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
-        train = df.where(F.col(fold) != i)
-        if resample is not None:
-            filled = prepared.transform(train)
-            train = resample(filled.select(*[c for c in df.columns if c not in features], *[F.col(f"__{c}").alias(c) for c in features]))
-        weighted = with_class_weights(train, label, WEIGHT)
-        fitted = kept(prepared.transform(weighted).select(label, WEIGHT, "features"))
-        try:
-
-            def scores(candidate: Candidate, point: Mapping[str, object]) -> tuple[float, float, float]:
-                model = candidate.make(**point).setLabelCol(label).fit(fitted)
-                predicted = model.transform(test).select(label, "prediction").persist(StorageLevel.MEMORY_AND_DISK)
-                plain = macro_metrics(predicted, label, "prediction").first()
-                found = (evaluator.evaluate(predicted), plain["accuracy"], plain["recall"])
-                predicted.unpersist()
-                return found
-
-            asked = [(candidate, point) for candidate in candidates for point in candidate.grid]
-            with ThreadPoolExecutor(PARALLEL) as pool:
-                results = pool.map(lambda one: scores(*one), asked)
-                for (candidate, point), found in zip(asked, results):
-                    total = sums.setdefault((candidate.name, str(dict(point))), [0.0, 0.0, 0.0])
-                    for j, value in enumerate(found):
-                        total[j] += value / folds
-        finally:
-            fitted.unpersist()
-            test.unpersist()
-    return sums
+    return df.sparkSession.createDataFrame(list(board.values()), LEADERBOARD)
+
+
+def _together(candidate: Candidate, members: Sequence[int]) -> list[list[int]]:
+    """The points by fit: those that differ in the number of trees alone share one, largest first."""
+    groups: dict[str, list[int]] = {}
+    for point in members:
+        rest = {k: v for k, v in candidate.grid[point].items() if k != candidate.grows}
+        groups.setdefault(str(sorted(rest.items())) if candidate.grows else str(point), []).append(point)
+    size = (lambda point: -candidate.grid[point].get(candidate.grows, 0)) if candidate.grows else (lambda point: 0)
+    return [sorted(points, key=size) for points in groups.values()]
+
+
+def _prepare(df, features, fold, i, label, missing, resample, key, max_rows) -> _Fold:
+    train, _ = bounded(df.where(F.col(fold) != i), key, max_rows)
+    filling = Pipeline(stages=preparation(features, missing)).fit(train)
+    test = kept(filling.transform(df.where(F.col(fold) == i)).select(label, "features"), 1)
+    if resample is not None:
+        filled = filling.transform(train)
+        train = resample(filled.select(*[c for c in df.columns if c not in features], *[F.col(f"__{c}").alias(c) for c in features]))
+    weighted = measured(filling.transform(with_class_weights(train, label, WEIGHT)).select(label, WEIGHT, "features"))
+    parts = max(1, -(-weighted.count() // FIT_ROWS))
+    return _Fold(weighted.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK), test)
+
+
+def _scores(candidate: Candidate, points: Sequence[int], share: float, data: _Fold, label: str, evaluator: Evaluator) -> list[tuple]:
+    """(score, accuracy, recall) of each point, from one fit of the largest."""
+    grown = candidate.grows
+
+    def trees(point: int) -> int:
+        return max(1, round(share * candidate.grid[point][grown]))
+
+    largest = dict(candidate.grid[points[0]])
+    if grown in largest:
+        largest[grown] = trees(points[0])
+    model = candidate.make(**largest).setLabelCol(label).fit(data.train)
+    found = []
+    for point in points:
+        smaller = model if point == points[0] else first_trees(model, trees(point))
+        predicted = smaller.transform(data.test).select(label, "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+        plain = macro_metrics(predicted, label, "prediction").first()
+        found.append((evaluator.evaluate(predicted), plain["accuracy"], plain["recall"]))
+        predicted.unpersist()
+    return found
+
+
+def bounded(df: DataFrame, key: Sequence[str], max_rows: int | None) -> tuple[DataFrame, int]:
+    """At most ``max_rows`` rows of ``df`` by seeded order of ``key``, and how many were left out."""
+    if max_rows is None:
+        return df, 0
+    over = max(0, df.count() - max_rows)
+    if over and not key:
+        raise ValueError("a bound on the rows needs the row key")
+    return (cap_rows(df, key, max_rows) if over else df), over
 
 
 def rank_candidates(board: DataFrame, digits: int = 6) -> DataFrame:
-    """The leaderboard with its ``place``, best first: by score, then accuracy, then recall; close scores are equal."""
+    """The leaderboard with its ``place``, best first: what came further in a race, then by score, accuracy and recall;
+    close scores are equal."""
     order = [F.desc(F.round(c, digits)) for c in ("score", "accuracy", "recall")]
+    if "rung" in board.columns:
+        order = [F.desc("rung"), *order]
     placed = board.withColumn("place", F.row_number().over(W.orderBy(*order, "candidate", "point")).cast("bigint"))
     return placed.orderBy("place")
 
@@ -162,19 +268,42 @@ def fit_classifier(
     estimator: Estimator,
     missing: str = "mean",
     resample: Callable[[DataFrame], DataFrame] | None = None,
+    key: Sequence[str] = (),
+    max_rows: int | None = None,
 ) -> PipelineModel:
-    """One pipeline from raw features to a class name, fitted with balanced class weights."""
+    """One pipeline from raw features to a class name, fitted with balanced class weights.
+
+    ``max_rows`` bounds the labelled rows that are fitted, by seeded order of ``key``; the model's attribute
+    ``rows_left_out`` says how many that leaves out. Evaluation and scoring have no such bound.
+    """
     index = label_index(df, target)
     known = index.transform(df.withColumn(target, F.col(target).cast("string")))
+    known, left_out = bounded(known, key, max_rows)
     prepared = Pipeline(stages=preparation(features, missing)).fit(known)
     train = known
     if resample is not None:
         filled = prepared.transform(known)
         train = resample(filled.select(*[c for c in known.columns if c not in features], *[F.col(f"__{c}").alias(c) for c in features]))
     weighted = with_class_weights(train, "label", WEIGHT)
-    vectors = kept(prepared.transform(weighted).select("label", WEIGHT, "features"))
+    vectors = measured(prepared.transform(weighted).select("label", WEIGHT, "features"))
+    vectors = vectors.repartition(max(1, -(-vectors.count() // FIT_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.setLabelCol("label").fit(vectors)
     finally:
         vectors.unpersist()
-    return PipelineModel(stages=[*prepared.stages, model, label_names(index)])
+    fitted = PipelineModel(stages=[*prepared.stages, model, label_names(index)])
+    fitted.rows_left_out = left_out
+    return fitted
+
+
+def fit_best(
+    df: DataFrame,
+    board: DataFrame,
+    candidates: Sequence[Candidate],
+    features: Sequence[str],
+    target: str,
+    **fit: object,
+) -> tuple[str, PipelineModel]:
+    """The family at the head of the leaderboard, and its point fitted on ``df`` by :func:`fit_classifier`."""
+    name, estimator = choose(board, candidates)
+    return name, fit_classifier(df, features, target, estimator, **fit)
