@@ -284,7 +284,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the readings at a time, by time; each run picks up where the last one stopped."""
-    folder, out, state, checkpoint = (work_path(spark, n) for n in ("messages", "lagged", "state", "checkpoint"))
+    folder, out, checkpoint = (work_path(spark, n) for n in ("messages", "lagged", "checkpoint"))
     raw = raw_readings(spark, sf_dir).select("obs_id", "time", "city", "temp_max")
     seconds = F.unix_timestamp(F.to_timestamp("time"))
     one, two = raw.agg(F.percentile_approx(seconds, [1 / 3, 2 / 3])).first()[0]
@@ -293,7 +293,5 @@ def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = ingest.read_messages(spark, folder, MESSAGE).select(
             "obs_id", "city", "temp_max", F.to_timestamp("time").alias("time")
         )
-        lag_stream(
-            stream, {"temp_lag_1": "temp_max"}, "city", ["time", "obs_id"], out, state, checkpoint
-        ).awaitTermination()
+        lag_stream(stream, {"temp_lag_1": "temp_max"}, "city", ["time", "obs_id"], out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select("obs_id", "city", "temp_lag_1", "late")

@@ -1,88 +1,103 @@
-"""The previous reading of an entity across micro-batches.
+"""The previous reading of an entity across micro-batches, kept in Spark's own state store.
 
-The batch operator works inside a micro-batch, entities of any size included. What one batch leaves for
-the next, the last reading of each entity, is a small table written under the number of its batch. A
-repeated batch reads the same earlier table and writes the same results again.
+State is one value per entity: its last reading. What a micro-batch brings of an entity is put in order and each
+reading takes its values from the one before, the first from the state. Spark versions the state with its
+checkpoint, so a repeated micro-batch starts from the same state and gives the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from obsloom.operators.joins import one_latest_per_key
-from obsloom.operators.windows import add_lags
-from obsloom.streaming.ingest import each_batch
+from obsloom.streaming.ingest import append_stream
 
-BATCH = "batch"
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LATE = "late"
 
 
-def _state_before(spark, path: str, batch_id: int, columns: Sequence[str]) -> DataFrame | None:
-    if batch_id == 0:
-        return None
-    try:
-        return spark.read.parquet(f"{path}/{BATCH}={batch_id - 1}").select(*columns)
-    except AnalysisException:
-        raise FileNotFoundError(f"the state of batch {batch_id - 1} is missing") from None
+class LastReading(StatefulProcessor):
+    """Rows of an entity with its reading before, and whether they came too late.
+
+    A row carries its place in the order as ``o0, o1, ..``, the values to look back to as ``v0, v1, ..`` and what is
+    passed on as ``r0, r1, ..``; structs would lose their types on the way to Python.
+    """
+
+    def __init__(self, state: T.StructType, columns: int):
+        self.state, self.columns = state, columns
+        self.order = [f.name for f in state.fields if f.name.startswith("o")]
+        self.values = [f.name for f in state.fields if f.name.startswith("v")]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", self.state)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        known = self.last.get() if self.last.exists() else None
+        before, bound = known, None if known is None else in_order(known[: len(self.order)])
+        placed = sorted(((in_order([row[c] for c in self.order]), row) for row in rows), key=lambda pair: pair[0])
+        for place, row in placed:
+            late = bound is not None and place <= bound
+            found = [None] * len(self.values) if late or before is None else before[len(self.order) :]
+            passed = {f"r{i}": row[f"r{i}"] for i in range(self.columns)}
+            yield Row(**passed, **{f"f{i}": value for i, value in enumerate(found)}, late=late)
+            if not late:
+                before = tuple(row[c] for c in (*self.order, *self.values))
+        if before is not None and before is not known:
+            self.last.update(before)
+
+    def close(self) -> None:
+        pass
 
 
-def lag_batch(
-    batch: DataFrame,
-    batch_id: int,
-    values: Mapping[str, str],
-    key: str,
-    order: Sequence[str],
-    out: str,
-    state: str,
-) -> None:
-    """One micro-batch: rows with lags and a ``late`` flag to ``out``, last readings to ``state``.
+def in_order(place: Sequence) -> tuple:
+    """Sorts like Spark's ascending order, NULL first."""
+    return tuple((value is not None, value) for value in place)
 
-    A row not after its entity's last reading of the earlier batches is late: it is written, but it is
-    no one's previous reading and has none itself.
+
+def with_state(spark: SparkSession) -> None:
+    """Keyed state needs the store that Spark ships for it; a session that names another one says so itself."""
+    if spark.conf.get(STORE, None) != ROCKS:
+        spark.conf.set(STORE, ROCKS)
+
+
+def lagged_stream(stream: DataFrame, values: Mapping[str, str], key: str, order: Sequence[str]) -> DataFrame:
+    """``stream`` with for each ``out: column`` the value of the entity's reading before, and ``late``.
+
+    ``order`` must be a total order within an entity. A row that is not after its entity's last reading of earlier
+    micro-batches is late: it is passed on, but it is no one's previous reading and has none itself. A NULL key is an
+    entity of its own. The readings that one micro-batch has of one entity meet in one task, so the source's limit
+    per micro-batch (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds them.
     """
-    spark = batch.sparkSession
-    carried = list(dict.fromkeys([key, *order, *values.values()]))
-    before = _state_before(spark, state, batch_id, carried)
-    if before is None:
-        marked = batch.withColumn("late", F.lit(False))
-    else:
-        last = before.select(F.col(key).alias("__key"), F.struct(*order).alias("__last"))
-        marked = (
-            batch.join(last, F.col(key).eqNullSafe(F.col("__key")), "left")
-            .withColumn("late", F.coalesce(F.struct(*order) <= F.col("__last"), F.lit(False)))
-            .drop("__key", "__last")
-        )
-    fresh = marked.where(~F.col("late"))
-    known = fresh.withColumn("__old", F.lit(False))
-    if before is not None:
-        old = before.withColumn("__old", F.lit(True))
-        known = known.unionByName(old, allowMissingColumns=True)
-    lagged = add_lags(known, values, key, order).where(~F.col("__old")).drop("__old")
-    gaps = {name: F.lit(None).cast(batch.schema[column].dataType) for name, column in values.items()}
-    late = marked.where("late").withColumns(gaps)
-    lagged.unionByName(late).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
-
-    readings = fresh.select(*carried)
-    if before is not None:
-        readings = readings.unionByName(before)
-    one_latest_per_key(readings, key, order).write.mode("overwrite").parquet(f"{state}/{BATCH}={batch_id}")
+    with_state(stream.sparkSession)
+    columns = stream.columns
+    instants = {f.name for f in stream.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    # instants are kept as numbers, which no time zone of a Python process can move
+    plain = lambda c: F.unix_micros(F.col(c)) if c in instants else F.col(c)
+    packed = stream.select(
+        F.col(key).alias("k"),
+        *[plain(c).alias(f"o{i}") for i, c in enumerate(order)],
+        *[plain(c).alias(f"v{i}") for i, c in enumerate(values.values())],
+        *[F.col(c).alias(f"r{i}") for i, c in enumerate(columns)],
+    )
+    kinds = packed.schema
+    state = T.StructType([f for f in kinds.fields if f.name[0] in "ov"])
+    shape = T.StructType(
+        [
+            *[f for f in kinds.fields if f.name[0] == "r"],
+            *[T.StructField(f"f{i}", kinds[f"v{i}"].dataType) for i in range(len(values))],
+            T.StructField(LATE, T.BooleanType()),
+        ]
+    )
+    found = packed.groupBy("k").transformWithState(LastReading(state, len(columns)), shape, "Append", "None")
+    lags = [(F.timestamp_micros(F.col(f"f{i}")) if c in instants else F.col(f"f{i}")).alias(out) for i, (out, c) in enumerate(values.items())]
+    return found.select(*[F.col(f"r{i}").alias(c) for i, c in enumerate(columns) if c not in values], *lags, LATE)
 
 
 def lag_stream(
-    stream: DataFrame,
-    values: Mapping[str, str],
-    key: str,
-    order: Sequence[str],
-    out: str,
-    state: str,
-    checkpoint: str,
+    stream: DataFrame, values: Mapping[str, str], key: str, order: Sequence[str], out: str, checkpoint: str
 ) -> StreamingQuery:
-    """:func:`add_lags` with offset 1 over a stream; ``order`` must be a total order within an entity."""
-
-    def work(batch: DataFrame, batch_id: int) -> None:
-        lag_batch(batch, batch_id, values, key, order, out, state)
-
-    return each_batch(stream, work, checkpoint)
+    """:func:`lagged_stream` appended to the Parquet folder ``out``, exactly once per reading."""
+    return append_stream(lagged_stream(stream, values, key, order), out, checkpoint)
