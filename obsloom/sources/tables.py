@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from obsloom.operators.sizes import measured
 from obsloom.session import checkpointed
 
 EVENT_DATE = "event_date"
@@ -73,15 +74,19 @@ def load_newest(df: DataFrame, path: str, key: Sequence[str], time: str, order:
     """
     spark = df.sparkSession
     new = with_event_date(df, time).withColumn(LOAD, F.lit(load_id))
-    days = [r[0] for r in new.select(EVENT_DATE).distinct().collect()]
+    days = measured(new.select(EVENT_DATE).distinct())
+    ends = days.agg(F.min(EVENT_DATE).alias("first"), F.max(EVENT_DATE).alias("last")).first()
     try:
         held = spark.read.parquet(path)
     except AnalysisException:
         held = None
     if held is not None:
-        at_hand = F.col(EVENT_DATE).isin([d for d in days if d is not None])
-        held = held.where(at_hand | F.col(EVENT_DATE).isNull() if None in days else at_hand)
-        new = new.unionByName(held.select(*new.columns))
+        # two literals prune the folders; which days between them are at hand says the table of days
+        near = F.col(EVENT_DATE).isNull()
+        if ends["first"] is not None:
+            near = near | F.col(EVENT_DATE).between(F.lit(ends["first"]), F.lit(ends["last"]))
+        same = held[EVENT_DATE].eqNullSafe(days[EVENT_DATE])
+        new = new.unionByName(held.where(near).join(days, same, "left_semi").select(*new.columns))
     # the table is read and written: the merged days are cut off from it first
     merged = checkpointed(newest_by_key(new, [*key, EVENT_DATE], [LOAD, *order]))
     (
