@@ -2,12 +2,15 @@
 
 1.  The documents fall into shards of a bounded number of characters, which are kept as word numbers and their words.
 2.  A phrase that occurs ``support`` times occurs in some shard at least as often as the shard's share of all
-    characters asks for. So each shard is mined at that lowered support, the locally frequent phrases are united in a
-    bitmap of fixed size, and every shard counts what the bitmap lets through; these counts are added up by the phrase.
-    What the bitmap lets through by mistake is counted exactly like the rest, so it never decides a result.
+    characters asks for. So each shard is mined at that lowered support and the locally frequent phrases are united.
+    With very many shards the lowered support comes near 1 and holds back little; therefore a shard hands on all of
+    its phrases, as sorted numbers of 40 bits with their counts and whether they are locally frequent, a few bytes
+    each. Where these are united, a phrase is dropped if it is locally frequent nowhere, or if the counts of its number
+    add up to less than ``support``. What is left goes into a bitmap of fixed size, every shard counts what the
+    bitmap lets through, and these counts are added up by the phrase itself. Phrases that share a number or a place in
+    the bitmap are counted like the rest, so neither decides a result.
 3.  This is done for one size after the other. A phrase is looked at only where both phrases without one of its end
-    words are frequent in the whole table: with very many shards the lowered support comes near 1 and holds back
-    little, and then this keeps the candidates few.
+    words are frequent in the whole table.
 4.  Cuts are scored by joins of the counted phrases with their own parts.
 
 Inside a shard phrases meet by hash, and equal hashes are compared word by word.
@@ -36,9 +39,11 @@ from obsloom.session import work_path
 #: Characters of a shard, and shards of a small table at least.
 SHARD, LEAST_SHARDS = 1 << 25, 8
 #: Bits of a bitmap of phrases (8 MB); each phrase sets two of them. It travels in so many slices.
-FILTER_BITS, SLICES = 26, 64
+FILTER_BITS, SLICES = 26, 16
 #: Characters whose words are told apart at once, and phrases in one batch of rows.
 TEXTS, ROWS = 1 << 22, 1 << 16
+#: Bits of a phrase's number, and ranges of numbers that are united on their own: so many for each shard, within limits.
+KEY_BITS, RANGES, RANGE_LIMITS = 40, 4, (8, 1 << 14)
 #: Between two pieces.
 BREAK = -1
 #: Parts of a language that are ordered on their own before their best phrases meet.
@@ -142,8 +147,34 @@ def unpacked(ids: bytes, words: bytes) -> tuple[np.ndarray, list[bytes]]:
 
 
 def bits_of(hashes: np.ndarray, width: int) -> list[np.ndarray]:
-    """The two places of each phrase in a bitmap of 2**width bits."""
-    return [(hashes & _U((1 << width) - 1)).astype(np.int64), (hashes >> _U(64 - width)).astype(np.int64)]
+    """The two places of each phrase, from its number, in a bitmap of 2**width bits."""
+    spread = mix(hashes >> _U(64 - KEY_BITS))
+    return [(spread & _U((1 << width) - 1)).astype(np.int64), (spread >> _U(64 - width)).astype(np.int64)]
+
+
+def packed(hashes: np.ndarray, count: np.ndarray, often: np.ndarray, support: int) -> bytes:
+    """Sorted hashes as numbers, counts up to ``support``, and marks, compressed."""
+    gaps = np.diff(hashes >> _U(64 - KEY_BITS), prepend=_U(0))
+    marked = np.minimum(count, support).astype(np.uint32) << 1 | often.astype(np.uint32)
+    planes = [c.view(np.uint8).reshape(len(hashes), -1).T for c in (gaps, marked)]
+    return zstandard.compress(np.concatenate(planes).tobytes(), 1)
+
+
+def counts_of(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``packed`` was given: numbers as hashes whose other bits are 0, counts, marks."""
+    planes = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8).reshape(12, -1)
+    gaps, marked = planes[:8].T.copy().view(np.uint64)[:, 0], planes[8:].T.copy().view(np.uint32)[:, 0]
+    return np.cumsum(gaps, dtype=np.uint64) << _U(64 - KEY_BITS), (marked >> 1).astype(np.int64), (marked & 1).astype(bool)
+
+
+def may_be_frequent(blobs: Iterable[bytes], support: int) -> np.ndarray:
+    """Numbers, as hashes, that are marked somewhere and whose counts add up to ``support``."""
+    hashes, counts, marks = (np.concatenate(c) for c in zip(*map(counts_of, blobs)))
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts, marks = hashes[order], counts[order], marks[order]
+    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    good = (np.add.reduceat(counts, starts) >= support) & np.logical_or.reduceat(marks, starts)
+    return hashes[starts][good]
 
 
 def among(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
@@ -240,18 +271,35 @@ def frequent_phrases(docs: DataFrame, rules: Rules = Rules(), shard: int = SHARD
     ).option("compression", "none").parquet(path)
     shards = docs.sparkSession.read.parquet(path)
     context = docs.sparkSession.sparkContext
+    ranges = min(max(RANGES * -(-chars // shard), RANGE_LIMITS[0]), RANGE_LIMITS[1])
     tables, parts = [], None
     for size in range(1, rules.most_words + 1):
         known = context.broadcast(parts)
 
         def local(batches: Iterator[pa.RecordBatch], size: int = size, known=known) -> Iterator[pa.RecordBatch]:
+            step = _U((1 << 64) // ranges + 1)
+            for _, of_shard, _, _, hashes, count, _ in _mined(batches, size, known.value):
+                if not len(hashes):
+                    continue
+                often = count >= -(-rules.support * of_shard // max(1, chars))
+                here = (hashes // step).astype(np.int64)
+                starts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])).tolist()
+                blobs = [packed(hashes[i:j], count[i:j], often[i:j], rules.support) for i, j in zip(starts, [*starts[1:], len(here)])]
+                yield pa.RecordBatch.from_arrays([pa.array(here[starts]), pa.array(blobs, pa.binary())], names=["range", "phrases"])
+
+        def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def frequent() -> Iterator[np.ndarray]:
-                for _, of_shard, _, _, hashes, count, _ in _mined(batches, size, known.value):
-                    yield hashes[count >= -(-rules.support * of_shard // max(1, chars))]
+                held: dict[int, list[bytes]] = {}
+                for batch in batches:
+                    for number, blob in zip(batch.column("range").to_pylist(), batch.column("phrases").to_pylist()):
+                        held.setdefault(number, []).append(blob)
+                while held:
+                    yield may_be_frequent(held.popitem()[1], rules.support)
 
             return _slices(frequent(), width)
 
-        candidates = context.broadcast(united(shards.mapInArrow(local, "slice long, bits binary"), width))
+        mined = shards.mapInArrow(local, "range long, phrases binary").repartition(ranges, "range")
+        candidates = context.broadcast(united(mined.mapInArrow(unite, "slice long, bits binary"), width))
 
         def counted(batches: Iterator[pa.RecordBatch], size: int = size, known=known, candidates=candidates) -> Iterator[pa.RecordBatch]:
             for lang, _, ids, words, hashes, count, place in _mined(batches, size, known.value):

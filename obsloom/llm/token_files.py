@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsloom.llm.byte_bpe import CHUNK, of_process, pieces, slices, split_tail
+from obsloom.llm.byte_bpe import CHUNK, TAIL, of_process, pieces, slices, split_tail
 from obsloom.llm.texts import pick, shuffle_partitions, text_mark, whole_text
 
 MAGIC, HASH_BYTES = b"TIDZ", 32
@@ -48,20 +48,6 @@ REMEMBERED = 900_000
 SHARD_SCHEMA = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens long, blob binary"
 
 
-class Known(dict):
-    """Ids of words; a word that is not there yet has none, is counted, and waits in ``new``."""
-
-    def __init__(self):
-        super().__init__({"": b""})
-        self.new: set[str] = set()
-        self.misses = 0
-
-    def __missing__(self, word: str) -> bytes:
-        self.new.add(word)
-        self.misses += 1
-        return b""
-
-
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space and lower-cases, so that words are encoded one by one.
 
@@ -80,7 +66,7 @@ class WordEncoder:
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
-        self.known = Known()
+        self.known: dict[str, bytes] = {"": b""}
 
     def _together(self, words: list[str], letters: bool) -> None:
         if not words:
@@ -103,11 +89,13 @@ class WordEncoder:
     def learn(self, words: Iterable[str]) -> None:
         known, split, wanted = self.known, [], set()
         for word in words:
-            core, tail = split_tail(word)
-            if core.isascii() and core.isalpha():
+            core, tail = split_tail(word) if word[-1:] in TAIL else (word, "")
+            if core.isascii() and core.isalpha() and not core.islower():
                 core = core.lower()
-            if core is not word:
-                split.append((word, core, tail))
+            if core is word:
+                wanted.add(word)
+                continue
+            split.append((word, core, tail))
             if core not in known:
                 wanted.add(core)
             if tail not in known:
@@ -127,8 +115,7 @@ class WordEncoder:
         for letters, batch in batches.items():
             self._together(batch, letters)
         for word, core, tail in split:
-            if word != core:
-                known[word] = known[core] + known[tail]
+            known[word] = known[core] + known[tail]
 
     def plain(self, text: str) -> bytes:
         """Ids of a whole text from the library, a bounded number of characters at a time."""
@@ -138,20 +125,13 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text. Only plain spaces and line ends separate words here."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = Known()
-        known, found, again = self.known, [], []
-        # most texts have no new word: one look at each word is enough for them
-        for i, words in enumerate(split):
-            before = known.misses
-            found.append(b"".join(map(known.__getitem__, words)))
-            if known.misses > before:
-                again.append(i)
-        new, known.new = known.new, set()
+        met = set().union(*split)
+        new = met.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {"": b""}
+            new = met - {""}
         self.learn(new)
-        for i in again:
-            found[i] = b"".join(map(known.__getitem__, split[i]))
-        return found
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def word_encoder(json: str, width: int) -> WordEncoder:

@@ -131,3 +131,21 @@ def test_phrases_of_one_hash_are_told_apart():
     assert sorted((tuple(ids[p : p + 2]), c) for p, c in zip(place, count)) == [((0, 1), 2), ((2, 3), 2), ((3, 0), 1)]
     _, count, place = C.phrases_of(ids, same, 1, None)
     assert sorted((int(ids[p]), int(c)) for p, c in zip(place, count)) == [(0, 3), (1, 2), (2, 2), (3, 2)]
+
+
+def test_numbers_add_up_over_shards():
+    rng = np.random.default_rng(5)
+    shards = []
+    total, marked = Counter(), set()
+    for _ in range(6):
+        hashes = np.unique(rng.integers(0, 1 << 64, size=300, dtype=np.uint64) & np.uint64(0xFF00000000FFFFFF) | np.uint64(7 << 50))
+        count = rng.integers(1, 9, size=len(hashes))
+        often = rng.random(len(hashes)) < 0.3
+        shards.append(C.packed(hashes, count, often, 12))
+        for h, n, o in zip((hashes >> np.uint64(24)).tolist(), count.tolist(), often.tolist()):
+            total[h] += n
+            marked |= {h} if o else set()
+        back, counts, marks = C.counts_of(shards[-1])
+        assert (back >> np.uint64(24) == hashes >> np.uint64(24)).all() and (counts == np.minimum(count, 12)).all() and (marks == often).all()
+    got = {int(h) >> 24 for h in C.may_be_frequent(shards, 12)}
+    assert got == {h for h, n in total.items() if n >= 12 and h in marked} and got
