@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from obsloom.operators.profile import value_counts
 from obsloom.operators.quantiles import quantiles
 
 
@@ -14,13 +15,8 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Values are counted across the cluster; only the counts of distinct values meet.
     """
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    counted = (
-        df.select(F.inline(F.array(*entries)))
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counted = value_counts(texts, columns).where(F.col("value").isNotNull())
     return counted.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -12,6 +13,8 @@ from obsloom.operators.conform import family
 from obsloom.operators.quantiles import quantiles
 
 SEP = "__of__"
+#: Registers of a sketch of different values, as a power of two.
+SKETCH_BITS = 12
 
 
 def _long(row: DataFrame, columns: Sequence[str], parts: Sequence[str]) -> DataFrame:
@@ -52,20 +55,48 @@ def duplicate_audit(df: DataFrame) -> DataFrame:
     return totals.withColumn("duplicate_rows", extra).withColumn("duplicate_pct", half_up(share, 2))
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, value, n``: every column's values as text, counted across the cluster."""
-    entries = []
-    for name in columns:
-        kind = df.schema[name].dataType
-        value = F.col(name)
-        if isinstance(kind, (T.DoubleType, T.FloatType)):
-            value = value + F.lit(0.0)  # minus zero is zero
-        elif isinstance(kind, T.TimestampType):
-            value = F.unix_micros(value)  # as text, the two instants of a repeated hour would be one
-        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
-            value = F.when(value.isNotNull(), F.to_json(F.struct(value)))
-        entries.append(F.struct(F.lit(name).alias("column"), value.cast("string").alias("value")))
-    return df.select(F.inline(F.array(*entries))).groupBy("column", "value").agg(F.count("value").alias("n"))
+def as_text(df: DataFrame, name: str) -> Column:
+    """The column's values as text, different ones as different texts."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0.0)  # minus zero is zero
+    elif isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)  # as text, the two instants of a repeated hour would be one
+    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        value = F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return value.cast("string")
+
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, value, n``: every column's values as text, counted across the cluster.
+
+    Each column is one scan of itself alone whose values are combined before they are shuffled; no row is made
+    for a cell. NULL has a row with ``n`` 0.
+    """
+    counted = [
+        df.select(as_text(df, c).alias("value")).groupBy("value").agg(F.count("value").alias("n")).select(F.lit(c).alias("column"), "value", "n")
+        for c in columns
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """One row per group, by day for instance, with a sketch of each column's different values.
+
+    Kept as a table, sketches of new groups are added as data come in, and :func:`merged_distincts` answers for any
+    set of groups without the rows.
+    """
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(as_text(df, c), F.lit(SKETCH_BITS)).alias(c) for c in columns])
+
+
+def merged_distincts(sketches: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by, column, distinct_n`` over all groups of :func:`distinct_sketches`, or by some of its columns.
+
+    An estimate: with 4,096 registers the standard error is about 1.3 %, and a few hundred values are counted exactly.
+    """
+    merged = sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"__{c}") for c in columns])
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"__{c}").alias("distinct_n")) for c in columns]
+    return merged.select(*by, F.inline(F.array(*entries)))
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], found: DataFrame, counts: Sequence[str]) -> DataFrame:
@@ -77,19 +108,19 @@ def _per_column(df: DataFrame, columns: Sequence[str], found: DataFrame, counts:
 def distinct_counts(df: DataFrame, columns: Sequence[str], rsd: float | None = None) -> DataFrame:
     """``column, distinct_n``; approximate with relative error ``rsd`` when given.
 
-    Exact counts go by (column, value): narrow keys, where Spark's several distinct aggregates at once
-    would repeat every row as wide as it is.
+    Exact counts go column by column, where Spark's several distinct aggregates at once would repeat every row as wide
+    as it is.
     """
     if rsd is not None:
         counts = [_named(F.approx_count_distinct(c, rsd), "distinct_n", c) for c in columns]
         return _long(df.agg(*counts), columns, ["distinct_n"])
-    found = _value_counts(df, columns).groupBy("column").agg(F.count("value").alias("distinct_n"))
+    found = value_counts(df, columns).groupBy("column").agg(F.count("value").alias("distinct_n"))
     return _per_column(df, columns, found, ["distinct_n"])
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """``column, family, non_null, distinct_n`` for every column."""
-    counts = _value_counts(df, df.columns).groupBy("column")
+    counts = value_counts(df, df.columns).groupBy("column")
     found = counts.agg(F.sum("n").alias("non_null"), F.count("value").alias("distinct_n"))
     kind = F.lit(None).cast("string")
     for field in df.schema.fields:

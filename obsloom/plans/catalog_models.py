@@ -141,7 +141,40 @@ def nearest_in_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("smote_balanced")
+def _fraction_sql(*parts: str) -> str:
+    return f"(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::bigint::double / 4294967296::double)"
+
+
+NEIGHBOUR, STEP = "'neighbour'", "'step'"
+#: Points a and b, in SQL: other points by distance and values, the point's own copies before them.
+_APART = "sqrt((a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2))"
+
+
+@query(
+    "smote_balanced",
+    over_observations(
+        "select extreme, x0 as temp_max, x1 as wind_speed, x2 as pressure, false as synthetic from l union all "
+        "select c.extreme, c.x0 + c.step * (n.b0 - c.x0), c.x1 + c.step * (n.b1 - c.x1), c.x2 + c.step * (n.b2 - c.x2), true "
+        "from child c join near n on n.extreme = c.extreme and n.x0 = c.x0 and n.x1 = c.x1 and n.x2 = c.x2 "
+        "and n.upto > c.choice and n.upto - n.times <= c.choice",
+        f"l as (select * from (select {label_v1_sql()} as extreme, obs_id, temp_max as x0, wind_speed as x1, pressure as x2 from obs) "
+        "where extreme is not null and x0 is not null and x1 is not null and x2 is not null)",
+        "size as (select extreme, count(*) as n, max(count(*)) over () - count(*) as missing from l group by extreme)",
+        "p as (select extreme, x0, x1, x2, count(*) as copies from l semi join (select * from size where missing > 0) using (extreme) group by all)",
+        f"other as (select a.extreme, a.x0, a.x1, a.x2, b.x0 as b0, b.x1 as b1, b.x2 as b2, b.copies, {_APART} as d "
+        "from p a join p b on a.extreme = b.extreme and not (a.x0 = b.x0 and a.x1 = b.x1 and a.x2 = b.x2) "
+        "qualify row_number() over (partition by a.extreme, a.x0, a.x1, a.x2 order by d, b0, b1, b2) <= 3)",
+        "entry as (select extreme, x0, x1, x2, x0 as b0, x1 as b1, x2 as b2, least(copies - 1, 3) as times, -1::double as d from p "
+        "union all select extreme, x0, x1, x2, b0, b1, b2, least(copies, 3), d from other)",
+        "near as (select *, sum(times) over (partition by extreme, x0, x1, x2 order by d, b0, b1, b2) as upto from entry)",
+        "ordered as (select l.*, s.n, s.missing, md5(concat_ws('|', obs_id, '42')) as h from l join size s using (extreme) where s.missing > 0)",
+        "placed as (select *, missing // n + case when row_number() over (partition by extreme order by h, obs_id) <= missing % n "
+        "then 1 else 0 end as times from ordered)",
+        "each as (select *, unnest(range(0, times)) as i from placed)",
+        f"child as (select *, floor({_fraction_sql('h', 'i', NEIGHBOUR)} * least(3, n - 1)) as choice, "
+        f"{_fraction_sql('h', 'i', STEP)} as step from each)",
+    ),
+)
 def smote_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = observations(spark, sf_dir).withColumn("extreme", weather.extreme("v1"))
     return oversample(df, "extreme", NEAR_FEATURES, ["obs_id"])

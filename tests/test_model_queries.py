@@ -2,6 +2,7 @@
 
 import pytest
 
+from obsloom.operators import training as TR
 from obsloom.plans import catalog_models as M
 
 
@@ -20,23 +21,25 @@ def test_cities_are_swept_whole(monkeypatch, name):
     assert found.value.args == ({},)
 
 
+def test_the_race_has_all_points_of_the_grids_and_all_folds():
+    points = {c.name: [{k: v for k, v in p.items() if k != "classes"} for p in c.grid] for c in M.extreme_candidates()}
+    assert points == {"forest": M.TR.FOREST_GRID, "boosted": M.TR.BOOST_GRID + M.TR.WIDE_BOOST_GRID}
+    assert M.RACE.rungs[-1] == (1.0, 3) and all(share <= 1.0 and folds >= 1 for share, folds in M.RACE.rungs)
+
+
+def small_race(monkeypatch):
+    """The same queries with small models on a few rows; the search itself is as it is."""
+    monkeypatch.setattr(M, "RACE", TR.Race(rungs=((0.5, 1), (1.0, 2)), cut=4, rows=80))
+    monkeypatch.setattr(M.TR, "FOREST_GRID", [{"trees": t, "depth": d} for t in (2, 4) for d in (2, 3)])
+    monkeypatch.setattr(M.TR, "BOOST_GRID", [{"rounds": 2, "rate": r, "depth": 1} for r in (0.05, 0.1)])
+    monkeypatch.setattr(M.TR, "WIDE_BOOST_GRID", [{"rounds": n, "rate": 0.1, "depth": 2} for n in (2, 4)])
+
+
 @pytest.mark.parametrize("name", ["cv_leaderboard", "rain_candidates"])
-def test_all_grids_are_searched(monkeypatch, name):
-    asked = []
-
-    class Rows:
-        def withColumn(self, *args):
-            return self
-
-        def transform(self, df):
-            return df
-
-    monkeypatch.setattr(M, "model_rows", lambda spark, sf_dir: Rows())
-    monkeypatch.setattr(M, "mark_folds", lambda df, *args: df)
-    monkeypatch.setattr(M.F, "col", lambda name: type("C", (), {"cast": lambda self, kind: None})())
-    monkeypatch.setattr(M.TR, "label_index", lambda df, label: Rows())
-    monkeypatch.setattr(M.TR, "cross_validate", lambda df, candidates, *args, **more: asked.extend(candidates))
-    monkeypatch.setattr(M.TR, "rank_candidates", lambda board: board)
-    getattr(M, name)(None, "")
-    grids = {c.name: [{k: v for k, v in p.items() if k != "classes"} for p in c.grid] for c in asked}
-    assert grids == {"forest": M.TR.FOREST_GRID, "boosted": M.TR.BOOST_GRID + M.TR.WIDE_BOOST_GRID}
+def test_leaderboards_end_with_every_point_in_its_place(spark, sf_dir, monkeypatch, name):
+    small_race(monkeypatch)
+    rows = getattr(M, name)(spark, sf_dir).collect()
+    assert len(rows) == 8 and [r["place"] for r in rows] == list(range(1, 9))
+    keys = [(-r["rung"], -round(r["score"], 6), -round(r["accuracy"], 6), -round(r["recall"], 6)) for r in rows]
+    assert keys == sorted(keys) and {r["candidate"] for r in rows if r["rung"] == 1} == {"forest", "boosted"}
+    assert all(0 <= r[c] <= 1 for r in rows for c in ("score", "accuracy", "recall"))

@@ -13,7 +13,7 @@ from obsloom.operators.mining import itemsets, rules
 from obsloom.operators import neighbours
 from obsloom.operators.neighbours import nearest_neighbours
 from obsloom.operators.oversample import oversample
-from obsloom.operators.profile import distinct_counts, histogram, null_audit
+from obsloom.operators.profile import column_profile, distinct_counts, distinct_sketches, histogram, merged_distincts, null_audit
 from obsloom.operators.quantiles import quantiles
 from obsloom.operators.splitting import cap_rows, mark_folds, mark_split
 from obsloom.operators.ranges import cut_points, range_number, with_place
@@ -317,6 +317,29 @@ def test_two_instants_of_a_repeated_hour_are_two_values(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_sketches_of_days_merge_to_the_whole(spark):
+    """Kept per day and merged: exact for few values, within four standard errors for many."""
+    df = spark.range(200_000).select((F.col("id") % 30).alias("day"), (F.col("id") % 300).alias("few"), F.col("id").alias("many"),
+                                     F.when(F.col("id") % 3 > 0, F.col("id") * 7 % 60_013).alias("gaps"))
+    path = work_path(spark, "sketches")
+    for part in (F.col("day") < 10, F.col("day") >= 10):
+        distinct_sketches(df.where(part), ["few", "many", "gaps"], ["day"]).write.mode("append").parquet(path)
+    kept = spark.read.parquet(path)
+    assert kept.count() == 30
+    found = {r["column"]: r["distinct_n"] for r in merged_distincts(kept, ["few", "many", "gaps"]).collect()}
+    exact = {r["column"]: r["distinct_n"] for r in distinct_counts(df, ["few", "many", "gaps"]).collect()}
+    assert found["few"] == exact["few"] == 300 and exact["many"] == 200_000
+    assert all(abs(found[c] - exact[c]) <= 4 * 0.013 * exact[c] for c in found)
+    by_day = merged_distincts(kept, ["few"], ["day"]).collect()
+    assert len(by_day) == 30 and {r["distinct_n"] for r in by_day} == {10}
+
+
+def test_profiles_make_no_row_for_a_cell(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    physical = column_profile(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in physical and "Expand" not in physical
+
+
 def jobs_of(spark, group, work):
     spark.sparkContext.setJobGroup(group, group)
     work()
