@@ -26,8 +26,14 @@ LONG_LINE = 200
 #: A repeated chunk goes if it has two lines or more with these words together, or, whatever its lines, those.
 FEWEST_LINES, FEWEST_WORDS, LONG_PASSAGE = 2, 10, 50
 
-#: Scripts without spaces between words: this many of their characters count as one word.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Blocks of scripts without spaces between words, as ranges of code points.
+UNSPACED_BLOCKS = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3040, 0x30FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF),
+]
+#: This many of their characters count as one word. A text without a character from the first block on has none of them.
+UNSPACED = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED_BLOCKS) + "]"
+BEYOND = rf"[\x{{{UNSPACED_BLOCKS[0][0]:X}}}-\x{{10FFFF}}]"
 UNSPACED_WORD = 2
 
 DOC = ("doc_id", "mark")
@@ -83,12 +89,14 @@ def repeated_chunks(found: DataFrame) -> DataFrame:
     return grouped.filter((F.col("n") > 1) & (F.size("texts") == 1)).filter(big).select("hash", "stays")
 
 
-def line_weight(line: Column) -> Column:
-    """Length of a line; ``UNSPACED_WORD`` for each word, and one for each character of a script without spaces."""
-    words = lambda text: UNSPACED_WORD * F.size(words_of(text))
+def line_weight(line: Column, unspaced: Column) -> Column:
+    """Length of a line in which every run of white space is one space; ``UNSPACED_WORD`` for each word, and one for each
+    character of a script without spaces, where the text may have such characters."""
+    trimmed = F.btrim(line, F.lit(" "))
+    words = F.when(trimmed == "", 0).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1)
     spaced = F.regexp_replace(line, UNSPACED, " ")
-    counted = words(spaced) + F.length(F.regexp_replace(line, f"[^{UNSPACED[1:]}", ""))
-    return F.when(F.octet_length(line) == F.length(line), words(line)).otherwise(counted)
+    counted = UNSPACED_WORD * F.size(words_of(spaced)) + F.length(F.regexp_replace(line, f"[^{UNSPACED[1:]}", ""))
+    return F.when(unspaced, counted).otherwise(UNSPACED_WORD * words)
 
 
 #: Lines among which a window's end is looked for first; most windows are shorter.
@@ -98,8 +106,12 @@ NEAR_LINES = 8
 def weighed_lines(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, mark, ``spoken`` (place and weight of the lines with a word), and the lines' hashes."""
     rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
-    lined = rows.select("doc_id", text_mark(F.col("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
-    weighed = F.transform("lines", lambda line, i: F.struct(i.alias("place"), line_weight(line).alias("weight")))
+    tidy = F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]+", " ")
+    lined = rows.select(
+        "doc_id", text_mark(F.col("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"), F.split(tidy, "\n", -1).alias("tidy"),
+        F.col("text").rlike(BEYOND).alias("unspaced"),
+    )
+    weighed = F.transform("tidy", lambda line, i: F.struct(i.alias("place"), line_weight(line, F.col("unspaced")).alias("weight")))
     return lined.select(
         *DOC, F.filter(weighed, lambda x: x["weight"] > 0).alias("spoken"),
         F.transform("lines", lambda line: F.unhex(F.md5(line.cast("binary")))).alias("hashes"),

@@ -1,5 +1,6 @@
 """DuckDB texts that say the same as the queries."""
 
+from obsloom.llm.line_dedup import UNSPACED
 from obsloom.llm.secrets import BASE_RULES, RULES
 
 EXACT_DEDUP = r"""
@@ -155,8 +156,8 @@ ranked as (
 ),
 weighed as (
   select doc_id, i, line, case when strlen(line) = length(line) then 2 * len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))
-    else 2 * len(regexp_extract_all(regexp_replace(line, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', ' ', 'g'), '[^\x20\x09-\x0D]+'))
-      + length(regexp_replace(line, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', '', 'g')) end as w
+    else 2 * len(regexp_extract_all(regexp_replace(line, '[UNSPACED]', ' ', 'g'), '[^\x20\x09-\x0D]+'))
+      + length(regexp_replace(line, '[^UNSPACED]', '', 'g')) end as w
   from (select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i from d)
 ),
 spoken as (select doc_id, i, w, sum(w) over (partition by doc_id order by i) as upto from weighed where w > 0),
@@ -185,6 +186,7 @@ kept as (
 select d.doc_id, len(d.l) as n_lines, coalesce(g.n_lines, 0) as n_removed_lines, coalesce(k.t, '') as clean_text
 from d left join per_doc g using (doc_id) left join kept k using (doc_id)
 """
+LINES = LINES.replace("UNSPACED", UNSPACED[1:-1])
 
 COLLOCATIONS = r"""
 with t as (
