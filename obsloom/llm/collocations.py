@@ -8,7 +8,7 @@
     each. Where these are united, a phrase is dropped if it is locally frequent nowhere, or if the counts of its number
     add up to less than ``support``. What is left goes into a bitmap of fixed size, every shard counts what the
     bitmap lets through, and these counts are added up by the phrase itself. Phrases that share a number or a place in
-    the bitmap are counted like the rest, so neither decides a result.
+    the bitmap are counted like the rest, so neither decides a result. These counts travel packed as well, by range.
 3.  This is done for one size after the other. A phrase is looked at only where both phrases without one of its end
     words are frequent in the whole table.
 4.  Cuts are scored by joins of the counted phrases with their own parts.
@@ -40,8 +40,8 @@ from obsloom.session import work_path
 SHARD, LEAST_SHARDS = 1 << 25, 8
 #: Bits of a bitmap of phrases (8 MB); each phrase sets two of them. It travels in so many slices.
 FILTER_BITS, SLICES = 26, 16
-#: Characters whose words are told apart at once, and phrases in one batch of rows.
-TEXTS, ROWS = 1 << 22, 1 << 16
+#: Characters whose words are told apart at once.
+TEXTS = 1 << 22
 #: Bits of a phrase's number, and ranges of numbers that are united on their own: so many for each shard, within limits.
 KEY_BITS, RANGES, RANGE_LIMITS = 40, 4, (8, 1 << 14)
 #: Between two pieces.
@@ -177,6 +177,31 @@ def may_be_frequent(blobs: Iterable[bytes], support: int) -> np.ndarray:
     return hashes[starts][good]
 
 
+def tallied(hashes: np.ndarray, count: np.ndarray, phrases: list[bytes]) -> bytes:
+    """Phrases with their hashes and counts, compressed; no phrase holds a line end."""
+    planes = np.stack([hashes.view(np.int64), count.astype(np.int64)]).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1)
+    return zstandard.compress(len(phrases).to_bytes(4, "little") + planes.tobytes() + b"\n".join(phrases), 1)
+
+
+def sums_of(blobs: Iterable[bytes], support: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(phrase, hash, n) of the phrases whose counts in all blobs add up to ``support``, compared by their bytes."""
+    phrases, numbers = [], []
+    for blob in blobs:
+        raw = zstandard.decompress(blob)
+        n = int.from_bytes(raw[:4], "little")
+        planes = np.frombuffer(raw, dtype=np.uint8, count=16 * n, offset=4).reshape(2, 8, n)
+        numbers.append(planes.transpose(0, 2, 1).copy().view(np.int64)[:, :, 0])
+        phrases += raw[4 + 16 * n :].split(b"\n")
+    hashes, count = np.concatenate(numbers, axis=1)
+    named = pa.array(phrases, pa.binary()).dictionary_encode()
+    code = named.indices.to_numpy()
+    total, own = np.zeros(len(named.dictionary), dtype=np.int64), np.zeros(len(named.dictionary), dtype=np.int64)
+    np.add.at(total, code, count)
+    own[code] = hashes
+    often = np.flatnonzero(total >= support)
+    return named.dictionary.take(pa.array(often)), own[often], total[often]
+
+
 def among(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     """Which phrases the bitmap, bytes of 8 bits, may hold."""
     width = 2 + len(bitmap).bit_length()
@@ -302,23 +327,35 @@ def frequent_phrases(docs: DataFrame, rules: Rules = Rules(), shard: int = SHARD
         candidates = context.broadcast(united(mined.mapInArrow(unite, "slice long, bits binary"), width))
 
         def counted(batches: Iterator[pa.RecordBatch], size: int = size, known=known, candidates=candidates) -> Iterator[pa.RecordBatch]:
+            step = _U((1 << 64) // ranges + 1)
             for lang, _, ids, words, hashes, count, place in _mined(batches, size, known.value):
                 chosen = np.flatnonzero(among(hashes, candidates.value))
+                if not len(chosen):
+                    continue
                 vocabulary = pa.array(words, pa.binary())
-                for start in range(0, len(chosen), ROWS):
-                    some = chosen[start : start + ROWS]
-                    spelled = [vocabulary.take(pa.array(ids[place[some] + k])) for k in range(size)]
-                    phrase = pc.binary_join_element_wise(*spelled, pa.scalar(b" ", pa.binary())) if size > 1 else spelled[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(some), pa.string()), phrase.cast(pa.string()),
-                            pa.array(hashes[some].view(np.int64)), pa.array(count[some].astype(np.int64)),
-                        ],
-                        names=["lang", "phrase", "hash", "n"],
-                    )
-
-        whole = shards.mapInArrow(counted, "lang string, phrase string, hash long, n long").groupBy("lang", "phrase")
-        found = whole.agg(F.first("hash").alias("hash"), F.sum("n").alias("n")).filter(F.col("n") >= rules.support)
+                spelled = [vocabulary.take(pa.array(ids[place[chosen] + k])) for k in range(size)]
+                phrase = pc.binary_join_element_wise(*spelled, pa.scalar(b" ", pa.binary())).to_pylist() if size > 1 else spelled[0].to_pylist()
+                hashes, count, here = hashes[chosen], count[chosen], (hashes[chosen] // step).astype(np.int64)
+                starts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])).tolist()
+                blobs = [tallied(hashes[i:j], count[i:j], phrase[i:j]) for i, j in zip(starts, [*starts[1:], len(here)])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(here[starts]), pa.array([lang] * len(starts), pa.string()), pa.array(blobs, pa.binary())], names=["range", "lang", "phrases"]
+                )
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[int, str], list[bytes]] = {}
+            for batch in batches:
+                for number, lang, blob in zip(*[batch.column(c).to_pylist() for c in ("range", "lang", "phrases")]):
+                    held.setdefault((number, lang), []).append(blob)
+            while held:
+                (_, lang), blobs = held.popitem()
+                phrase, hashes, n = sums_of(blobs, rules.support)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(n), pa.string()), phrase.cast(pa.string()), pa.array(hashes), pa.array(n)], names=["lang", "phrase", "hash", "n"]
+                )
+
+        dealt = shards.mapInArrow(counted, "range long, lang string, phrases binary").repartition(ranges, "range")
+        found = dealt.mapInArrow(added, "lang string, phrase string, hash long, n long")
         tables.append(stored(found.withColumn("n_words", F.lit(size)), "phrases"))
         if tables[-1].isEmpty():
             break

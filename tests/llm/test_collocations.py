@@ -149,3 +149,10 @@ def test_numbers_add_up_over_shards():
         assert (back >> np.uint64(24) == hashes >> np.uint64(24)).all() and (counts == np.minimum(count, 12)).all() and (marks == often).all()
     got = {int(h) >> 24 for h in C.may_be_frequent(shards, 12)}
     assert got == {h for h, n in total.items() if n >= 12 and h in marked} and got
+
+
+def test_counts_of_equal_phrases_add_up():
+    one = C.tallied(np.array([5, 2**63 + 1], dtype=np.uint64), np.array([3, 4]), ["é x".encode(), b"a"])
+    other = C.tallied(np.array([7, 2**63 + 1], dtype=np.uint64), np.array([9, 2**40]), [b"b c", b"a"])
+    phrase, hashes, n = C.sums_of([one, other], 4)
+    assert sorted(zip(phrase.to_pylist(), hashes.view(np.uint64).tolist(), n.tolist())) == [(b"a", 2**63 + 1, 2**40 + 4), (b"b c", 7, 9)]
