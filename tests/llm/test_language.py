@@ -74,10 +74,11 @@ def test_any_of_six_languages_can_be_mixed():
 
 
 def plain_trigrams(text):
-    """Trigrams of lower-case letters, every run of other characters one space, by a plain loop."""
-    spaced = ""
+    """Trigrams of lower-case letters, every run of other characters and both ends one space, by a plain loop."""
+    spaced = " "
     for char in text.replace("\0", " ").lower():
         spaced += char if char.isalpha() else "" if spaced.endswith(" ") else " "
+    spaced += "" if spaced.endswith(" ") else " "
     found = [spaced[i : i + 3] for i in range(len(spaced) - 2)]
     return Counter(g for g in found if g[1] != " " or (g[0] != " " and g[2] != " "))
 
