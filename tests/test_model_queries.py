@@ -43,3 +43,11 @@ def test_leaderboards_end_with_every_point_in_its_place(spark, sf_dir, monkeypat
     keys = [(-r["rung"], -round(r["score"], 6), -round(r["accuracy"], 6), -round(r["recall"], 6)) for r in rows]
     assert keys == sorted(keys) and {r["candidate"] for r in rows if r["rung"] == 1} == {"forest", "boosted"}
     assert all(0 <= r[c] <= 1 for r in rows for c in ("score", "accuracy", "recall"))
+
+
+def test_model_rows_are_made_once_and_read_from_files(spark, sf_dir):
+    """Fitting passes over them a dozen times; without the files every pass would make the lags again."""
+    rows = M.model_rows(spark, sf_dir)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
+    assert rows.count() == M.observations(spark, sf_dir).count()

@@ -371,3 +371,12 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_quantity > 45").groupBy("l_returnflag").count()
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,45.0)" in text and "l_extendedprice" not in text
+
+
+def test_a_join_on_range_numbers_does_not_bisect_twice(spark):
+    from obsloom.operators.ranges import range_number
+
+    rows = spark.range(10).select("id", F.expr("nullif(id, 3)").alias("x"))
+    numbered = rows.withColumn("r", range_number(rows, ["x"], [[2], [5]]))
+    assert not numbered.schema["r"].nullable
+    assert [r["r"] for r in numbered.orderBy("id").collect()] == [0, 0, 1, 0, 1, 2, 2, 2, 2, 2]
