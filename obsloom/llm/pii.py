@@ -59,7 +59,9 @@ DIGIT_WORDS = {
 
 _ALL_ALIKE = alike()
 _TABLE = str.maketrans(_ALL_ALIKE)
-_ALIKE = re.compile("[" + re.escape("".join(_ALL_ALIKE)) + "]")
+#: ``re`` looks a character up in a table only where the class has none beyond U+FFFF, else it goes through all its ranges.
+_ALIKE = re.compile("[" + re.escape("".join(c for c in _ALL_ALIKE if c <= "\uffff")) + "]")
+_FAR = re.compile("[\U00010000-\U0010ffff]")
 _UNSEEN = re.compile("[­​-‍⁠﻿]")
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 _ITEM = f"(?:{_WORD}|[0-9]{{1,4}})"
@@ -182,9 +184,14 @@ class Rewritten:
         self.text, self.starts, self.sources, self.copied = "".join(parts), starts or [0], sources or [0], copied or [True]
 
 
+def has_alike(text: str) -> bool:
+    """Whether a character stands for an ASCII one."""
+    return not text.isascii() and (_ALIKE.search(text) is not None or not _ALL_ALIKE.keys().isdisjoint(_FAR.findall(text)))
+
+
 def deobfuscate(text: str) -> Rewritten | None:
     """The text without disguises, or None where it has none."""
-    plain = text if text.isascii() or not _ALIKE.search(text) else text.translate(_TABLE)
+    plain = text.translate(_TABLE) if has_alike(text) else text
     unseen = None if text.isascii() else _UNSEEN.search(plain)
     hint = _HINT.search(plain)
     said = DIGIT_WORDS.keys() & set(plain.lower().replace("-", " ").replace(",", " ").split(" "))

@@ -188,3 +188,17 @@ def test_a_second_scan_moves_no_text(spark):
     assert spark.read.parquet(ledger).count() == scans == 61 and set(spark.read.parquet(ledger).inputFiles()) == set(files)
     found = {r["doc_id"]: len(r["spans"]) for r in secrets.findings(docs, ledger).collect()}
     assert len(found) == 100 and all(found[i] == (i < 60 and i % 3 == 0) for i in found)
+
+
+def test_look_alikes_of_every_plane_are_seen_and_searched_fast():
+    assert all(pii.has_alike(f"漢😀{c}字") for c in pii._ALL_ALIKE) and not pii.has_alike("漢字 é 😀 𝄞") and not pii.has_alike("plain")
+
+    def seconds(text, n):
+        begun = time.process_time()
+        for _ in range(n):
+            assert pii.deobfuscate(text) is None
+        return time.process_time() - begun
+
+    # a class with characters beyond U+FFFF took over eighty times as long here as an ASCII text
+    wide, plain = "漢字かな交じり文" * 4000, "ordinary" * 4000
+    assert min(seconds(wide, 5) for _ in range(3)) < 12 * min(seconds(plain, 5) for _ in range(3)) + 0.02
