@@ -35,6 +35,9 @@ UNSPACED_BLOCKS = [
 UNSPACED = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED_BLOCKS) + "]"
 BEYOND = rf"[\x{{{UNSPACED_BLOCKS[0][0]:X}}}-\x{{10FFFF}}]"
 UNSPACED_WORD = 2
+#: White space within a line, and runs of it that are not one space.
+SPACES = r"\x20\x09\x0B-\x0D"
+RAGGED = rf"\x20[{SPACES}]+|[\x09\x0B-\x0D][{SPACES}]*"
 
 DOC = ("doc_id", "mark")
 
@@ -89,14 +92,24 @@ def repeated_chunks(found: DataFrame) -> DataFrame:
     return grouped.filter((F.col("n") > 1) & (F.size("texts") == 1)).filter(big).select("hash", "stays")
 
 
-def line_weight(line: Column, unspaced: Column) -> Column:
-    """Length of a line in which every run of white space is one space; ``UNSPACED_WORD`` for each word, and one for each
-    character of a script without spaces, where the text may have such characters."""
+def n_words(line: Column) -> Column:
+    """Number of words of a line in which every run of white space is one space."""
     trimmed = F.btrim(line, F.lit(" "))
-    words = F.when(trimmed == "", 0).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1)
-    spaced = F.regexp_replace(line, UNSPACED, " ")
-    counted = UNSPACED_WORD * F.size(words_of(spaced)) + F.length(F.regexp_replace(line, f"[^{UNSPACED[1:]}", ""))
-    return F.when(unspaced, counted).otherwise(UNSPACED_WORD * words)
+    return F.when(trimmed == "", 0).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1)
+
+
+def line_weights(text: Column) -> Column:
+    """Lengths of the lines: ``UNSPACED_WORD`` for each word, and one for each character of a script without spaces.
+
+    Patterns go over the whole text, once each, and those of scripts only where it may have such characters; what is
+    asked inside a function of lines is asked again for every line.
+    """
+    split = lambda whole: F.split(whole, "\n", -1)
+    tidy, words = F.regexp_replace(text, RAGGED, " "), F.regexp_replace(text, f"[{SPACES}{UNSPACED[1:]}+", " ")
+    rest = F.regexp_replace(tidy, f"{UNSPACED}+", "")
+    each = F.arrays_zip(split(tidy), split(words), split(rest))
+    counted = F.transform(each, lambda x: UNSPACED_WORD * n_words(x["1"]) + F.length(x["0"]) - F.length(x["2"]))
+    return F.when(text.rlike(BEYOND), counted).otherwise(F.transform(split(tidy), lambda line: UNSPACED_WORD * n_words(line)))
 
 
 #: Lines among which a window's end is looked for first; most windows are shorter.
@@ -106,15 +119,10 @@ NEAR_LINES = 8
 def weighed_lines(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, mark, ``spoken`` (place and weight of the lines with a word), and the lines' hashes."""
     rows = pick(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
-    tidy = F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]+", " ")
-    lined = rows.select(
-        "doc_id", text_mark(F.col("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"), F.split(tidy, "\n", -1).alias("tidy"),
-        F.col("text").rlike(BEYOND).alias("unspaced"),
-    )
-    weighed = F.transform("tidy", lambda line, i: F.struct(i.alias("place"), line_weight(line, F.col("unspaced")).alias("weight")))
-    return lined.select(
-        *DOC, F.filter(weighed, lambda x: x["weight"] > 0).alias("spoken"),
-        F.transform("lines", lambda line: F.unhex(F.md5(line.cast("binary")))).alias("hashes"),
+    weighed = F.transform(line_weights(F.col("text")), lambda weight, i: F.struct(i.alias("place"), weight.alias("weight")))
+    return rows.select(
+        "doc_id", text_mark(F.col("text")).alias("mark"), F.filter(weighed, lambda x: x["weight"] > 0).alias("spoken"),
+        F.transform(F.split("text", "\n", -1), lambda line: F.unhex(F.md5(line.cast("binary")))).alias("hashes"),
     )
 
 

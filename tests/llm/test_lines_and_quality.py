@@ -1,6 +1,7 @@
 """Line dedup and quality rules on planted passages; their SQL runs with the other queries."""
 
 import random
+import re
 import time
 
 import pytest
@@ -187,3 +188,20 @@ def test_the_limit_does_not_grow_with_the_host(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     assert quality.quality_report(docs).filter("doc_id < 100").filter("kept or n_removed_lines <> 1").count() == 0
     assert quality.apply_quality(docs).filter("doc_id < 100").count() == 0
+
+
+def test_line_weights_are_those_of_each_line_and_take_time_in_proportion(spark):
+    texts = ["a  b\tc\r\n \td\x0b e", "漢字 かな\n文a字b 𠀀𠀁\n\t", "ไทย abc\t\tdef\n \n\tx", "é ü x\n y z", "😀 漢 \x0c\n", ""]
+    weights = spark.createDataFrame([(t,) for t in texts], "text string").select(line_dedup.line_weights(F.col("text")).alias("w"))
+    spaced = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in line_dedup.UNSPACED_BLOCKS) + "]")
+
+    def plain(line):
+        return 2 * len(re.findall(r"[^\x20\x09-\x0D]+", spaced.sub(" ", line))) + len(spaced.findall(line))
+
+    assert [r["w"] for r in weights.collect()] == [[plain(line) for line in t.split("\n")] for t in texts]
+
+    # looking for other scripts once for every line went through this text 40,000 times
+    long = spark.range(1).select(F.expr("array_join(transform(sequence(1, 40000), i -> concat('words of line ', i)), '\n')").alias("text"))
+    begun = time.monotonic()
+    assert long.select(line_dedup.line_weights(F.col("text")).alias("w")).selectExpr("sum(aggregate(w, 0, (a, x) -> a + x))").first()[0] == 8 * 40000
+    assert time.monotonic() - begun < 20
