@@ -109,7 +109,9 @@ def line_weights(text: Column) -> Column:
     rest = F.regexp_replace(tidy, f"{UNSPACED}+", "")
     each = F.arrays_zip(split(tidy), split(words), split(rest))
     counted = F.transform(each, lambda x: UNSPACED_WORD * n_words(x["1"]) + F.length(x["0"]) - F.length(x["2"]))
-    return F.when(text.rlike(BEYOND), counted).otherwise(F.transform(split(tidy), lambda line: UNSPACED_WORD * n_words(line)))
+    # a text with as many bytes as characters has none beyond ASCII, which is cheaper to ask than a pattern
+    may_have = (F.octet_length(text) > F.length(text)) & text.rlike(BEYOND)
+    return F.when(may_have, counted).otherwise(F.transform(split(tidy), lambda line: UNSPACED_WORD * n_words(line)))
 
 
 #: Lines among which a window's end is looked for first; most windows are shorter.
@@ -122,7 +124,7 @@ def weighed_lines(docs: DataFrame) -> DataFrame:
     weighed = F.transform(line_weights(F.col("text")), lambda weight, i: F.struct(i.alias("place"), weight.alias("weight")))
     return rows.select(
         "doc_id", text_mark(F.col("text")).alias("mark"), F.filter(weighed, lambda x: x["weight"] > 0).alias("spoken"),
-        F.transform(F.split("text", "\n", -1), lambda line: F.unhex(F.md5(line.cast("binary")))).alias("hashes"),
+        F.transform(F.split("text", "\n", -1), lambda line: F.md5(line.cast("binary"))).alias("hashes"),
     )
 
 
@@ -159,9 +161,8 @@ def windows(weighed: DataFrame) -> DataFrame:
     both = F.array_compact(F.array_union(F.transform(spoken, after), F.transform(spoken, before)))
     first = lambda w: F.shiftright(w, 32).cast("int")
     last = lambda w: (F.shiftright(w, 32) + w.bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
-    body = lambda w: F.array_join(
-        F.transform(F.slice("hashes", first(w) + 1, last(w) - first(w) + 1), lambda h: F.hex(h)), ""
-    )
+    # the hashes are kept as text, which a window joins as it is; a line stands in many windows
+    body = lambda w: F.array_join(F.slice("hashes", first(w) + 1, last(w) - first(w) + 1), "")
     each = F.transform(both, lambda w: F.struct(first(w).alias("first"), last(w).alias("last"), F.unhex(F.md5(body(w).cast("binary"))).alias("hash")))
     return weighed.select(*DOC, F.inline(each))
 

@@ -1,5 +1,6 @@
 """Line dedup and quality rules on planted passages; their SQL runs with the other queries."""
 
+import hashlib
 import random
 import re
 import time
@@ -205,3 +206,13 @@ def test_line_weights_are_those_of_each_line_and_take_time_in_proportion(spark):
     begun = time.monotonic()
     assert long.select(line_dedup.line_weights(F.col("text")).alias("w")).selectExpr("sum(aggregate(w, 0, (a, x) -> a + x))").first()[0] == 8 * 40000
     assert time.monotonic() - begun < 20
+
+
+def test_hashes_of_lines_are_joined_as_they_are_kept(spark):
+    """A line stands in many windows; its hash was turned into text anew for each of them."""
+    docs = spark.createDataFrame([(1, "one two\nthree"), (2, "caf\u00e9 \u0e01\u0e02\u0e03")], "doc_id long, text string")
+    weighed = line_dedup.weighed_lines(docs)
+    assert weighed.schema["hashes"].dataType.simpleString() == "array<string>"
+    rows = {r["doc_id"]: r for r in weighed.collect()}
+    assert rows[1]["hashes"] == [hashlib.md5(line).hexdigest() for line in (b"one two", b"three")]
+    assert [w["weight"] for w in rows[1]["spoken"]] == [4, 2] and [w["weight"] for w in rows[2]["spoken"]] == [5]
