@@ -152,7 +152,8 @@ def cluster_entities(
 
     One fit of all k and restarts gives the sweep and the clusters of the best k.
     """
-    means = group_mean(df.where(F.col(entity).isNotNull()), [entity], features, None, "").dropna()
+    # the means are read several times, and the readings behind them once
+    means = measured(group_mean(df.where(F.col(entity).isNotNull()), [entity], features, None, "").dropna())
     scaled = kept(means.withColumn(POINT, scaled_point(means, features)))
     try:
         top = min(max_k, scaled.count() - 1)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from obsloom.operators import centres
+from obsloom.operators import centres, cluster
 from obsloom.operators import training as TR
 from obsloom.operators.cluster import best_k, cluster_entities, kmeans_sweep, project, silhouette, standard_scale
 from obsloom.operators.oversample import class_weights, oversample
@@ -273,3 +273,14 @@ def test_broken_messages_keep_their_text(spark):
     ingest.append_stream(ingest.read_messages(spark, source, schema), out, check).awaitTermination()
     rows = {r["raw_message"]: (r["city"], r["v"]) for r in spark.read.parquet(out).collect()}
     assert rows == {'{"city": "a", "v": 1.5}': ("a", 1.5), "no json": (None, None)}
+
+
+def test_entities_are_averaged_once(spark, monkeypatch):
+    """Scaling, the count and the fits each went over all readings again."""
+    plans = []
+    kept = cluster.kept
+    monkeypatch.setattr(cluster, "kept", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), kept(df))[1])
+    rows = [(f"c{i % 9}", float(i % 9 // 3 * 10 + i % 2), float(i % 9)) for i in range(90)] + [(None, 1.0, 1.0), ("d", None, 2.0)]
+    sweep, found = cluster_entities(spark.createDataFrame(rows, "city string, a double, b double"), "city", ["a", "b"], max_k=3, restarts=2)
+    assert found.count() == 9 and sweep.count() == 2
+    assert "Aggregate" not in plans[0]
