@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from obsloom.operators.sizes import measured
 from obsloom.session import checkpointed
@@ -57,12 +57,9 @@ def append_table(df: DataFrame, name: str, time: str) -> None:
 
 
 def newest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the last by ``order``; combined before the shuffle, so copies do not travel."""
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    picked = df.groupBy(*[F.col(c).alias(f"__{c}") for c in key]).agg(
-        F.max_by(whole, F.struct(*[F.col(c) for c in order])).alias("__row")
-    )
-    return picked.select("__row.*")
+    """One row per key, the last by ``order``; cut down before the shuffle as well, so copies do not travel."""
+    newest = W.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
+    return df.withColumn("__place", F.row_number().over(newest)).where("__place = 1").drop("__place")
 
 
 def load_newest(df: DataFrame, path: str, key: Sequence[str], time: str, order: Sequence[str], load_id: str) -> None:

@@ -14,6 +14,7 @@ from obsloom.operators.splitting import mark_folds
 from obsloom.plans import weather
 from obsloom.session import work_path
 from obsloom.sources import files, models
+from obsloom.sources.tables import newest_by_key
 from obsloom.streaming import ingest
 from obsloom.streaming.lag import in_order, lag_stream
 
@@ -275,6 +276,16 @@ def test_broken_messages_keep_their_text(spark):
     assert rows == {'{"city": "a", "v": 1.5}': ("a", 1.5), "no json": (None, None)}
 
 
+def test_newest_of_a_key_carries_each_row_once(spark):
+    """Rows went through the shuffle twice, as the row and as its order, and through an aggregate that sorts."""
+    rows = [("a", 1, 5.0, None), ("a", 1, None, "y"), ("a", 1, 5.0, "z"), (None, 2, None, None), ("b", None, 1.0, "p"), ("b", None, 1.0, "p")]
+    df = spark.createDataFrame(rows, "city string, t int, v double, w string")
+    newest = newest_by_key(df, ["city", "t"], ["v", "w"])
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2
+    assert sorted(map(tuple, newest.collect()), key=str) == sorted([("a", 1, 5.0, "z"), (None, 2, None, None), ("b", None, 1.0, "p")], key=str)
+
+
 def test_entities_are_averaged_once(spark, monkeypatch):
     """Scaling, the count and the fits each went over all readings again."""
     plans = []
