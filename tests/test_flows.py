@@ -15,7 +15,7 @@ from obsloom.plans import weather
 from obsloom.session import work_path
 from obsloom.sources import files, models
 from obsloom.sources.tables import newest_by_key
-from obsloom.streaming import ingest
+from obsloom.streaming import ingest, lag
 from obsloom.streaming.lag import in_order, lag_stream
 
 # Two readings and what their report must say.
@@ -276,6 +276,18 @@ def test_broken_messages_keep_their_text(spark):
     assert rows == {'{"city": "a", "v": 1.5}': ("a", 1.5), "no json": (None, None)}
 
 
+def test_stream_lag_sends_every_column_once(spark, monkeypatch):
+    """Every value that goes to Python and back costs; instants go as numbers and come back as they were."""
+    seen = []
+    plain = lag.LastReading.__init__
+    monkeypatch.setattr(lag.LastReading, "__init__", lambda self, *given: (seen.append(given), plain(self, *given))[1])
+    rate = spark.readStream.format("rate").load()
+    stream = rate.selectExpr("cast(value as string) as city", "timestamp as t", "value as id", "cast(value as double) as v")
+    found = lag.lagged_stream(stream, {"before": "v"}, "city", ["t", "id"])
+    assert found.schema.simpleString() == "struct<city:string,t:timestamp,id:bigint,v:double,before:double,late:boolean>"
+    assert seen[0][1:] == (4, ["r1", "r2"], ["r3"], "r0")
+
+
 def test_newest_of_a_key_carries_each_row_once(spark):
     """Rows went through the shuffle twice, as the row and as its order, and through an aggregate that sorts."""
     rows = [("a", 1, 5.0, None), ("a", 1, None, "y"), ("a", 1, 5.0, "z"), (None, 2, None, None), ("b", None, 1.0, "p"), ("b", None, 1.0, "p")]
