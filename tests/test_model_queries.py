@@ -45,6 +45,29 @@ def test_leaderboards_end_with_every_point_in_its_place(spark, sf_dir, monkeypat
     assert all(0 <= r[c] <= 1 for r in rows for c in ("score", "accuracy", "recall"))
 
 
+@pytest.mark.parametrize("name", ["cv_leaderboard", "rain_candidates"])
+def test_leaderboards_fit_every_point_whole(monkeypatch, name):
+    """All trees, rows and folds: the search is asked for without a cut."""
+
+    class Asked(Exception):
+        pass
+
+    def asked(df, candidates, features, fold, folds, race=None, **others):
+        raise Asked(race, folds, [len(c.grid) for c in candidates])
+
+    frame = type("Frame", (), {"withColumn": lambda self, *column: self})()
+    monkeypatch.setattr(M, "model_rows", lambda spark, sf_dir: frame)
+    monkeypatch.setattr(M, "mark_folds", lambda df, *how: df)
+    monkeypatch.setattr(M.TR, "label_index", lambda df, label: type("Index", (), {"transform": lambda self, df: df})())
+    monkeypatch.setattr(M.TR, "cross_validate", asked)
+    monkeypatch.setattr(M, "F", type("Functions", (), {"col": lambda name: type("Column", (), {"cast": lambda self, kind: self})()}))
+    with pytest.raises(Asked) as found:
+        getattr(M, name)(None, "")
+    race, folds, sizes = found.value.args
+    assert race.rungs == ((1.0, 3),) and race.rows is None and folds == 3 and sizes == [4, 12]
+    assert TR.Race() == race
+
+
 def test_model_rows_are_made_once_and_read_from_files(spark, sf_dir):
     """Fitting passes over them a dozen times; without the files every pass would make the lags again."""
     rows = M.model_rows(spark, sf_dir)
